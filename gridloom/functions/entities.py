@@ -53,7 +53,7 @@ def symbol(text: Column) -> Column:
 
 
 def _name_before(text: Column, mark: Column) -> Column:
-    head = F.trim(F.substring_index(text, mark, 1))
+    head = F.trim(F.split_part(text, mark, F.lit(1)))
     return _filled(F.trim(F.regexp_replace(head, r"[,.;:]$", "")))
 
 
@@ -142,7 +142,7 @@ def keyed_cell(cell: Column) -> Column:
     ticker = symbol(text)
     block = _found(text, KEYED_PARENTHESES)
     name = F.when(ticker.isNotNull(), _name_before(text, ticker)).otherwise(
-        _filled(F.trim(F.substring_index(text, block, 1)))
+        _filled(F.trim(F.split_part(text, block, F.lit(1))))
     )
     return F.when(
         (F.length(text) >= 10) & F.coalesce(ticker, block).isNotNull(),

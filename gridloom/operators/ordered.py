@@ -4,7 +4,8 @@ A window over a whole key puts that key into one task. Here keys are measured fi
 a task use the plain window. A key above ``rows_per_task`` is cut into spans of its position range;
 each span is its own window, a small table of span summaries carries state across spans, and the
 join back is on (key, span). No row is dropped or sampled and the result equals the plain window.
-Measuring runs one aggregate over the key and position columns when the plan is built.
+Measuring runs one aggregate over a sample of the key and position columns when the plan is built;
+the sample only decides which way a key goes, every row takes part in the result.
 
 ``position`` is a numeric column that never decreases along ``order`` (a row number, an epoch).
 """
@@ -12,29 +13,52 @@ Measuring runs one aggregate over the key and position columns when the plan is
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
 BROADCAST_KEYS = 10_000
+SAMPLED_ROWS_OF_A_LARGE_KEY = 1_000
 
 
 @dataclass(frozen=True)
 class RowOrder:
-    """Keys, total order within a key, and the numeric position behind that order."""
+    """Keys, total order within a key, and the numeric position behind that order.
+
+    ``large`` holds the measured large keys; ``measured`` fills it once for a chain of steps over
+    the same rows, otherwise each step measures its own input.
+    """
 
     keys: list[str]
     order: list[str]
     position: Column
     rows_per_task: int = ROWS_PER_TASK
+    large: list[Row] | DataFrame | None = None
 
     def window(self, *more: str) -> WindowSpec:
         return Window.partitionBy(*self.keys, *more).orderBy(*self.order)
 
     def with_keys(self, *more: str) -> RowOrder:
-        return RowOrder([*self.keys, *more], self.order, self.position, self.rows_per_task)
+        """Finer keys. Parts of keys that all fit a task fit a task too."""
+        known = self.large if self.large == [] else None
+        return replace(self, keys=[*self.keys, *more], large=known)
+
+    def measured(self, df: DataFrame) -> RowOrder:
+        if self.large is not None:
+            return self
+        found = large_keys(df, self)
+        some = found.limit(BROADCAST_KEYS + 1).collect()
+        return replace(self, large=some if len(some) <= BROADCAST_KEYS else found)
+
+    def large_table(self, df: DataFrame) -> DataFrame | None:
+        """Large keys as a table: broadcast up to ``BROADCAST_KEYS``, beyond that joined by Spark."""
+        if isinstance(self.large, DataFrame):
+            return self.large
+        if not self.large:
+            return None
+        return F.broadcast(df.sparkSession.createDataFrame(self.large, large_keys(df, self).schema))
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -50,10 +74,12 @@ def _prefixed(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def large_keys(df: DataFrame, by: RowOrder) -> DataFrame:
     """Keys above the task size with their range: at most rows / rows_per_task of them."""
+    fraction = min(1.0, SAMPLED_ROWS_OF_A_LARGE_KEY / by.rows_per_task)
+    rows = df.select(*by.keys, by.position.alias("_pos"))
+    seen = rows if fraction == 1.0 else rows.sample(fraction, seed=7)
     return (
-        df.select(*by.keys, by.position.alias("_pos"))
-        .groupBy(*by.keys)
-        .agg(F.count("*").alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
+        seen.groupBy(*by.keys)
+        .agg((F.count("*") / fraction).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
         .filter(F.col("_n") > by.rows_per_task)
     )
 
@@ -66,15 +92,11 @@ def by_key_size(
 ) -> DataFrame:
     """Run ``small`` on the keys that fit a task and ``large`` on the others, and unite the two.
 
-    ``large`` sees the extra column ``_span``. Up to ``BROADCAST_KEYS`` large keys are fetched and
-    broadcast; beyond that the table of large keys is joined as Spark sees fit.
+    ``large`` sees the extra column ``_span``.
     """
-    found = large_keys(df, by)
-    some = found.limit(BROADCAST_KEYS + 1).collect()
-    if not some:
+    found = by.measured(df).large_table(df)
+    if found is None:
         return small(df)
-    if len(some) <= BROADCAST_KEYS:
-        found = F.broadcast(df.sparkSession.createDataFrame(some, found.schema))
     big = _prefixed(found, by.keys)
     match = _same(df, big, by.keys)
     share = (by.position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))

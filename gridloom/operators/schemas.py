@@ -122,15 +122,15 @@ def group_totals(groups: DataFrame) -> DataFrame:
     )
 
 
-def schema_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Full outer comparison of two (name, type) lists on lower-cased names.
+def schema_drift(expected: DataFrame, actual: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Full outer comparison of two (name, type) lists on lower-cased names, per table key if given.
 
     ``action`` says what a load does: cast a matched column, null a missing one, keep an extra
     STRING column and refuse any other extra column.
     """
-    e = expected.select(F.lower("name").alias("column"), F.col("type").alias("expected_type"))
-    a = actual.select(F.lower("name").alias("column"), F.upper("type").alias("actual_type"))
-    both = e.join(a, "column", "full_outer")
+    e = expected.select(*keys, F.lower("name").alias("column"), F.col("type").alias("expected_type"))
+    a = actual.select(*keys, F.lower("name").alias("column"), F.upper("type").alias("actual_type"))
+    both = e.join(a, [*keys, "column"], "full_outer")
     status = (
         F.when(F.col("expected_type").isNull(), "extra")
         .when(F.col("actual_type").isNull(), "missing")
@@ -142,7 +142,9 @@ def schema_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .when(F.col("actual_type") == "STRING", "keep")
         .otherwise("error")
     )
-    return both.select("column", "expected_type", "actual_type", status.alias("status"), action.alias("action"))
+    return both.select(
+        *keys, "column", "expected_type", "actual_type", status.alias("status"), action.alias("action")
+    )
 
 
 def similarity(names_a: Column, names_b: Column, typed_a: Column, typed_b: Column) -> Column:
@@ -217,7 +219,7 @@ def _leaders_of_batch(threshold: float):
             if not any(score(own, other) >= threshold for other in leaders):
                 leaders.append(own)
                 chosen.append(row.Index)
-        return batch.loc[chosen]
+        return batch.loc[chosen].drop(columns="one")
 
     return pick
 
@@ -238,7 +240,8 @@ def assign_leaders(singles: DataFrame, threshold: float = THRESHOLD) -> DataFram
     batch_rows = FIRST_BATCH
     while not open_rows.isEmpty():
         batch = open_rows.orderBy("ord").limit(batch_rows)
-        leaders = batch.groupBy(F.lit(0)).applyInPandas(_leaders_of_batch(threshold), shape).checkpoint()
+        together = batch.withColumn("one", F.lit(0)).groupBy("one")
+        leaders = together.applyInPandas(_leaders_of_batch(threshold), shape).checkpoint()
         near = similar_to(open_rows, leaders, threshold, small_bases=True)
         ranked = near.join(
             F.broadcast(leaders.select(F.col("file").alias("base_file"), F.col("ord").alias("base_ord"))),
