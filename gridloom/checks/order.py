@@ -13,11 +13,13 @@ from gridloom.operators.ordered import (
     running_sum,
 )
 
-BY_USER = RowOrder(["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")))
-BY_CONVERSATION = RowOrder(["conv_id"], ["turn"], F.col("turn"))
 W = "window w as (partition by user_id order by ts, event_id)"
 
 
+def by_user():
+    return RowOrder(["user_id"], ["ts", "event_id"], F.unix_micros(F.col("ts").cast("timestamp")))
+
+
 def events(t, *more):
     return t.events.select("user_id", "ts", "event_id", "event_type", *more)
 
@@ -33,7 +35,7 @@ def is_type(kind):
 )
 def forward_fill(t):
     marker = F.when(is_type("signup"), F.col("event_id"))
-    return carry_forward(events(t), BY_USER, {"section_id": marker}).select("user_id", "event_id", "section_id")
+    return carry_forward(events(t), by_user(), {"section_id": marker}).select("user_id", "event_id", "section_id")
 
 
 @query(
@@ -43,7 +45,7 @@ def forward_fill(t):
        select event_id, case when n > 1 then event_type || '(' || n || ')' else event_type end as label from n""",
 )
 def occurrence(t):
-    numbered = number_rows(events(t), BY_USER.with_keys("event_type"), "n")
+    numbered = number_rows(events(t), by_user().with_keys("event_type"), "n")
     label = F.when(F.col("n") > 1, F.concat("event_type", F.lit("("), F.col("n"), F.lit(")")))
     return numbered.select("event_id", F.coalesce(label, "event_type").alias("label"))
 
@@ -62,7 +64,7 @@ def block_match(t):
             "next_id": F.lead("event_id").over(w),
         }
 
-    seen = look_around(events(t, "value"), BY_USER, 0, 1, ahead)
+    seen = look_around(events(t, "value"), by_user(), 0, 1, ahead)
     whole = seen.filter(is_type("view") & (F.col("next_type") == "click"))
     return whole.select("user_id", "event_id", "value", "next_id", "next_value")
 
@@ -78,7 +80,7 @@ def four_row_block(t):
         types = {f"t{i}": F.lead("event_type", i).over(w) for i in (1, 2, 3)}
         return {**types, "v3": F.lead("value", 3).over(w)}
 
-    seen = look_around(events(t, "value"), BY_USER, 0, 3, ahead)
+    seen = look_around(events(t, "value"), by_user(), 0, 3, ahead)
     kind = F.col("event_type")
     whole = seen.filter((kind != F.col("t1")) & (kind != F.col("t2")) & (kind != F.col("t3")))
     return whole.select("user_id", "event_id", "v3")
@@ -97,7 +99,7 @@ def four_row_block(t):
 )
 def state_gate(t):
     rows = events(t)
-    by = BY_USER.measured(rows)
+    by = by_user().measured(rows)
     starts = running_sum(rows, by, {"starts": F.when(is_type("signup"), 1).otherwise(0)})
     stop = F.when(is_type("error") & (F.col("starts") > 0), 1).otherwise(0)
     gated = running_sum(starts, by, {"stops": stop})
@@ -115,7 +117,7 @@ def state_gate(t):
 )
 def section_span(t):
     rows = events(t)
-    by = BY_USER.measured(rows)
+    by = by_user().measured(rows)
     markers = number_rows(rows, by, "rn").filter(is_type("signup"))
 
     def following(w):
@@ -140,7 +142,7 @@ def lookahead(t):
         hit = F.when(is_type("error"), 1).otherwise(0)
         return {"error_ahead": F.coalesce(F.max(hit).over(w.rowsBetween(1, 4)), F.lit(0))}
 
-    return look_around(events(t), BY_USER, 0, 4, flag).select("user_id", "event_id", "error_ahead")
+    return look_around(events(t), by_user(), 0, 4, flag).select("user_id", "event_id", "error_ahead")
 
 
 @query(
@@ -153,7 +155,7 @@ def lookback(t):
         found = F.when(is_type("signup"), F.col("event_id"))
         return {"marker_before": F.first(found, ignorenulls=True).over(w.rowsBetween(-5, -1))}
 
-    return look_around(events(t), BY_USER, 5, 0, marker).select("user_id", "event_id", "marker_before")
+    return look_around(events(t), by_user(), 5, 0, marker).select("user_id", "event_id", "marker_before")
 
 
 @query(
@@ -170,6 +172,6 @@ def hierarchy(t):
         "conv_id", "turn", F.when(F.col("role") == "assistant", F.concat(F.lit(" " * 8), "text")).otherwise(F.col("text")).alias("cell")
     )
     child = F.col("cell").startswith(" " * 8)
-    placed = carry_forward(lines, BY_CONVERSATION, {"category": F.when(~child, F.col("cell"))})
+    placed = carry_forward(lines, RowOrder(["conv_id"], ["turn"], F.col("turn")), {"category": F.when(~child, F.col("cell"))})
     sub = F.when(child, F.substring("cell", 9, 1 << 30)).otherwise("")
     return placed.filter("category is not null").select("conv_id", "turn", "category", sub.alias("subcategory"))

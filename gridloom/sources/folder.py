@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.paths import base_name, suffix
 from gridloom.operators.dedup import union_by_name
 from gridloom.operators.recon import megabytes
+from gridloom.sources.files import list_files
 from gridloom.sources.workbook import WORKBOOK_GLOB, grid_rows, grid_to_table, read_grid
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".xlsx": "workbook", ".xls": "workbook"}
@@ -21,8 +20,7 @@ def _glob(extension: str) -> str:
 
 def file_catalog(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path, name, extension, size of each file in a folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(
+    return list_files(spark, path, glob).select(
         "path",
         base_name(F.col("path")).alias("name"),
         suffix(F.col("path")).alias("extension"),
@@ -150,6 +148,3 @@ def read_json_listing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def header_names(line: str) -> list[str]:
-    """Fields of one header line."""
-    return next(csv.reader([line]), [])

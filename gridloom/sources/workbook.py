@@ -18,6 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.names import snake, uniquify
+from gridloom.sources.files import binary_files, list_files
+
 GRID_SCHEMA = (
     "file_path string, sheet_no int, sheet string, row_idx int, cells array<string>, error string"
 )
@@ -179,30 +182,28 @@ def _grid_frames(all_sheets: bool):
     return run
 
 
-def file_kind(spark: SparkSession, path: str, glob: str = "*", html_limit: int = SIZE_LIMIT) -> DataFrame:
+def file_kind(spark: SparkSession, path: str, glob: str = "*", size_limit: int = SIZE_LIMIT) -> DataFrame:
     """Label files by leading bytes: empty, ole2, zip, html or unknown, with a flag for tiny ones."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    files = binary_files(spark, path, glob).filter(F.col("length") <= size_limit)
     head = F.hex(F.substring("content", 1, 8))
-    text = F.lower(F.decode("content", F.lit("ISO-8859-1")))
+    text = F.lower(F.decode("content", "ISO-8859-1"))
     kind = (
-        F.when(F.col("length") == 0, "empty")
-        .when(head == OLE2_MAGIC, "ole2")
+        F.when(head == OLE2_MAGIC, "ole2")
         .when(head.startswith(ZIP_MAGIC), "zip")
         .when(text.contains("<table") | text.contains("<html"), "html")
         .otherwise("unknown")
     )
-    small = files.filter(F.col("length") <= html_limit)
-    large = files.filter(F.col("length") > html_limit)
-    labelled = small.select("path", "length", kind.alias("kind"))
-    beyond = large.select("path", "length", F.lit("too large").alias("kind"))
-    return labelled.unionByName(beyond).withColumn("tiny", F.col("length").between(1, 99))
+    opened = files.select("path", "length", kind.alias("kind"))
+    unopened = F.when(F.col("length") == 0, "empty").when(F.col("length") > size_limit, "too large")
+    rest = list_files(spark, path, glob).withColumn("kind", unopened).filter("kind is not null")
+    return opened.unionByName(rest).withColumn("tiny", F.col("length").between(1, 99))
 
 
 def read_grid(
     spark: SparkSession, path: str, all_sheets: bool = False, size_limit: int = SIZE_LIMIT, glob: str = WORKBOOK_GLOB
 ) -> DataFrame:
     """Cell grid of the workbooks under a path; trouble shows up as rows with ``error`` set."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    files = binary_files(spark, path, glob)
     inside = files.filter(F.col("length") <= size_limit).select("path", "content")
     grid = inside.mapInPandas(_grid_frames(all_sheets), GRID_SCHEMA)
     nothing = {f.name: f.dataType for f in grid.schema.fields}
@@ -227,8 +228,6 @@ def grid_to_table(rows: DataFrame) -> DataFrame:
 
     Only the distinct column names reach the driver; files of any header share one plan.
     """
-    from gridloom.functions.names import snake
-
     keys = ["file_path", "sheet_no"]
     heads = (
         rows.filter("row_idx = 0")
@@ -236,8 +235,6 @@ def grid_to_table(rows: DataFrame) -> DataFrame:
         .withColumn("raw", F.coalesce("raw", F.concat(F.lit("unnamed_"), F.col("pos").cast("string"))))
         .withColumn("base", snake(F.col("raw")))
     )
-    from gridloom.functions.names import uniquify
-
     heads = uniquify(heads, keys, "base", "pos", "name")
     names = [r["name"] for r in heads.groupBy("name").agg(F.min("pos").alias("p")).orderBy("p", "name").collect()]
     header = heads.groupBy(*keys).agg(
