@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,9 +58,20 @@ def any_per_key(df: DataFrame, subset: list[str]) -> DataFrame:
     return df.dropDuplicates(subset)
 
 
+def digest(text: Column) -> Column:
+    """Texts of 64 characters and more as their SHA-256 in 64 characters, shorter ones as they are."""
+    return F.when(F.length(text) >= 64, F.sha2(text, 256)).otherwise(text)
+
+
 def dedup_stats(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Original, kept and removed rows and the removed percentage (null on empty input)."""
-    copies = df.groupBy(*(subset or df.columns)).agg(F.count("*").alias("copies"))
+    """Original, kept and removed rows and the removed percentage (null on empty input).
+
+    Long texts are counted by their SHA-256, so the shuffle carries digests and not documents.
+    """
+    names = subset or df.columns
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    keys = [digest(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in names]
+    copies = df.select(*keys).groupBy(*[f"`{c}`" for c in names]).agg(F.count("*").alias("copies"))
     totals = copies.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("original"), F.count("*").alias("kept")
     )

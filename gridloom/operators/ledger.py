@@ -23,7 +23,7 @@ def run_statistics(df: DataFrame, status: str, records: Column) -> DataFrame:
 
 def joined_reasons(df: DataFrame, keys: list[str], reason: str) -> DataFrame:
     """Distinct failure reasons per file, sorted and joined; reasons come from a fixed set of texts."""
-    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(reason)), "; ").alias("reasons"))
+    return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(reason)), "; ").alias("reasons"))
 
 
 def completion(df: DataFrame, done: Column) -> DataFrame:

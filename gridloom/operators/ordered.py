@@ -248,7 +248,7 @@ def ordered_concat(df: DataFrame, by: RowOrder, lists: dict[str, Column], separa
             F.count("*").alias("row_count"), *[F.collect_list(k).alias(n) for n, k in zip(lists, kept)]
         )
         return made.withColumns(
-            {n: F.array_join(F.transform(F.array_sort(n), lambda x: x["v"]), separator) for n in lists}
+            {n: F.array_join(F.sort_array(n)["v"], separator) for n in lists}
         )
 
     def small(part: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def ordered_concat(df: DataFrame, by: RowOrder, lists: dict[str, Column], separa
             F.sum("row_count").alias("row_count"), *[F.collect_list(t).alias(n) for n, t in zip(lists, texts)]
         )
         return made.withColumns(
-            {n: F.array_join(F.transform(F.array_sort(n), lambda x: x["v"]), separator) for n in lists}
+            {n: F.array_join(F.sort_array(n)["v"], separator) for n in lists}
         )
 
     return by_key_size(df, by, small, large)

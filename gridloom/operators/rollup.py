@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from gridloom.operators.ordered import RowOrder, ordered_concat
 
 
+def _place(order: list[str]) -> Column:
+    """Ordering value. A lone column stays plain, which lets Spark aggregate by hash, not by sort."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def conditional_counts(
     df: DataFrame, keys: list[str], category: str, categories: dict[str, str],
     first: list[str] = (), order: list[str] = (), match: str = "exact",
@@ -21,7 +26,7 @@ def conditional_counts(
     def hit(value: str) -> Column:
         return cat == value if match == "exact" else cat.contains(value)
 
-    place = F.struct(*order)
+    place = _place(order)
     return df.groupBy(*keys).agg(
         *[F.min_by(c, place).alias(c) for c in first],
         *[F.count(F.when(hit(v), 1)).alias(n) for n, v in categories.items()],
@@ -67,7 +72,7 @@ def first_values(
     labels: dict[str, str], last: list[str] = (),
 ) -> DataFrame:
     """One column per label with the first value in row order (the last for labels in ``last``)."""
-    place = F.struct(*order)
+    place = _place(order)
 
     def pick(name: str, wanted: str) -> Column:
         hit = F.when((F.col(label) == wanted) & value.isNotNull(), place)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.casts import type_bucket
 from gridloom.functions.names import schema_name
+from gridloom.operators.dedup import digest
 from gridloom.operators.ordered import RowOrder, number_rows
 
 NAME_WEIGHT = 0.7
@@ -27,7 +28,7 @@ def column_profile(df: DataFrame, ids: list[str], columns: list[str], order: lis
     """Per column: non-null and distinct counts, first three values, text lengths, numeric range.
 
     Values are counted per (column, value) before any column-wide aggregate, so a frequent value
-    travels as one row per task; the first three values come from a rank pushed below the shuffle.
+    travels as one row per task, long texts as digests; the first three values come from a rank pushed below the shuffle.
     """
     numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in _NUMERIC}
     cells = df.select(
@@ -46,8 +47,11 @@ def column_profile(df: DataFrame, ids: list[str], columns: list[str], order: lis
         ).alias("e"),
     ).select(*ids, "e.*")
     filled = cells.filter("value is not null")
-    values = filled.groupBy("column", "is_number", "value").agg(F.count("*").alias("n"))
-    length = F.when(~F.col("is_number"), F.length("value"))
+    short = filled.select(
+        "column", "is_number", digest(F.col("value")).alias("value"), F.length("value").alias("length")
+    )
+    values = short.groupBy("column", "is_number", "value", "length").agg(F.count("*").alias("n"))
+    length = F.when(~F.col("is_number"), F.col("length"))
     number = F.when(F.col("is_number"), F.col("value").try_cast("double"))
     n = F.col("n")
     stats = values.groupBy("column").agg(
@@ -62,9 +66,7 @@ def column_profile(df: DataFrame, ids: list[str], columns: list[str], order: lis
     place = F.row_number().over(Window.partitionBy("column").orderBy(*order))
     first = filled.withColumn("p", place).filter("p <= 3")
     samples = first.groupBy("column").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "value"))), lambda x: x["value"]), "; ").alias(
-            "first_values"
-        )
+        F.array_join(F.sort_array(F.collect_list(F.struct("p", "value")))["value"], "; ").alias("first_values")
     )
     return stats.join(samples, "column", "left")
 
@@ -96,10 +98,10 @@ def file_schemas(catalog: DataFrame, strict: bool = False) -> DataFrame:
     pair = F.concat_ws(":", schema_name(F.col("column")), bucket)
     typed = F.concat_ws(":", F.col("column"), bucket)
     return catalog.groupBy("file").agg(
-        F.md5(F.array_join(F.array_sort(F.collect_list(pair)), "|").cast("binary")).alias("fingerprint"),
+        F.md5(F.array_join(F.sort_array(F.collect_list(pair)), "|").cast("binary")).alias("fingerprint"),
         F.count("*").alias("column_count"),
-        F.array_sort(F.collect_set("column")).alias("names"),
-        F.array_sort(F.collect_set(typed)).alias("typed"),
+        F.sort_array(F.collect_set("column")).alias("names"),
+        F.sort_array(F.collect_set(typed)).alias("typed"),
     )
 
 
@@ -162,10 +164,8 @@ def _least_jaccard(threshold: float) -> float:
 
 def _with_prefix(schemas: DataFrame, threshold: float) -> DataFrame:
     """Names in one fixed pseudo-random order; any pair that can pass shares a name of the prefix."""
-    ordered = F.transform(
-        F.array_sort(F.transform("names", lambda n: F.struct(F.xxhash64(n).alias("h"), n.alias("n")))),
-        lambda x: x["n"],
-    )
+    hashed = F.transform("names", lambda n: F.struct(F.xxhash64(n).alias("h"), n.alias("n")))
+    ordered = F.sort_array(hashed)["n"]
     n = F.size("names")
     kept = F.least(n, n - F.ceil(F.round(n * F.lit(_least_jaccard(threshold)), 9)) + 1)
     return schemas.withColumn("_prefix", F.slice(ordered, F.lit(1), kept.cast("int")))

@@ -143,7 +143,7 @@ def extract_schema_job(spark: SparkSession, paths: list[str], target: str, infer
     if infer:
         fields = fields.withColumn("type", infer_type(F.col("name"), F.col("type")))
     field = F.struct("ordinal", F.struct("name", "type", "mode").alias("f"))
-    listed = F.transform(F.array_sort(F.collect_list(field)), lambda x: x["f"])
+    listed = F.sort_array(F.collect_list(field))["f"]
     fields.agg(F.to_json(listed).alias("value")).write.mode("overwrite").text(target)
     return True
 

@@ -1,16 +1,14 @@
-"""Question/response report sheets to one record per question, and their roll-up.
-
-All windows run within one sheet of one workbook; the format bounds a sheet to 1 048 576 rows.
-"""
+"""Question/response report sheets to one record per question, and their roll-up."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gridloom.functions import entities as ent
 from gridloom.functions.paths import base_name
 from gridloom.operators.clean import or_default
+from gridloom.operators.ordered import RowOrder, carry_forward, look_around, number_rows, running_sum
 from gridloom.operators.rollup import conditional_counts, custom_rank
 
 # Headings and labels of the report layout.
@@ -54,49 +52,52 @@ def _cell(i: int) -> Column:
 
 def questions(rows: DataFrame) -> DataFrame:
     """Complete question blocks with the risk type and numbered category above them."""
-    by_row = Window.partitionBy(*SHEET).orderBy("row_idx")
-    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    label, value = F.col("label"), F.col("value")
-    risk = F.when(label.isin(RISK_TYPES), label)
+    label = F.col("label")
     named = label.rlike("|".join(SECTION_WORDS)) & ~label.isin(RISK_TYPES + ROW_LABELS)
-    grid = rows.select(*SHEET, "row_idx", _cell(0).alias("label"), _cell(1).alias("value"))
-    blocks = grid.select(
-        *SHEET,
-        "row_idx",
-        "label",
-        "value",
-        F.last(risk, ignorenulls=True).over(so_far).alias("risk_type"),
-        F.when(named, label).alias("section"),
-        *[F.lead("label", i).over(by_row).alias(f"label{i}") for i in (1, 2, 3)],
-        *[F.lead("value", i).over(by_row).alias(f"value{i}") for i in (1, 2, 3)],
-    )
-    section = F.col("section")
-    stem = F.substring_index("section", "(", 1)
-    repeat = F.row_number().over(Window.partitionBy(*SHEET, "section").orderBy("row_idx"))
-    marked = F.count(F.when(section.contains("("), 1)).over(Window.partitionBy(*SHEET, stem).orderBy("row_idx"))
-    number = F.when(repeat > 1, repeat).when((marked > 0) & (section == stem), F.lit(1))
-    numbered = blocks.withColumn(
-        "section", F.when(number.isNotNull(), F.concat("section", F.lit("("), number, F.lit(")"))).otherwise(section)
-    )
-    placed = numbered.withColumn("category", F.last("section", ignorenulls=True).over(so_far))
-    whole = (
-        (label == "Question")
-        & (F.col("label1") == "Response")
-        & (F.col("label2") == "Industry Comparison")
-        & (F.col("label3") == "Industry Average")
+    lines = rows.select(*SHEET, "row_idx", _cell(0).alias("label"), _cell(1).alias("value"))
+    flagged = lines.withColumns(
+        {"risk": F.when(label.isin(RISK_TYPES), label), "section": F.when(named, label)}
     )
-    return placed.filter(whole).select(
+    by = RowOrder(SHEET, ["row_idx"], F.col("row_idx")).measured(flagged)
+    sections = _numbered(flagged.filter("section is not null"), by)
+    whole = flagged.filter("section is null").unionByName(sections)
+    carried = carry_forward(whole, by, {"risk_type": F.col("risk"), "category": F.col("section")})
+
+    def following(w: WindowSpec) -> dict[str, Column]:
+        return {f"{c}{i}": F.lead(c, i).over(w) for i in (1, 2, 3) for c in ("label", "value")}
+
+    blocks = look_around(carried, by, 0, 3, following)
+    complete = label == ROW_LABELS[0]
+    for i, wanted in enumerate(ROW_LABELS[1:], start=1):
+        complete = complete & (F.col(f"label{i}") == wanted)
+    return blocks.filter(complete).select(
         *SHEET,
         "row_idx",
         F.coalesce("risk_type", F.lit("Unknown")).alias("risk_type"),
         F.coalesce("category", F.lit("Unknown Category")).alias("category"),
-        or_default(value, "Unknown question").alias("question"),
+        or_default(F.col("value"), "Unknown question").alias("question"),
         F.coalesce("value1", F.lit("")).alias("response"),
         F.coalesce("value2", F.lit("")).alias("industry_comparison"),
         F.coalesce("value3", F.lit("")).alias("industry_average"),
     )
 
 
+def _numbered(sections: DataFrame, by: RowOrder) -> DataFrame:
+    """Section names with their repeat number from the second on.
+
+    A first use is numbered too when the sheet already had the name with something in parentheses.
+    """
+    section = F.col("section")
+    stemmed = sections.withColumn("stem", F.substring_index("section", "(", 1))
+    repeated = number_rows(stemmed, by.with_keys("section"), "repeat")
+    marked = running_sum(repeated, by.with_keys("stem"), {"marked": F.when(section.contains("("), 1).otherwise(0)})
+    number = F.when(F.col("repeat") > 1, F.col("repeat")).when(
+        (F.col("marked") > 0) & (section == F.col("stem")), F.lit(1)
+    )
+    name = F.coalesce(F.concat("section", F.lit("("), number, F.lit(")")), "section")
+    return marked.withColumn("section", name).drop("stem", "repeat", "marked")
+
+
 def companies(rows: DataFrame) -> DataFrame:
     """Name, key and description per file: from titles, else the file name, else any likely cell."""
     cells = rows.filter("row_idx < 30").select("file_path", "row_idx", F.posexplode("cells").alias("pos", "cell"))

@@ -1,19 +1,16 @@
-"""Three-table report sheets to company details, screens, products and one wide table.
-
-All windows run within one sheet of one workbook; the format bounds a sheet to 1 048 576 rows.
-"""
+"""Three-table report sheets to company details, screens, products and one wide table."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.entities import DEFAULT_CURRENCY, currency
 from gridloom.functions.paths import base_name
 from gridloom.operators.clean import or_default, tolerant_equal
-from gridloom.operators.ordered import RowOrder, ordered_concat
+from gridloom.operators.ordered import RowOrder, carry_forward, look_around, ordered_concat, running_sum
 
 # Labels of the report layout.
 GROUP_HEADER = "Business Involvement Screen Group"
@@ -90,12 +87,17 @@ class ScreenTables:
         }
 
 
-def _grid(rows: DataFrame) -> DataFrame:
-    """First sheets with their first nine cells as columns and the label two rows ahead."""
-    by_row = Window.partitionBy("file_path").orderBy("row_idx")
+def _grid(rows: DataFrame) -> tuple[DataFrame, RowOrder]:
+    """First sheets with their first nine cells as columns and the labels one and two rows ahead."""
     cells = [F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(9)]
     grid = rows.filter("sheet_no = 0").select("file_path", "row_idx", *cells)
-    return grid.withColumns({f"ahead{i}": F.lead("c0", i).over(by_row) for i in (1, 2)})
+    by = RowOrder(["file_path"], ["row_idx"], F.col("row_idx")).measured(grid)
+    ahead = look_around(grid, by, 0, 2, lambda w: {f"ahead{i}": F.lead("c0", i).over(w) for i in (1, 2)})
+    return ahead, by
+
+
+def _flag(test: Column) -> Column:
+    return F.when(test, 1).otherwise(0)
 
 
 def _details(grid: DataFrame) -> DataFrame:
@@ -139,23 +141,19 @@ def _details(grid: DataFrame) -> DataFrame:
     )
 
 
-def _screens(grid: DataFrame, details: DataFrame) -> DataFrame:
+def _screens(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
     """Rows between the group header and the product header whose 4th cell is the total revenue."""
     company = details.select("file_path", "name", "key", "currency", F.col("total_revenue").alias("revenue_total"))
     c0 = F.col("c0")
     start = ((c0 == GROUP_HEADER) & F.col("c1").isNotNull()) | ((c0 == GROUPS_TITLE) & (F.col("ahead2") == GROUP_HEADER))
-    so_far = Window.partitionBy("file_path").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
-    row = F.col("row_idx")
-    data = F.coalesce(tolerant_equal(F.col("c3"), F.col("revenue_total")), F.lit(False))
-    open_ = grid.join(company, "file_path").withColumn("header", F.coalesce(start, F.lit(False)))
-    gated = open_.withColumn("started", F.min(F.when(F.col("header"), row)).over(so_far))
-    stopped = gated.withColumn(
-        "stopped",
-        F.min(F.when((row > F.col("started")) & (c0 == TYPE_HEADER) & ~F.col("header") & ~data, row)).over(so_far),
-    )
-    kept = stopped.filter(
-        (row > F.col("started")) & F.col("stopped").isNull() & ~F.col("header") & data & (F.coalesce(c0, F.lit("")) != "")
+    data = tolerant_equal(F.col("c3"), F.col("revenue_total"))
+    flagged = grid.join(company, "file_path").withColumns(
+        {"header": F.coalesce(start, F.lit(False)), "data": F.coalesce(data, F.lit(False))}
     )
+    started = running_sum(flagged, by, {"starts": _flag(F.col("header"))})
+    stop = (F.col("starts") > 0) & (c0 == TYPE_HEADER) & ~F.col("header") & ~F.col("data")
+    gated = running_sum(started, by, {"stops": _flag(stop)})
+    kept = gated.filter("starts > 0 and stops = 0 and not header and data").filter(F.coalesce(c0, F.lit("")) != "")
     found = kept.select(
         *LINEAGE, "name", "key", c0.alias("business_involvement_screen_group"), "currency",
         or_default(F.col("c1"), "-").alias("business_involvement_screen_revenue"),
@@ -186,31 +184,27 @@ def _lookup(value: Column, table: dict) -> Column:
     return F.try_element_at(F.create_map(*pairs), value)
 
 
-def _products(grid: DataFrame, details: DataFrame) -> DataFrame:
+def _products(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
     """Category rows and their indented sub-types after the product header."""
     company = details.select("file_path", "name", "key", "currency")
-    by_row = Window.partitionBy("file_path").orderBy("row_idx")
-    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c0, row = F.col("c0"), F.col("row_idx")
-    header = F.coalesce((c0 == TYPE_HEADER) & F.col("c1").isNotNull() & F.col("c2").isNotNull(), F.lit(False))
-    started = grid.withColumn("header", header).withColumn("started", F.min(F.when(header, row)).over(so_far))
-    inside = (row > F.col("started")) & ~F.col("header") & (F.coalesce(c0, F.lit("")) != "")
+    c0 = F.col("c0")
+    header = (c0 == TYPE_HEADER) & F.col("c1").isNotNull() & F.col("c2").isNotNull()
     indented = c0.startswith(INDENT)
+    flagged = grid.withColumn("header", F.coalesce(header, F.lit(False)))
+    started = running_sum(flagged, by, {"starts": _flag(F.col("header"))})
+    inside = (F.col("starts") > 0) & ~F.col("header") & (F.coalesce(c0, F.lit("")) != "")
     plain = inside & ~indented & ~c0.contains(LOCKED) & (c0 != GROUP_HEADER)
-    marked = started.withColumns({"inside": inside, "category": F.when(plain, c0)}).withColumn(
-        "first_category", F.min(F.when(F.col("category").isNotNull(), row)).over(so_far)
-    )
-    ends = F.col("inside") & (
-        (c0 == GROUP_HEADER) | (c0.isin(SCREENS_THAT_END_PRODUCTS) & (row == F.col("first_category")))
-    )
-    gated = marked.withColumns(
-        {
-            "stopped": F.min(F.when(ends, row)).over(so_far),
-            "involvement_type": F.last("category", ignorenulls=True).over(so_far),
-        }
-    )
-    entry = F.col("inside") & F.col("stopped").isNull() & F.col("involvement_type").isNotNull() & (
-        indented | F.col("category").isNotNull()
+    marked = started.withColumns({"inside": inside, "own": F.when(plain, c0)})
+    carried = carry_forward(marked, by, {"involvement_type": F.col("own")})
+    counted = running_sum(carried, by, {"categories": _flag(F.col("own").isNotNull())})
+    first = F.col("own").isNotNull() & (F.col("categories") == 1)
+    ends = F.col("inside") & ((c0 == GROUP_HEADER) | (first & c0.isin(SCREENS_THAT_END_PRODUCTS)))
+    gated = running_sum(counted, by, {"stops": _flag(ends)})
+    entry = (
+        F.col("inside")
+        & (F.col("stops") == 0)
+        & F.col("involvement_type").isNotNull()
+        & (indented | F.col("own").isNotNull())
     )
     values = [
         or_default(F.col(f"c{i}"), default).alias(name)
@@ -233,9 +227,9 @@ def _products(grid: DataFrame, details: DataFrame) -> DataFrame:
 
 def tables(rows: DataFrame) -> ScreenTables:
     """The three tables of every report in a cell grid."""
-    grid = _grid(rows)
+    grid, by = _grid(rows)
     details = _details(grid)
-    return ScreenTables(details, _screens(grid, details), _products(grid, details))
+    return ScreenTables(details, _screens(grid, by, details), _products(grid, by, details))
 
 
 def unified(parts: ScreenTables) -> DataFrame:

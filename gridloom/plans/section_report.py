@@ -1,15 +1,13 @@
-"""Sectioned customer/supplier sheets to two tables of relationships.
-
-All windows run within one sheet of one workbook; the format bounds a sheet to 1 048 576 rows.
-"""
+"""Sectioned customer/supplier sheets to two tables of relationships."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gridloom.functions.entities import file_side, sided_file_company
 from gridloom.functions.paths import base_name
+from gridloom.operators.ordered import RowOrder, carry_forward, look_around
 from gridloom.operators.clean import conform, fill_blank, pseudo_data
 
 # Columns of the two outputs and of the sheets.
@@ -32,6 +30,7 @@ SHEET_COLUMNS = ["Customer Name", "Supplier Name", *COMMON, *MONEY["customer"],
 ROUNDED = {*MONEY["customer"], *MONEY["supplier"], *LIMITS}
 HEADER_REACH = 9
 NO_DATA_REACH = 4
+MARKER_REACH = 5
 FALLBACK_HEADERS = 30
 SHEET = ["file_path", "side", "sheet_no"]
 
@@ -59,8 +58,6 @@ def _any_cell(test) -> Column:
 
 def _marked(rows: DataFrame) -> DataFrame:
     """Rows with their marker, header and notice flags and what surrounds them."""
-    by_row = Window.partitionBy(*SHEET).orderBy("row_idx")
-    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     row = F.col("row_idx")
     key_term = F.concat("side", F.lit(" name"))
     key_column = F.when(F.col("side") == "customer", KEY_COLUMN["customer"]).otherwise(KEY_COLUMN["supplier"])
@@ -76,21 +73,25 @@ def _marked(rows: DataFrame) -> DataFrame:
         _any_cell(lambda c: c == key_column).alias("is_exact_header"),
         about.alias("about"),
     )
-    near = by_row.rowsBetween(1, NO_DATA_REACH)
-    reach = by_row.rowsBetween(1, HEADER_REACH)
-    whole = by_row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return flagged.withColumns(
-        {
-            "empty_ahead": F.coalesce(F.max(F.col("no_data_available")).over(near), F.lit(False)),
-            "header_row": F.min(F.when(F.col("is_header"), row)).over(reach),
-            "region": F.last(F.when(F.col("marker").isNotNull(), row), ignorenulls=True).over(so_far),
-            "about_row": F.min(F.when(F.col("about").isNotNull(), row)).over(whole),
-            "about_text": F.first("about", ignorenulls=True).over(whole),
-            "no_data_next": F.coalesce(F.lead("no_data").over(by_row), F.lit(False)),
-            "marker_before": F.first("marker", ignorenulls=True).over(by_row.rowsBetween(-5, -1)),
-        }
+    by = RowOrder(SHEET, ["row_idx"], row).measured(flagged)
+    sheet_about = flagged.filter("about is not null").groupBy(*SHEET).agg(
+        F.min("row_idx").alias("about_row"), F.min_by("about", "row_idx").alias("about_text")
     )
 
+    def around(w: WindowSpec) -> dict[str, Column]:
+        near = F.max("no_data_available").over(w.rowsBetween(1, NO_DATA_REACH))
+        header_row = F.min(F.when(F.col("is_header"), row)).over(w.rowsBetween(1, HEADER_REACH))
+        return {
+            "empty_ahead": F.coalesce(near, F.lit(False)),
+            "header_row": header_row,
+            "no_data_next": F.coalesce(F.lead("no_data").over(w), F.lit(False)),
+            "marker_before": F.first("marker", ignorenulls=True).over(w.rowsBetween(-MARKER_REACH, -1)),
+        }
+
+    seen = look_around(flagged, by, MARKER_REACH, HEADER_REACH, around)
+    placed = carry_forward(seen, by, {"region": F.when(F.col("marker").isNotNull(), row)})
+    return placed.drop("about").join(sheet_about, SHEET, "left")
+
 
 def _named_cells(keys: list[str]) -> list[Column]:
     """The sheet's cells picked by the position of each known name in the header row."""
@@ -194,7 +195,7 @@ def outcomes(files: DataFrame, records: DataFrame, errors: DataFrame) -> DataFra
         F.count(F.when(F.col("side") == "supplier", 1)).alias("supplier_records"),
     )
     name = base_name(F.col("file_path"))
-    read = errors.groupBy("file_path").agg(F.array_join(F.array_sort(F.collect_set("reason")), "; ").alias("problem"))
+    read = errors.groupBy("file_path").agg(F.array_join(F.sort_array(F.collect_set("reason")), "; ").alias("problem"))
     joined = files.select("file_path").join(counts, "file_path", "left").join(read, "file_path", "left")
     neither = file_side(name).isNull()
     n = F.coalesce(F.col("customer_records") + F.col("supplier_records"), F.lit(0))

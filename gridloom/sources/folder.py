@@ -66,7 +66,7 @@ def read_csv(
 def read_csv_folder(spark: SparkSession, path: str, types: str = "infer") -> list[DataFrame]:
     """One table per distinct header: Spark applies a scan's first header to all its files."""
     by_header = (
-        csv_headers(spark, path).groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+        csv_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     )
     found = by_header.orderBy(F.get("paths", F.lit(0))).collect()
     return [read_csv(spark, row["paths"], types) for row in found]

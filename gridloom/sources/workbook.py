@@ -238,7 +238,7 @@ def grid_to_table(rows: DataFrame) -> DataFrame:
     heads = uniquify(heads, keys, "base", "pos", "name")
     names = [r["name"] for r in heads.groupBy("name").agg(F.min("pos").alias("p")).orderBy("p", "name").collect()]
     header = heads.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("header")
+        F.sort_array(F.collect_list(F.struct("pos", "name")))["name"].alias("header")
     )
     body = rows.filter("row_idx > 0").join(header, keys)
 
