@@ -1,6 +1,7 @@
 """Report jobs on cell grids that Spark lays out from customers and their orders.
 
-Every customer is one sheet; a customer's orders become blocks of rows in order-key order.
+Every customer is one sheet; a customer's orders become blocks of rows in order-key order. The grid
+is cut from its lineage as a job's decoded and staged grid would be.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.checks.registry import query
+from gridloom.operators.lineage import cut
 from gridloom.operators.ordered import RowOrder, number_rows
 from gridloom.plans import question_report, screen_report, section_report
 from gridloom.plans.intake import typed_columns
@@ -53,7 +55,7 @@ def question_grid(t):
         ],
     )
     title = F.concat("c_name", F.lit(" NYSE:AB"), "c_custkey", F.lit(" (old) (MI KEY: "), "c_custkey", F.lit(") | Overview"))
-    return body.unionByName(laid_out(t.customer, sheet_path(), [line(F.lit(0), title)]))
+    return cut(body.unionByName(laid_out(t.customer, sheet_path(), [line(F.lit(0), title)])))
 
 
 RECORDS_SQL = """with o as (select *, row_number() over (partition by o_custkey order by o_orderkey) as rn,
@@ -122,7 +124,7 @@ def screen_grid(t):
             line(F.col("n") + 4, text("Involvement Type"), text("a"), text("b")),
         ],
     )
-    return body.unionByName(heads)
+    return cut(body.unionByName(heads))
 
 
 ALL_PRODUCTS = "; ".join(s for subs in screen_report.DEFAULT_PRODUCTS.values() for s in subs)
@@ -177,7 +179,7 @@ def section_grid(t):
             F.when(F.col("c_custkey") % 4 == 0, line(F.col("n") + 5, text("No data available"))),
         ],
     )
-    return body.unionByName(heads)
+    return cut(body.unionByName(heads))
 
 
 @query(

@@ -236,32 +236,29 @@ def look_around(
 def ordered_concat(df: DataFrame, by: RowOrder, lists: dict[str, Column], separator: str = "; ") -> DataFrame:
     """One row per key: each expression's non-null texts joined in row order, and the row count.
 
+    Rows are brought together before they are collected, as collecting earlier would not shrink them.
     Large keys are concatenated span by span, so no task holds more than a span's texts plus the
     finished pieces of its own key.
     """
-    place = F.struct(*by.order)
-
-    def joined(part: DataFrame, keys: list[str]) -> DataFrame:
-        fields = [F.struct(place.alias("o"), v.alias("v")) for v in lists.values()]
-        kept = [F.when(v.isNotNull(), f) for v, f in zip(lists.values(), fields)]
-        made = part.groupBy(*keys).agg(
-            F.count("*").alias("row_count"), *[F.collect_list(k).alias(n) for n, k in zip(lists, kept)]
+    names = list(lists)
+
+    def joined(part: DataFrame, keys: list[str], place: Column, texts: dict[str, Column], rows: Column) -> DataFrame:
+        some = F.coalesce(*[t.cast("string") for t in texts.values()]).isNotNull()
+        item = F.struct(place.alias("o"), *[t.alias(n) for n, t in texts.items()])
+        together = part.repartition(*keys)
+        made = together.groupBy(*keys).agg(
+            rows.alias("row_count"), F.sort_array(F.collect_list(F.when(some, item))).alias("_items")
         )
-        return made.withColumns(
-            {n: F.array_join(F.sort_array(n)["v"], separator) for n in lists}
+        return made.select(
+            *keys, "row_count", *[F.array_join(F.col("_items")[n], separator).alias(n) for n in names]
         )
 
     def small(part: DataFrame) -> DataFrame:
-        return joined(part, by.keys)
+        return joined(part, by.keys, F.struct(*by.order), lists, F.count("*"))
 
     def large(part: DataFrame) -> DataFrame:
-        pieces = joined(part, [*by.keys, "_span"])
-        texts = [F.when(F.col(n) != "", F.struct("_span", F.col(n).alias("v"))) for n in lists]
-        made = pieces.groupBy(*by.keys).agg(
-            F.sum("row_count").alias("row_count"), *[F.collect_list(t).alias(n) for n, t in zip(lists, texts)]
-        )
-        return made.withColumns(
-            {n: F.array_join(F.sort_array(n)["v"], separator) for n in lists}
-        )
+        pieces = joined(part, [*by.keys, "_span"], F.struct(*by.order), lists, F.count("*"))
+        texts = {n: F.nullif(F.col(n), F.lit("")) for n in names}
+        return joined(pieces, by.keys, F.col("_span"), texts, F.sum("row_count"))
 
     return by_key_size(df, by, small, large)

@@ -6,8 +6,6 @@ small group; the number of files may be large and one schema may be shared by ve
 
 from __future__ import annotations
 
-import tempfile
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +13,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.casts import type_bucket
 from gridloom.functions.names import schema_name
 from gridloom.operators.dedup import digest
+from gridloom.operators.lineage import cut
 from gridloom.operators.ordered import RowOrder, number_rows
 
 NAME_WEIGHT = 0.7
@@ -97,7 +96,7 @@ def file_schemas(catalog: DataFrame, strict: bool = False) -> DataFrame:
     bucket = type_bucket(F.col("type"), strict)
     pair = F.concat_ws(":", schema_name(F.col("column")), bucket)
     typed = F.concat_ws(":", F.col("column"), bucket)
-    return catalog.groupBy("file").agg(
+    return catalog.repartition("file").groupBy("file").agg(
         F.md5(F.array_join(F.sort_array(F.collect_list(pair)), "|").cast("binary")).alias("fingerprint"),
         F.count("*").alias("column_count"),
         F.sort_array(F.collect_set("column")).alias("names"),
@@ -232,16 +231,14 @@ def assign_leaders(singles: DataFrame, threshold: float = THRESHOLD) -> DataFram
     small task, then every open schema is scored against those few broadcast leaders. Pairs of
     followers are never formed. Each round is checkpointed.
     """
-    spark = singles.sparkSession
-    ensure_checkpoint_dir(spark)
-    open_rows = singles.select("file", "ord", "names", "typed").checkpoint()
+    open_rows = cut(singles.select("file", "ord", "names", "typed"))
     shape = open_rows.schema
     done = None
     batch_rows = FIRST_BATCH
     while not open_rows.isEmpty():
         batch = open_rows.orderBy("ord").limit(batch_rows)
         together = batch.withColumn("one", F.lit(0)).groupBy("one")
-        leaders = together.applyInPandas(_leaders_of_batch(threshold), shape).checkpoint()
+        leaders = cut(together.applyInPandas(_leaders_of_batch(threshold), shape))
         near = similar_to(open_rows, leaders, threshold, small_bases=True)
         ranked = near.join(
             F.broadcast(leaders.select(F.col("file").alias("base_file"), F.col("ord").alias("base_ord"))),
@@ -253,23 +250,15 @@ def assign_leaders(singles: DataFrame, threshold: float = THRESHOLD) -> DataFram
             .select("file", "m.leader", "m.score")
         )
         itself = leaders.select("file", F.col("file").alias("leader"), F.lit(1.0).alias("score"))
-        taken = taken.join(itself.select("file"), "file", "left_anti").unionByName(itself).checkpoint()
+        taken = cut(taken.join(itself.select("file"), "file", "left_anti").unionByName(itself))
         done = taken if done is None else done.unionByName(taken)
-        open_rows = open_rows.join(taken.select("file"), "file", "left_anti").checkpoint()
+        open_rows = cut(open_rows.join(taken.select("file"), "file", "left_anti"))
         batch_rows = min(batch_rows * 2, LARGEST_BATCH)
     if done is None:
         return singles.select("file", F.col("file").alias("leader"), F.lit(1.0).alias("score"))
     return done
 
 
-def ensure_checkpoint_dir(spark) -> None:
-    """Use the folder the cluster names; only a session without one gets a scratch folder."""
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-
-
 def schema_groups(schemas: DataFrame, size: Column, threshold: float = THRESHOLD) -> DataFrame:
     """Assign every file to exactly one group of equal, similar or single schema.
 
@@ -286,8 +275,7 @@ def schema_groups(schemas: DataFrame, size: Column, threshold: float = THRESHOLD
         .orderBy("file")
         .withColumn("ord", F.monotonically_increasing_id())
     )
-    ensure_checkpoint_dir(schemas.sparkSession)
-    heads = heads.checkpoint()
+    heads = cut(heads)
     exact = heads.filter("files > 1").select("ord", F.col("file").alias("leader"), F.lit(1.0).alias("least"), "files")
     assigned = assign_leaders(heads.filter("files = 1"), threshold)
     followers = assigned.groupBy("leader").agg(

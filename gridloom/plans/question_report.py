@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import entities as ent
 from gridloom.functions.paths import base_name
 from gridloom.operators.clean import or_default
+from gridloom.operators.lineage import cut
 from gridloom.operators.ordered import RowOrder, carry_forward, look_around, number_rows, running_sum
 from gridloom.operators.rollup import conditional_counts, custom_rank
 
@@ -103,8 +104,9 @@ def companies(rows: DataFrame) -> DataFrame:
     cells = rows.filter("row_idx < 30").select("file_path", "row_idx", F.posexplode("cells").alias("pos", "cell"))
     place = F.struct("row_idx", "pos")
     cell, row = F.col("cell"), F.col("row_idx")
-    title = F.when(row < 20, ent.split_title(ent.title_cell(cell)))
-    keyed = ent.keyed_cell(cell)
+    coloned, piped, bracketed = cell.contains(":"), cell.contains(" | "), cell.contains("(")
+    title = F.when((row < 20) & (piped | coloned), ent.split_title(ent.title_cell(cell)))
+    keyed = F.when(coloned | bracketed, ent.keyed_cell(cell))
     likely = F.when((row < 20) & ent.looks_like_name(cell), F.trim(cell))
     about = F.when(row.between(5, 19) & cell.contains(DESCRIPTION_MARK), cell)
 
@@ -148,9 +150,10 @@ def companies(rows: DataFrame) -> DataFrame:
 def records(rows: DataFrame, add_placeholders: bool = True) -> DataFrame:
     """Question records of the first sheets with company columns and lineage."""
     first_sheet = rows.filter("sheet_no = 0")
-    company = companies(first_sheet)
+    company = cut(companies(first_sheet))
     asked = questions(first_sheet).join(company, "file_path")
     if add_placeholders:
+        asked = cut(asked)
         have = asked.groupBy("file_path").agg(F.collect_set("risk_type").alias("have"))
         wanted = F.array(*[F.lit(r) for r in PLACEHOLDER_RISKS])
         lacking = company.join(have, "file_path", "left").withColumn(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.entities import DEFAULT_CURRENCY, currency
 from gridloom.functions.paths import base_name
 from gridloom.operators.clean import or_default, tolerant_equal
+from gridloom.operators.lineage import cut
 from gridloom.operators.ordered import RowOrder, carry_forward, look_around, ordered_concat, running_sum
 
 # Labels of the report layout.
@@ -154,7 +155,7 @@ def _screens(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
     stop = (F.col("starts") > 0) & (c0 == TYPE_HEADER) & ~F.col("header") & ~F.col("data")
     gated = running_sum(started, by, {"stops": _flag(stop)})
     kept = gated.filter("starts > 0 and stops = 0 and not header and data").filter(F.coalesce(c0, F.lit("")) != "")
-    found = kept.select(
+    wanted = kept.select(
         *LINEAGE, "name", "key", c0.alias("business_involvement_screen_group"), "currency",
         or_default(F.col("c1"), "-").alias("business_involvement_screen_revenue"),
         or_default(F.col("c2"), "-").alias("business_involvement_screen_revenue_pct"),
@@ -163,6 +164,7 @@ def _screens(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
         or_default(F.col("c5"), "0").alias("exclusionary_screen_ownership_count_actual"),
         or_default(F.col("c6"), "-").alias("exclusionary_screen_max_ownership_count_actual"),
     )
+    found = cut(wanted)
     lone = company.join(found.select("file_path").distinct(), "file_path", "left_anti")
     named = grid.filter(c0.isin(list(DEFAULT_SCREENS))).select("file_path", c0.alias("screen")).distinct()
     places = {s: i for i, s in enumerate(DEFAULT_SCREENS)}
@@ -210,8 +212,10 @@ def _products(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
         or_default(F.col(f"c{i}"), default).alias(name)
         for i, (name, default) in enumerate(PRODUCT_VALUES.items(), start=1)
     ]
-    found = gated.filter(entry).select(
-        *LINEAGE, "involvement_type", F.when(indented, F.trim(c0)).otherwise("").alias("subcategory"), *values
+    found = cut(
+        gated.filter(entry).select(
+            *LINEAGE, "involvement_type", F.when(indented, F.trim(c0)).otherwise("").alias("subcategory"), *values
+        )
     )
     lone = company.select("file_path").join(found.select("file_path").distinct(), "file_path", "left_anti")
     pairs = [(t, s) for t, subs in DEFAULT_PRODUCTS.items() for s in ["", *subs]]
@@ -226,9 +230,13 @@ def _products(grid: DataFrame, by: RowOrder, details: DataFrame) -> DataFrame:
 
 
 def tables(rows: DataFrame) -> ScreenTables:
-    """The three tables of every report in a cell grid."""
+    """The three tables of every report in a cell grid.
+
+    Details are one row per file and feed both other tables; the found rows decide where defaults
+    apply. Both are cut so that the row-order steps run once.
+    """
     grid, by = _grid(rows)
-    details = _details(grid)
+    details = cut(_details(grid))
     return ScreenTables(details, _screens(grid, by, details), _products(grid, by, details))
 
 

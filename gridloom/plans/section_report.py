@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.entities import file_side, sided_file_company
 from gridloom.functions.paths import base_name
-from gridloom.operators.ordered import RowOrder, carry_forward, look_around
 from gridloom.operators.clean import conform, fill_blank, pseudo_data
+from gridloom.operators.lineage import cut
+from gridloom.operators.ordered import RowOrder, carry_forward, look_around
 
 # Columns of the two outputs and of the sheets.
 COMMON = ["Relationship Type", "Primary Industry", "Geography", "Start Date", "End Date"]
@@ -156,17 +157,14 @@ def relationships(rows: DataFrame, legacy: bool = False) -> DataFrame:
     Sheets are taken in order: the first sheet with a plain table wins if no earlier sheet, itself
     included, had section records; otherwise the section records stand.
     """
-    marked = _marked(rows)
-    by_section = _data_records(_section_rows(marked), legacy)
-    direct = _data_records(_direct_rows(marked), legacy)
+    marked = cut(_marked(rows))
+    by_section = cut(_data_records(_section_rows(marked), legacy))
     file = ["file_path", "side"]
     first_section = by_section.groupBy(*file).agg(F.min("sheet_no").alias("section_sheet"))
+    early = marked.join(first_section, file, "left").filter("section_sheet is null or sheet_no < section_sheet")
+    direct = cut(_data_records(_direct_rows(early), legacy))
     first_direct = direct.groupBy(*file).agg(F.min(F.struct("sheet_no", "header_row")).alias("d"))
-    choice = (
-        first_direct.join(first_section, file, "left")
-        .filter("section_sheet is null or d.sheet_no < section_sheet")
-        .select(*file, F.col("d.sheet_no").alias("sheet_no"), F.col("d.header_row").alias("header_row"))
-    )
+    choice = first_direct.select(*file, "d.sheet_no", "d.header_row")
     chosen = direct.join(choice, [*file, "sheet_no", "header_row"], "left_semi")
     kept = by_section.join(choice.select(*file), file, "left_anti")
     both = kept.unionByName(chosen)
