@@ -265,13 +265,10 @@ def schema_groups(schemas: DataFrame, size: Column, threshold: float = THRESHOLD
     Output: file, group_name, reason, similarity (the least one to the base), recommended_name.
     """
     sized = schemas.select("*", size.alias("_mb"))
-    prints = sized.groupBy("fingerprint").agg(
-        F.min("file").alias("first_file"), F.count("*").alias("files")
-    )
-    first = sized.select("file", "names", "typed")
     heads = (
-        prints.join(first, prints["first_file"] == first["file"])
-        .select("fingerprint", "files", "file", "names", "typed")
+        sized.groupBy("fingerprint")
+        .agg(F.count("*").alias("files"), F.min(F.struct("file", "names", "typed")).alias("first"))
+        .select("fingerprint", "files", "first.*")
         .orderBy("file")
         .withColumn("ord", F.monotonically_increasing_id())
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from gridloom.functions.casts import infer_type, lenient_cast
-from gridloom.functions.paths import base_name
+from gridloom.functions.paths import base_name, table_from_dated_path, table_from_document
 from gridloom.operators.clean import keyword_filter
 from gridloom.operators.dedup import dedup_stats, distinct_rows, first_per_key
 from gridloom.operators.ledger import unprocessed
@@ -17,7 +17,7 @@ from gridloom.operators.rollup import reduction
 from gridloom.operators.schemas import catalog_of, schema_drift
 from gridloom.plans import question_report, screen_report, section_report
 from gridloom.sources import writers
-from gridloom.sources.folder import file_catalog, read_folder, read_schema_document
+from gridloom.sources.folder import file_catalog, read_folder, read_list, read_schema_document, split_list
 from gridloom.sources.workbook import grid_errors, grid_rows, read_grid
 
 # Type names of schema documents by Spark type name.
@@ -148,6 +148,39 @@ def extract_schema_job(spark: SparkSession, paths: list[str], target: str, infer
     return True
 
 
+def _per_line(lines: list, run: Callable, spark: SparkSession) -> DataFrame:
+    """One Spark job per list-file line; a line that fails is reported and the next one is taken."""
+    outcomes = []
+    for line in lines:
+        try:
+            outcomes.append((line["table"], "ok", run(line), ""))
+        except Exception as problem:
+            outcomes.append((line["table"], "fail", 0, f"{type(problem).__name__}: {problem}"[:500]))
+    return spark.createDataFrame(outcomes, "table string, status string, rows long, reason string")
+
+
+def load_list_job(spark: SparkSession, list_path: str, mode: str = "legacy") -> DataFrame:
+    """Typed loads for a list file of ``schema document,parquet path`` lines; one outcome per line."""
+    entries = split_list(read_list(spark, list_path), ["document", "source"])
+    lines = entries.withColumn("table", table_from_document(F.col("document"))).collect()
+
+    def run(line) -> int:
+        if not line["complete"]:
+            raise ValueError(f"a field is missing in: {line['line']}")
+        return typed_load_job(spark, line["document"], [line["source"]], line["table"], mode)
+
+    return _per_line(lines, run, spark)
+
+
+def extract_list_job(spark: SparkSession, list_path: str, target: str) -> DataFrame:
+    """Schema documents for a list file of Parquet paths, named after the paths; rows is 1 when written."""
+    entries = read_list(spark, list_path)
+    lines = entries.withColumn("table", table_from_dated_path(F.col("line"))).collect()
+    return _per_line(
+        lines, lambda line: int(extract_schema_job(spark, [line["line"]], f"{target}/{line['table']}")), spark
+    )
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger table, empty before the first run."""
     try:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from gridloom.functions.casts import infer_type, lenient_cast, type_bucket
 from gridloom.functions.names import sanitize, snake, tidy_header
 from gridloom.functions.paths import table_from_dated_path
-from gridloom.operators import recon, schemas
+from gridloom.operators import ledger, recon, schemas
 from gridloom.plans import intake, listings
 from gridloom.streaming.intake import csv_stream, grid_stream, run_available, split_sink
 from workbooks import write_workbook
@@ -86,6 +86,28 @@ def test_extract_schema(spark, tmp_path):
     assert not intake.extract_schema_job(spark, [str(tmp_path / "p")], target)
 
 
+def test_list_jobs(spark, tmp_path):
+    data = tmp_path / "My Table" / "20250331"
+    spark.createDataFrame([("1", "a")], "id string, note string").write.parquet(str(data))
+    (tmp_path / "p.txt").write_text(f"# paths\n{data}\n")
+    assert [tuple(r)[:3] for r in intake.extract_list_job(spark, str(tmp_path / "p.txt"), str(tmp_path / "out")).collect()] == [
+        ("my_table", "ok", 1)
+    ]
+    (tmp_path / "some-Doc.json").write_text(json.dumps([{"name": "id", "type": "INTEGER"}]))
+    (tmp_path / "l.txt").write_text(f"{tmp_path}/some-Doc.json, {data}\n{tmp_path}/gone.json, {data}\nonly-one\n")
+    done = intake.load_list_job(spark, str(tmp_path / "l.txt")).collect()
+    assert [(r.table, r.status, r.rows) for r in done] == [("some_doc", "ok", 1), ("gone", "fail", 0), ("only_one", "fail", 0)]
+    assert spark.table("some_doc").first().asDict() == {"id": 1, "note": "a"}
+
+
+def test_quarantine_budget(spark):
+    rows = spark.createDataFrame([(1,), (-1,), (-2,)], "n int")
+    flagged = ledger.quarantine(rows, {"negative": F.col("n") < 0})
+    ledger.check_budget(flagged, 2)
+    with pytest.raises(ValueError):
+        ledger.check_budget(flagged, 1)
+
+
 def test_recon_job(spark, tmp_path):
     (tmp_path / "l.txt").write_text("a.xlsx\na.xlsx\nb/it’s.xlsx\nc.tmp\n")
     (tmp_path / "r.txt").write_text("prefix/a.xlsx\nprefix/b/it's.xlsx\nprefix/d.xlsx\n")
