@@ -13,7 +13,7 @@ the sample only decides which way a key goes, every row takes part in the result
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ class RowOrder:
     keys: list[str]
     order: list[str]
     position: Column
-    rows_per_task: int = ROWS_PER_TASK
+    rows_per_task: int = field(default_factory=lambda: ROWS_PER_TASK)
     large: list[Row] | DataFrame | None = None
 
     def window(self, *more: str) -> WindowSpec:
