@@ -1,7 +1,7 @@
 """Row-order operators that hold up when one key owns a large share of the table.
 
 A window over a whole key puts that key into one task. Here keys are measured first. Keys that fit
-a task use the plain window. A key above ``rows_per_task`` is cut into spans of its position range;
+a task use the plain window. A key above ``rows_per_task`` is cut into spans along its position quantiles;
 each span is its own window, a small table of span summaries carries state across spans, and the
 join back is on (key, span). No row is dropped or sampled and the result equals the plain window.
 Measuring runs one aggregate over a sample of the key and position columns when the plan is built;
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 1_000_000
 BROADCAST_KEYS = 10_000
 SAMPLED_ROWS_OF_A_LARGE_KEY = 1_000
+QUANTILES = 64
 
 
 @dataclass(frozen=True)
@@ -73,17 +74,31 @@ def _prefixed(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def large_keys(df: DataFrame, by: RowOrder) -> DataFrame:
-    """Keys above the task size with their range: at most rows / rows_per_task of them."""
+    """Keys above the task size with their position quantiles: at most rows / rows_per_task of them."""
     fraction = min(1.0, SAMPLED_ROWS_OF_A_LARGE_KEY / by.rows_per_task)
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
     rows = df.select(*by.keys, by.position.alias("_pos"))
     seen = rows if fraction == 1.0 else rows.sample(fraction, seed=7)
     return (
         seen.groupBy(*by.keys)
-        .agg((F.count("*") / fraction).alias("_n"), F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"))
+        .agg((F.count("*") / fraction).alias("_n"), F.percentile_approx("_pos", shares).alias("_bounds"))
         .filter(F.col("_n") > by.rows_per_task)
     )
 
 
+def _span(by: RowOrder) -> Column:
+    """Span number of a row: its quantile of the key's positions, then an even share of that range.
+
+    It never decreases along the position, whatever the sample missed.
+    """
+    bounds, position = F.col("_bounds"), by.position
+    passed = F.size(F.filter(bounds, lambda b: b <= position))
+    per_quantile = F.ceil(F.col("_n") / F.lit(by.rows_per_task * QUANTILES))
+    low, high = F.get(bounds, passed - 1), F.get(bounds, passed)
+    share = (position - low) / (high - low + F.lit(1.0))
+    return passed * per_quantile + F.coalesce(F.floor(share * per_quantile), F.lit(0))
+
+
 def by_key_size(
     df: DataFrame,
     by: RowOrder,
@@ -99,9 +114,7 @@ def by_key_size(
         return small(df)
     big = _prefixed(found, by.keys)
     match = _same(df, big, by.keys)
-    share = (by.position - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
-    spans = F.ceil(F.col("_n") / F.lit(by.rows_per_task))
-    cut = df.join(big, match).select(*df.columns, F.floor(share * spans).cast("long").alias("_span"))
+    cut = df.join(big, match).select(*df.columns, _span(by).alias("_span"))
     rest = df.join(big, match, "left_anti")
     return small(rest).unionByName(large(cut))
 
