@@ -14,9 +14,12 @@ from gridloom.functions.paths import (
     table_from_leading_parts,
 )
 from gridloom.operators.clean import extension_filter, folder_filter
+from gridloom.operators.lineage import cut
 from gridloom.operators.recon import diff_report, diff_summary, megabytes, multiset_diff, section_lines, size_buckets
 from gridloom.operators.schemas import file_schemas, group_report, group_totals, schema_groups
 from gridloom.sources import writers
+from gridloom.sources.catalog import folder_catalog
+from gridloom.sources.files import list_files
 from gridloom.sources.folder import file_catalog, read_list
 
 
@@ -70,6 +73,13 @@ def grouping_job(catalog: DataFrame, sizes: DataFrame, target: str, strict: bool
     return group_totals(report)
 
 
+def group_folder_job(spark: SparkSession, source: str, target: str, strict: bool = False) -> DataFrame:
+    """Schema grouping of a folder; ``strict`` types CSV columns by their values."""
+    bare = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    sizes = list_files(spark, source).select(bare.alias("file"), megabytes(F.col("length")).alias("size_mb"))
+    return grouping_job(cut(folder_catalog(spark, source, infer=strict)), sizes, target, strict)
+
+
 def load_tasks(files: DataFrame, path: Column, table: Column | None = None) -> DataFrame:
     """One load task per derived table: the pattern of the first path."""
     named = files.select(path.alias("path")).withColumn(

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scanned_path() -> Column:
+    """Path of the file a row was read from; Spark's metadata column holds it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?])", r"\\\1", path)
+
+
 def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 

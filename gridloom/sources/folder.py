@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from gridloom.functions.paths import base_name, suffix
 from gridloom.operators.dedup import union_by_name
 from gridloom.operators.recon import megabytes
-from gridloom.sources.files import list_files
+from gridloom.sources.files import list_files, literal, scanned_path
 from gridloom.sources.workbook import WORKBOOK_GLOB, grid_rows, grid_to_table, read_grid
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".xlsx": "workbook", ".xls": "workbook"}
 
 
-def _glob(extension: str) -> str:
+def glob_of(extension: str) -> str:
+    """Glob for an extension in any case."""
     return "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in extension)
 
 
@@ -32,18 +33,18 @@ def file_catalog(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def with_lineage(df: DataFrame) -> DataFrame:
     """Add source path and processing time to a file-source table."""
     return df.select(
-        "*", F.col("_metadata.file_path").alias("source_file"), F.current_timestamp().alias("processed_timestamp")
+        "*", scanned_path().alias("source_file"), F.current_timestamp().alias("processed_timestamp")
     )
 
 
-def csv_headers(spark: SparkSession, path: str, glob: str = _glob("csv")) -> DataFrame:
+def csv_headers(spark: SparkSession, path: str, glob: str = glob_of("csv")) -> DataFrame:
     """Header line of each CSV file: the first line of the file's first block."""
     lines = (
         spark.read.option("pathGlobFilter", glob)
         .text(path)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("path"),
+            scanned_path().alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
         )
@@ -69,7 +70,7 @@ def read_csv_folder(spark: SparkSession, path: str, types: str = "infer") -> lis
         csv_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     )
     found = by_header.orderBy(F.get("paths", F.lit(0))).collect()
-    return [read_csv(spark, row["paths"], types) for row in found]
+    return [read_csv(spark, [literal(p) for p in row["paths"]], types) for row in found]
 
 
 def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -91,10 +92,10 @@ def read_folder(spark: SparkSession, path: str, types: str = "infer") -> DataFra
         frames += read_csv_folder(spark, path, types)
     if "parquet" in kinds:
         frames.append(
-            spark.read.option("pathGlobFilter", _glob("parquet")).option("mergeSchema", True).parquet(path)
+            spark.read.option("pathGlobFilter", glob_of("parquet")).option("mergeSchema", True).parquet(path)
         )
     if "json" in kinds:
-        frames.append(spark.read.option("pathGlobFilter", _glob("json")).json(path))
+        frames.append(spark.read.option("pathGlobFilter", glob_of("json")).json(path))
     if "workbook" in kinds:
         frames.append(grid_to_table(grid_rows(read_grid(spark, path, glob=WORKBOOK_GLOB))).drop("file_path", "row_idx"))
     if not frames:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridloom.sources.files import scanned_path
 from gridloom.sources.workbook import GRID_SCHEMA, SIZE_LIMIT, WORKBOOK_GLOB, _grid_frames
 
 
@@ -19,7 +20,7 @@ def csv_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+        .withColumn("source_file", scanned_path())
     )
 
 

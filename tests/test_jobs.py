@@ -9,6 +9,7 @@ from gridloom.functions.names import sanitize, snake, tidy_header
 from gridloom.functions.paths import table_from_dated_path
 from gridloom.operators import ledger, recon, schemas
 from gridloom.plans import intake, listings
+from gridloom.sources.catalog import folder_catalog
 from gridloom.streaming.intake import csv_stream, grid_stream, run_available, split_sink
 from workbooks import write_workbook
 
@@ -145,6 +146,33 @@ def test_grouping_job(spark, tmp_path):
     assert got["f5"] == ("individual_file_003", 1.0, "f5.parquet") and got["f6"][0] == "individual_file_004"
 
 
+def test_folder_catalog_and_grouping(spark, tmp_path):
+    source = tmp_path / "my files"
+    source.mkdir()
+    (source / "a.csv").write_text('id,"na,me",when,x\n1,"p,q",2025-01-02,2.5\n22,r,2025-01-03,\n')
+    (source / "b.csv").write_text("x,when,id,\"na,me\"\n1,2025-01-02 03:04:05,5,z\n")
+    (source / "c.json").write_text('{"id": 1, "tag": "t"}\n{"id": 2, "more": {"a": 1}}\n')
+    spark.createDataFrame([(1, 2.0)], "k long, v double").toPandas().to_parquet(source / "d.parquet")
+    write_workbook(source / "e.xlsx", {"S": [["k", None, "v"], ["1", None, "2"]]})
+
+    def columns(infer):
+        got = {}
+        for r in folder_catalog(spark, str(source), infer).orderBy("file", "ordinal").collect():
+            got.setdefault(r.file.rsplit("/", 1)[1], []).append((r.column, r.type))
+        return got
+
+    loose = columns(False)
+    assert loose["a.csv"] == [(c, "string") for c in ("id", "na,me", "when", "x")]
+    assert [c for c, _ in loose["c.json"]] == ["id", "more", "tag"] and dict(loose["c.json"])["tag"] == "string"
+    assert loose["d.parquet"] == [("k", "int64"), ("v", "double")]
+    assert loose["e.xlsx"] == [("k", "string"), ("v", "string")]
+    strict = columns(True)
+    assert strict["a.csv"] == [("id", "int"), ("na,me", "string"), ("when", "date"), ("x", "double")]
+    assert dict(strict["b.csv"])["when"] == "timestamp"
+    totals = listings.group_folder_job(spark, str(source), str(tmp_path / "g")).first()
+    assert (totals.files, totals.groups) == (5, 4)
+
+
 def test_leaders_equal_the_sequential_rule(spark, monkeypatch):
     import random
 

@@ -8,6 +8,7 @@ from gridloom.operators.dedup import dedup_stats
 from gridloom.operators.recon import size_buckets
 from gridloom.plans.intake import dedup_job
 from gridloom.sources import folder, writers
+from gridloom.sources.files import list_files
 from gridloom.sources.workbook import file_kind, grid_errors, grid_rows, grid_to_table, read_grid
 
 
@@ -48,6 +49,19 @@ def test_empty_folder_and_empty_table(spark, tmp_path):
     assert rows(dedup_stats(spark.createDataFrame([], "a int"), ["a"])) == [(0, 0, 0, None)]
 
 
+def test_awkward_file_names(spark, tmp_path):
+    source = tmp_path / "my files"
+    source.mkdir()
+    (source / "a b%+(1)[x].csv").write_text("id,x\n1,2\n")
+    (source / "c.csv").write_text("x,y\n3,4\n")
+    (source / "é e.csv").write_text("")
+    table = folder.read_folder(spark, str(source))
+    assert rows(table.select("id", "x", "y")) == [(1, 2, None), (None, 3, 4)]
+    listed = {r.path: r.length for r in list_files(spark, str(source)).collect()}
+    assert {p.rsplit("/", 1)[1]: n for p, n in listed.items()} == {"a b%+(1)[x].csv": 9, "c.csv": 8, "é e.csv": 0}
+    assert {r.path for r in folder.csv_headers(spark, str(source)).collect()} < set(listed)
+
+
 def test_workbook_grid(spark, tmp_path):
     sheet = [["Name", None, "When", "OK"], [], ["x & y", 2.5, Date(45747), True], [None, 7, None, None]]
     write_workbook(tmp_path / "w.xlsx", {"First": sheet, "Second": [["a"]]})
