@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm import chat, pieces, secret_scan, token_counts, token_files, topk
+from gridloom.llm import chat, language, pieces, secret_scan, token_counts, token_files, topk
 from gridloom.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,13 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, at, WORDS)
 
 
+@query("op6_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.predict(documents, language.learn(documents))
+    return found.select("doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), WORDS)
