@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm import chat, language, pieces, secret_scan, token_counts, token_files, topk
+from gridloom.llm import chat, html_text, language, pieces, secret_scan, token_counts, token_files, topk
 from gridloom.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], rows.schema)
     turns = rows.union(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
     return chat.chat_digests(chat.format_chats(turns))
+
+
+@query("op10_html_text")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.learn(pages))
