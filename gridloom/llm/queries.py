@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm import chat, html_text, language, pieces, secret_scan, token_counts, token_files, topk
+from gridloom.llm import chat, html_text, language, pieces, secret_scan, tiling, token_counts, token_files, topk
 from gridloom.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, at, WORDS)
 
 
+@query("op5_decontamination")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op6_language")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
