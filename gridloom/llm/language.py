@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.batches import slices, typed
+from gridloom.llm.batches import ROWS, slices, typed
 from gridloom.llm.staging import staged
 
 ORDER = 4
@@ -283,24 +283,49 @@ def predict(df: DataFrame, models: Models | None, key: str = "doc_id", text: str
     shared = df.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
-        models = shared.value
-        scorer = Scorer(models)
+        judge = Judge(shared.value)
         for part in slices(batches):
-            texts = [x or "" for x in part["t"]]
-            sums = scorer.sums(texts)
-            chars, bits = sums[:, -1], entropies(sums)
-            best = bits.argmin(axis=1)
-            lowest = bits[np.arange(len(best)), best]
-            weight = np.minimum(chars, EVIDENCE)[:, None]
-            score = 1 / np.exp2((lowest[:, None] - bits) * weight).sum(axis=1)
-            mean, spread = models.usual[best].T
-            known = chars > 0
-            strange = lowest - mean > MARGIN + DEVIATIONS * spread / np.sqrt(np.maximum(chars, 1))
+            pred, score, entropy, rejected = judge.verdicts(part["t"])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": part["k"],
-                "lang_pred": [models.languages[b] if k else UNKNOWN for b, k in zip(best, known)],
-                "score": np.where(known, score, 0.0), "entropy": np.where(known, lowest, np.nan),
-                "rejected": ~known | strange,
+                "doc_id": part["k"], "lang_pred": pred, "score": score, "entropy": entropy, "rejected": rejected,
             })
 
     return columns.mapInArrow(typed(run, schema), schema)
+
+
+class Judge:
+    """Predictions for texts."""
+
+    def __init__(self, models: Models) -> None:
+        self.models, self.scorer = models, Scorer(models)
+
+    def verdicts(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        sums = self.scorer.sums([x or "" for x in texts])
+        chars, bits = sums[:, -1], entropies(sums)
+        best = bits.argmin(axis=1)
+        lowest = bits[np.arange(len(best)), best]
+        weight = np.minimum(chars, EVIDENCE)[:, None]
+        score = 1 / np.exp2((lowest[:, None] - bits) * weight).sum(axis=1)
+        mean, spread = self.models.usual[best].T
+        known = chars > 0
+        strange = lowest - mean > MARGIN + DEVIATIONS * spread / np.sqrt(np.maximum(chars, 1))
+        pred = [self.models.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+        return pred, np.where(known, score, 0.0), np.where(known, lowest, np.nan), ~known | strange
+
+
+def accepted(df: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text is not rejected, with all their columns."""
+    if models is None:
+        return df.limit(0)
+    shared = df.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches):
+        judge = Judge(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                rejected = judge.verdicts(part.column(place).to_pylist())[3]
+                yield part.filter(pa.array(~rejected))
+
+    place = df.columns.index(text)
+    return df.mapInArrow(run, df.schema)

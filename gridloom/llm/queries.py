@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm import chat, html_text, language, pieces, secret_scan, tiling, token_counts, token_files, topk
+from gridloom.llm import chat, html_text, jaccard, language, pieces, secret_scan, tiling, token_counts, token_files, topk
 from gridloom.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), words=3, share=90, of=100)
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), WORDS)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+#: Ids up to which a list of rows to leave out is broadcast; 8 bytes each.
+FEW = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +31,9 @@ def mounted(path: str) -> str:
     if "://" in path:
         raise ValueError(f"{path} is not a mounted folder")
     return path
+
+
+def without(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows whose key is not in ``ids`` (one column of that name); rows with a null key stay."""
+    ids = staged(ids.distinct())
+    return df.join(F.broadcast(ids) if ids.count() <= FEW else ids, key, "left_anti")
