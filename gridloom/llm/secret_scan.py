@@ -65,6 +65,11 @@ def normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(F.lit(1.5976) * z + F.lit(0.07056) * F.pow(z, F.lit(3))))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tests(run: Column) -> Column:
     """Struct (uniform, text) of p-values for a run: of uniform symbols, and of ordinary text."""
     symbols, agree = F.lit(None).cast("string"), F.lit(None).cast("double")
@@ -73,9 +78,10 @@ def tests(run: Column) -> Column:
         symbols = F.when(fits, F.lit(alphabet)).otherwise(symbols)
         agree = F.when(fits, F.lit(chance)).otherwise(agree)
     # The two last symbols of base 64 are written in two ways.
-    plain = F.translate(run, "-_", "+/")
-    values = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.position(c, symbols) - 1)
-    return from_values(values, F.char_length(symbols).cast("double"), agree)
+    plain = F.filter(F.split(F.translate(run, "-_", "+/"), ""), lambda c: c != "")
+    return let(symbols, lambda alphabet: let(
+        F.transform(plain, lambda c: F.position(c, alphabet) - 1),
+        lambda values: from_values(values, F.char_length(alphabet).cast("double"), agree)))
 
 
 def from_values(values: Column, k: Column, agree: Column) -> Column:
@@ -86,22 +92,37 @@ def from_values(values: Column, k: Column, agree: Column) -> Column:
         F.array_distinct(values), zero,
         lambda s, v: s + F.pow(F.size(F.filter(values, lambda x: x == v)).cast("double"), F.lit(2)),
     )
-    chi = (k / n) * squares - n
-    z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
     pairs = F.zip_with(F.slice(values, 1, F.size(values) - 1), F.slice(values, 2, F.size(values)),
                        lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     middle, spread = (k - 1) / 2, (k * k - 1) / 12
-    changes = F.aggregate(pairs, zero, lambda s, x: s + ((x["a"] > middle) != (x["b"] > middle)).cast("double"))
-    z_runs = (2 * changes - (n - 1)) / F.sqrt(n - 1)
-    products = F.aggregate(pairs, zero, lambda s, x: s + (x["a"] - middle) * (x["b"] - middle))
-    z_serial = products / (spread * F.sqrt(n - 1))
-    logs = [F.log(F.greatest(p, F.lit(1e-300))) for p in
-            (normal_tail(z_chi), 2 * normal_tail(F.abs(z_runs)), 2 * normal_tail(F.abs(z_serial)))]
-    half = -(logs[0] + logs[1] + logs[2])
-    uniform = F.exp(-half) * (1 + half + half * half / 2)
-    collisions, expected = (squares - n) / 2, n * (n - 1) / 2 * agree
-    text = normal_tail((expected - collisions - 0.5) / F.sqrt(expected))
-    return F.struct(uniform.alias("uniform"), text.alias("text"))
+    sums = F.aggregate(
+        pairs, F.struct(zero.alias("changes"), zero.alias("products")),
+        lambda s, x: F.struct(
+            (s["changes"] + ((x["a"] > middle) != (x["b"] > middle)).cast("double")).alias("changes"),
+            (s["products"] + (x["a"] - middle) * (x["b"] - middle)).alias("products")),
+    )
+
+    def scores(x: Column) -> Column:
+        squares, changes, products = x["squares"], x["sums"]["changes"], x["sums"]["products"]
+        chi = (k / n) * squares - n
+        z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+        z_runs = (2 * changes - (n - 1)) / F.sqrt(n - 1)
+        z_serial = products / (spread * F.sqrt(n - 1))
+        collisions, expected = (squares - n) / 2, n * (n - 1) / 2 * agree
+        return F.struct(z_chi.alias("chi"), F.abs(z_runs).alias("runs"), F.abs(z_serial).alias("serial"),
+                        ((expected - collisions - 0.5) / F.sqrt(expected)).alias("text"))
+
+    def half_statistic(z: Column) -> Column:
+        ps = normal_tail(z["chi"]), 2 * normal_tail(z["runs"]), 2 * normal_tail(z["serial"])
+        logs = [F.log(F.greatest(p, F.lit(1e-300))) for p in ps]
+        return F.struct((-(logs[0] + logs[1] + logs[2])).alias("half"), normal_tail(z["text"]).alias("text"))
+
+    def chances(x: Column) -> Column:
+        half = x["half"]
+        return F.struct((F.exp(-half) * (1 + half + half * half / 2)).alias("uniform"), x["text"].alias("text"))
+
+    found = F.struct(squares.alias("squares"), sums.alias("sums"))
+    return let(found, lambda x: let(scores(x), lambda z: let(half_statistic(z), chances)))
 
 
 def looked_at(text: Column) -> Column:
@@ -140,11 +161,13 @@ def with_secrets(df: DataFrame, text: str = "text", share: float = FALSE_SHARE)
         F.filter(matches(body, ASSIGN), lambda m: F.char_length(F.regexp_extract(m["match"], ASSIGN, 2)) >= SHORTEST_VALUE),
         matches(body, ACCESS), matches(body, HEX),
     ]
-    named = [F.transform(x, lambda m, i=i: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end")))
-             for i, x in enumerate(base)]
+    def of_kind(kind: int):
+        return lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
+
+    named = [F.transform(x, of_kind(i)) for i, x in enumerate(base)]
     random = F.filter(looked_at(body), lambda m: (m["p"]["text"] <= best) & (m["p"]["uniform"] >= UNIFORM))
     free = F.filter(random, lambda r: ~F.exists(F.col("_base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    added = F.transform(free, lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("kind"), m["end"].alias("end")))
+    added = F.transform(free, of_kind(len(base)))
     return (df.withColumn("_base", F.concat(*named))
             .withColumn("secrets", F.array_sort(F.concat("_base", added))).drop("_base"))
 
