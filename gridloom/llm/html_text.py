@@ -303,8 +303,13 @@ def train(pages: list[str]) -> Field | None:
 
 def learn(df: DataFrame, key: str = "page_id", page: str = "html") -> Field | None:
     """A field from at most ``SAMPLE`` labelled pages, drawn by the hash of their id."""
-    stated = df.filter(F.lower(F.col(page)).rlike("<(article|main)[ >]")).select(key, F.col(page).alias("html"))
-    sample = stated.orderBy(F.xxhash64(F.col(key).cast("long")), "html").limit(SAMPLE).select("html")
+    stated = df.filter(F.lower(F.col(page)).rlike("<(article|main)[ >]")).select(
+        F.xxhash64(F.col(key).cast("long"), F.col(page)).alias("place"), F.col(page).alias("html"))
+    # SAMPLE numbers first, so that no task sends pages that are not drawn.
+    last = stated.select("place").orderBy("place").limit(SAMPLE).agg(F.max("place")).first()[0]
+    if last is None:
+        return None
+    sample = stated.filter(F.col("place") <= last).orderBy("place").limit(SAMPLE).select("html")
     return train([r[0] for r in sample.collect()])
 
 
