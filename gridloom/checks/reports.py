@@ -218,5 +218,5 @@ def typed_load(t):
         F.col("o_orderpriority").alias("priority"),
     )
     document = [("id", "INTEGER"), ("amount", "FLOAT64"), ("open_flag", "BOOL"), ("ordered", "DATE"), ("absent", "INT64")]
-    typed = typed_columns(staging, document)
+    typed = typed_columns(staging, document, mode="legacy")
     return typed.withColumn("ordered", F.col("ordered").cast("string"))

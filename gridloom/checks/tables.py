@@ -392,9 +392,10 @@ def top_n(t):
     return dedup.top_rows(orders, [F.desc("o_totalprice"), "o_orderkey"], 100)
 
 
-@query("q_sample")
+@query("q_sample", """select o_orderkey, o_totalprice from orders
+    order by md5('42|' || o_orderkey::varchar), o_orderkey limit 500""")
 def sample(t):
-    return dedup.sample_above(t.orders.select("o_orderkey", "o_totalprice"), 500)
+    return dedup.sample_above(t.orders.select("o_orderkey", "o_totalprice"), 500, ["o_orderkey"])
 
 
 BLANKS_SQL = """with c as (select c_custkey as id, case when c_custkey % 7 = 0 then null when c_custkey % 5 = 0 then ''

@@ -26,7 +26,7 @@ def part_texts(t, sql):
        select p_partkey, try_cast(regexp_replace(nullif(nullif(v, 'NULL'), ''), '[^0-9-]', '', 'g') as bigint) as n from v""",
 )
 def cast_int(t):
-    return part_texts(t, MESSY_SQL).select("p_partkey", lenient_cast(F.col("v"), "INT64").alias("n"))
+    return part_texts(t, MESSY_SQL).select("p_partkey", lenient_cast(F.col("v"), "INT64", mode="legacy").alias("n"))
 
 
 @query(
@@ -35,7 +35,7 @@ def cast_int(t):
        select p_partkey, try_cast(regexp_replace(nullif(nullif(v, 'NULL'), ''), '[^0-9.-]', '', 'g') as double) as x from v""",
 )
 def cast_float(t):
-    return part_texts(t, MESSY_SQL).select("p_partkey", lenient_cast(F.col("v"), "FLOAT64").alias("x"))
+    return part_texts(t, MESSY_SQL).select("p_partkey", lenient_cast(F.col("v"), "FLOAT64", mode="legacy").alias("x"))
 
 
 @query(

@@ -26,35 +26,52 @@ SPARK_TYPE = {
 # Name patterns per type, tried in this order.
 NAME_PATTERNS = {
     "INTEGER": {
-        "exact": "id count quantity qty number num size age year month day week hour minute second",
-        "prefix": "num_ count_ total_ max_ min_ id_",
-        "suffix": "_id _count _num _qty _size _age _year _month _day _key _code",
-        "contains": "",
+        "exact": [
+            "id", "count", "quantity", "qty", "number", "num", "size", "age", "year", "month", "day", "week",
+            "hour", "minute", "second",
+        ],
+        "prefix": ["num_", "count_", "total_", "max_", "min_", "id_"],
+        "suffix": [
+            "_id", "_count", "_num", "_qty", "_size", "_age", "_year", "_month", "_day", "_key", "_code",
+        ],
+        "contains": [],
     },
     "FLOAT64": {
-        "exact": "price cost amount rate ratio percentage percent score weight height"
-        " latitude longitude lat lon lng",
-        "prefix": "price_ cost_ amount_ rate_ total_amount total_cost",
-        "suffix": "_price _cost _amount _rate _ratio _percent _percentage _score _weight _height",
-        "contains": "amount price cost revenue profit margin",
+        "exact": [
+            "price", "cost", "amount", "rate", "ratio", "percentage", "percent", "score", "weight", "height",
+            "latitude", "longitude", "lat", "lon", "lng",
+        ],
+        "prefix": ["price_", "cost_", "amount_", "rate_", "total_amount", "total_cost"],
+        "suffix": [
+            "_price", "_cost", "_amount", "_rate", "_ratio", "_percent", "_percentage", "_score", "_weight",
+            "_height",
+        ],
+        "contains": ["amount", "price", "cost", "revenue", "profit", "margin"],
     },
     "TIMESTAMP": {
-        "exact": "timestamp created_at updated_at modified_at deleted_at last_modified last_updated",
-        "prefix": "timestamp_ ts_",
-        "suffix": "_timestamp _at _time _datetime",
-        "contains": "timestamp _at datetime",
+        "exact": [
+            "timestamp", "created_at", "updated_at", "modified_at", "deleted_at", "last_modified",
+            "last_updated",
+        ],
+        "prefix": ["timestamp_", "ts_"],
+        "suffix": ["_timestamp", "_at", "_time", "_datetime"],
+        "contains": ["timestamp", "_at", "datetime"],
     },
     "DATE": {
-        "exact": "date birth_date start_date end_date created_date updated_date",
-        "prefix": "date_ dt_",
-        "suffix": "_date _dt",
-        "contains": "_date date_",
+        "exact": [
+            "date", "birth_date", "start_date", "end_date", "created_date", "updated_date",
+        ],
+        "prefix": ["date_", "dt_"],
+        "suffix": ["_date", "_dt"],
+        "contains": ["_date", "date_"],
     },
     "BOOLEAN": {
-        "exact": "active enabled deleted valid verified completed success failed",
-        "prefix": "is_ has_ can_ should_ will_ was_ are_",
-        "suffix": "_flag _active _enabled _deleted",
-        "contains": "",
+        "exact": [
+            "active", "enabled", "deleted", "valid", "verified", "completed", "success", "failed",
+        ],
+        "prefix": ["is_", "has_", "can_", "should_", "will_", "was_", "are_"],
+        "suffix": ["_flag", "_active", "_enabled", "_deleted"],
+        "contains": [],
     },
 }
 
@@ -68,12 +85,12 @@ def _is_text(source: T.DataType) -> bool:
 
 
 def lenient_cast(
-    value: Column, target: str, source: T.DataType = T.StringType(), mode: str = "legacy"
+    value: Column, target: str, source: T.DataType = T.StringType(), mode: str = "safe"
 ) -> Column:
     """Cast that yields null instead of failing.
 
-    ``legacy`` strips every character a number cannot hold before an integer or float cast, so
-    ``12.50`` becomes 1250; ``safe`` casts numbers as they stand. Only text is stripped: a source
+    ``safe`` casts numbers as they stand; ``legacy`` strips every character a number cannot hold
+    before an integer or float cast, so ``12.50`` becomes 1250. Only text is stripped: a source
     that is already typed is cast directly.
     """
     kind = target.upper()
@@ -120,11 +137,9 @@ def type_bucket(type_text: Column, strict: bool = False) -> Column:
     )
 
 
-def _pattern(rules: dict[str, str]) -> str:
+def _pattern(rules: dict[str, list[str]]) -> str:
     forms = {"exact": "^({})$", "prefix": "^({})", "suffix": "({})$", "contains": "({})"}
-    return "|".join(
-        form.format("|".join(rules[kind].split())) for kind, form in forms.items() if rules[kind]
-    )
+    return "|".join(form.format("|".join(rules[kind])) for kind, form in forms.items() if rules[kind])
 
 
 def infer_type(name: Column, current: Column) -> Column:

@@ -91,6 +91,9 @@ def top_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def sample_above(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """Random ``n`` rows; a table of at most ``n`` rows comes back whole."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_above(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
+    """Random ``n`` rows, the same ones on every run; a table of at most ``n`` rows comes back whole.
+
+    The order is that of a hash of seed and keys, so it does not depend on partitions; keys tell rows apart.
+    """
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)

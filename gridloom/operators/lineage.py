@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write rows to the checkpoint folder and go on from there, so lost executors cost no recompute.
+    """Write rows as a Parquet table to the shared folder and go on from there.
 
-    The folder is the one the cluster names; only a session without one gets a scratch folder.
+    The folder is ``spark.checkpoint.dir``; where that is unset, one below the warehouse. Every executor reaches
+    either, so a lost executor costs no recompute, and later reads prune columns.
     """
     spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return df.checkpoint()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_cut"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

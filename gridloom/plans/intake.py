@@ -13,6 +13,7 @@ from gridloom.functions.paths import base_name, table_from_dated_path, table_fro
 from gridloom.operators.clean import keyword_filter
 from gridloom.operators.dedup import dedup_stats, distinct_rows, first_per_key
 from gridloom.operators.ledger import unprocessed
+from gridloom.operators.lineage import cut
 from gridloom.operators.rollup import reduction
 from gridloom.operators.schemas import catalog_of, schema_drift
 from gridloom.plans import question_report, screen_report, section_report
@@ -33,8 +34,11 @@ def dedup_job(
     spark: SparkSession, source: str, target: str, subset: list[str] | None = None,
     tie_break: list[str] | None = None, fmt: str = "parquet", types: str = "infer",
 ) -> DataFrame:
-    """Read a folder, drop repeated rows, write the rest and return the statistics."""
-    table = read_folder(spark, source, types)
+    """Read a folder, drop repeated rows, write the rest and return the statistics.
+
+    The united table is stored once for both; workbooks that cannot be read are listed in ``<target>_quarantine``.
+    """
+    table = cut(read_folder(spark, source, types, f"{target.rstrip('/')}_quarantine"))
     if subset:
         order = tie_break or [c for c in table.columns if c not in subset] or subset
         kept = first_per_key(table, subset, order)
@@ -90,7 +94,7 @@ def section_report_job(spark: SparkSession, source: str, target: str, legacy: bo
     return done
 
 
-def typed_columns(staging: DataFrame, document: list[tuple[str, str]], mode: str = "legacy") -> DataFrame:
+def typed_columns(staging: DataFrame, document: list[tuple[str, str]], mode: str = "safe") -> DataFrame:
     """Cast staging columns to a schema document; extra text columns are kept, others refused.
 
     Both column lists are schema-sized, so they are compared before the plan is made.
@@ -116,7 +120,7 @@ def document_fields(document: DataFrame) -> list[tuple[str, str]]:
 
 
 def typed_load_job(
-    spark: SparkSession, document_path: str, staging_paths: list[str], table: str, mode: str = "legacy"
+    spark: SparkSession, document_path: str, staging_paths: list[str], table: str, mode: str = "safe"
 ) -> int:
     """Load Parquet files into a typed table and return the row count read back from it."""
     document = document_fields(read_schema_document(spark, document_path))
@@ -155,11 +159,11 @@ def _per_line(lines: list, run: Callable, spark: SparkSession) -> DataFrame:
         try:
             outcomes.append((line["table"], "ok", run(line), ""))
         except Exception as problem:
-            outcomes.append((line["table"], "fail", 0, f"{type(problem).__name__}: {problem}"[:500]))
+            outcomes.append((line["table"], "fail", 0, f"{type(problem).__name__}: {problem}"))
     return spark.createDataFrame(outcomes, "table string, status string, rows long, reason string")
 
 
-def load_list_job(spark: SparkSession, list_path: str, mode: str = "legacy") -> DataFrame:
+def load_list_job(spark: SparkSession, list_path: str, mode: str = "safe") -> DataFrame:
     """Typed loads for a list file of ``schema document,parquet path`` lines; one outcome per line."""
     entries = split_list(read_list(spark, list_path), ["document", "source"])
     lines = entries.withColumn("table", table_from_document(F.col("document"))).collect()

@@ -205,9 +205,10 @@ def outcomes(files: DataFrame, records: DataFrame, errors: DataFrame) -> DataFra
     return joined.select(
         "file_path",
         F.when(neither, "").otherwise(sided_file_company(name)).alias("company"),
-        F.when(neither, "skip").when(n > 0, "success").otherwise("fail").alias("status"),
+        F.when(neither, "skip").when(F.col("problem").isNotNull(), "fail").when(n > 0, "success").otherwise("fail")
+        .alias("status"),
         F.when(neither, "Cannot determine file type (missing '_Customers_' or '_Suppliers_' in filename)")
-        .when(n > 0, "")
+        .when(F.col("problem").isNull() & (n > 0), "")
         .otherwise(F.coalesce("problem", missing))
         .alias("reason"),
         F.coalesce("customer_records", F.lit(0)).alias("customer_records"),

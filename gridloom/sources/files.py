@@ -20,7 +20,9 @@ def literal(path: str) -> str:
 
 
 def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    """Files of a folder and of all folders below it."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    return reader.option("recursiveFileLookup", True).load(path)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

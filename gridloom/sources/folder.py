@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.paths import base_name, suffix
 from gridloom.operators.dedup import union_by_name
+from gridloom.operators.lineage import cut
 from gridloom.operators.recon import megabytes
 from gridloom.sources.files import list_files, literal, scanned_path
-from gridloom.sources.workbook import WORKBOOK_GLOB, grid_rows, grid_to_table, read_grid
+from gridloom.sources.workbook import WORKBOOK_GLOB, grid_errors, grid_rows, grid_to_table, read_grid
 
-FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".xlsx": "workbook", ".xls": "workbook"}
+FORMATS = {
+    ".csv": "csv", ".parquet": "parquet", ".json": "json",
+    ".xlsx": "workbook", ".xls": "workbook", ".xlsm": "workbook", ".xlsb": "workbook",
+}
 
 
 def glob_of(extension: str) -> str:
@@ -41,6 +45,7 @@ def csv_headers(spark: SparkSession, path: str, glob: str = glob_of("csv")) -> D
     """Header line of each CSV file: the first line of the file's first block."""
     lines = (
         spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
         .text(path)
         .select(
             "value",
@@ -81,8 +86,12 @@ def read_json(spark: SparkSession, paths: str | list[str], multi_line: bool = Fa
     return spark.read.option("multiLine", multi_line).json(paths)
 
 
-def read_folder(spark: SparkSession, path: str, types: str = "infer") -> DataFrame:
-    """All supported files of a folder as one table, columns united by name."""
+def read_folder(spark: SparkSession, path: str, types: str = "infer", quarantine: str | None = None) -> DataFrame:
+    """All supported files of a folder and the folders below it as one table, columns united by name.
+
+    Workbooks that cannot be read are written with their reasons to ``quarantine``, a Parquet folder; without one
+    they are an error.
+    """
     kinds = {
         FORMATS.get(r["extension"])
         for r in file_catalog(spark, path).select("extension").distinct().collect()
@@ -92,12 +101,19 @@ def read_folder(spark: SparkSession, path: str, types: str = "infer") -> DataFra
         frames += read_csv_folder(spark, path, types)
     if "parquet" in kinds:
         frames.append(
-            spark.read.option("pathGlobFilter", glob_of("parquet")).option("mergeSchema", True).parquet(path)
+            spark.read.option("pathGlobFilter", glob_of("parquet")).option("recursiveFileLookup", True)
+            .option("mergeSchema", True).parquet(path)
         )
     if "json" in kinds:
-        frames.append(spark.read.option("pathGlobFilter", glob_of("json")).json(path))
+        frames.append(spark.read.option("pathGlobFilter", glob_of("json")).option("recursiveFileLookup", True).json(path))
     if "workbook" in kinds:
-        frames.append(grid_to_table(grid_rows(read_grid(spark, path, glob=WORKBOOK_GLOB))).drop("file_path", "row_idx"))
+        grid = cut(read_grid(spark, path, glob=WORKBOOK_GLOB))
+        errors = grid_errors(grid)
+        if quarantine is not None:
+            errors.write.mode("overwrite").parquet(quarantine)
+        elif (first := errors.first()) is not None:
+            raise ValueError(f"unreadable workbook {first['file_path']}: {first['reason']}")
+        frames.append(grid_to_table(grid_rows(grid)).drop("file_path", "row_idx"))
     if not frames:
         raise ValueError(f"no supported file in {path}")
     return union_by_name(frames)

@@ -1,8 +1,9 @@
 """Workbooks as a cell grid: one row per sheet row, all values text.
 
 Workbooks are read by Spark as binary files and unpacked in the tasks. A workbook is a zip archive,
-so one file is one task's work; files above a size limit are reported instead of opened. The format
-itself bounds a sheet to 1 048 576 rows, which bounds every per-sheet window downstream.
+so one file is one task's work. A workbook is read whole or not at all: one that fails anywhere gives a
+single row with the error and no cells. Files beyond what a binary value can hold (2 GB) are
+reported in the same way. The format itself bounds a sheet to 1 048 576 rows, which bounds every per-sheet window downstream.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -25,8 +27,9 @@ GRID_SCHEMA = (
     "file_path string, sheet_no int, sheet string, row_idx int, cells array<string>, error string"
 )
 WORKBOOK_GLOB = "*.[xX][lL][sS]*"
-SIZE_LIMIT = 256 * 1024 * 1024
-ROWS_PER_BATCH = 5_000
+# Longest binary value of a row; rows of a workbook held while it is not known to be sound.
+SIZE_LIMIT = 2**31 - 1
+ROWS_PER_BATCH, ROWS_HELD = 5_000, 50_000
 
 # Leading bytes of the two workbook containers, built-in date formats.
 OLE2_MAGIC = "D0CF11E0A1B11AE1"
@@ -151,17 +154,28 @@ def _rows(book: zipfile.ZipFile, part: str, texts, dates, epoch) -> Iterator[tup
             node.clear()
 
 
+def _unpacked(path: str, content: bytes, all_sheets: bool) -> Iterator[tuple]:
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        sheets, epoch = _sheets(book)
+        texts, dates = _shared_texts(book), _date_styles(book)
+        for number, (name, part) in enumerate(sheets if all_sheets else sheets[:1]):
+            for at, cells in _rows(book, part, texts, dates, epoch):
+                yield path, number, name, at, cells, None
+
+
 def unpack(path: str, content: bytes, all_sheets: bool) -> Iterator[tuple]:
-    """Grid rows of one workbook; a workbook that cannot be opened is one row with an error."""
+    """Grid rows of one sound workbook; any other is one row with an error and no cells.
+
+    Rows go out once the last one has been read. A workbook with more rows than are held is read twice.
+    """
+    rows = _unpacked(path, content, all_sheets)
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as book:
-            sheets, epoch = _sheets(book)
-            texts, dates = _shared_texts(book), _date_styles(book)
-            for number, (name, part) in enumerate(sheets if all_sheets else sheets[:1]):
-                for at, cells in _rows(book, part, texts, dates, epoch):
-                    yield path, number, name, at, cells, None
+        held = list(islice(rows, ROWS_HELD))
+        more = sum(1 for _ in rows)
     except Exception as problem:
         yield path, None, None, None, None, f"{type(problem).__name__}: {problem}"
+        return
+    yield from held if not more else _unpacked(path, content, all_sheets)
 
 
 def _grid_frames(all_sheets: bool):
@@ -186,7 +200,8 @@ def file_kind(spark: SparkSession, path: str, glob: str = "*", size_limit: int =
     """Label files by leading bytes: empty, ole2, zip, html or unknown, with a flag for tiny ones."""
     files = binary_files(spark, path, glob).filter(F.col("length") <= size_limit)
     head = F.hex(F.substring("content", 1, 8))
-    text = F.lower(F.decode("content", "ISO-8859-1"))
+    # Markup is looked for in files that are no container.
+    text = F.when(~head.startswith(ZIP_MAGIC) & (head != OLE2_MAGIC), F.lower(F.decode("content", "ISO-8859-1")))
     kind = (
         F.when(head == OLE2_MAGIC, "ole2")
         .when(head.startswith(ZIP_MAGIC), "zip")
@@ -203,7 +218,11 @@ def read_grid(
     spark: SparkSession, path: str, all_sheets: bool = False, size_limit: int = SIZE_LIMIT, glob: str = WORKBOOK_GLOB
 ) -> DataFrame:
     """Cell grid of the workbooks under a path; trouble shows up as rows with ``error`` set."""
-    files = binary_files(spark, path, glob)
+    return grid_of(binary_files(spark, path, glob), all_sheets, size_limit)
+
+
+def grid_of(files: DataFrame, all_sheets: bool = False, size_limit: int = SIZE_LIMIT) -> DataFrame:
+    """Cell grid of binary files, static or streaming."""
     inside = files.filter(F.col("length") <= size_limit).select("path", "content")
     grid = inside.mapInPandas(_grid_frames(all_sheets), GRID_SCHEMA)
     nothing = {f.name: f.dataType for f in grid.schema.fields}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.sources.files import scanned_path
-from gridloom.sources.workbook import GRID_SCHEMA, SIZE_LIMIT, WORKBOOK_GLOB, _grid_frames
+from gridloom.sources.workbook import SIZE_LIMIT, WORKBOOK_GLOB, grid_of
 
 
 def csv_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -24,17 +24,15 @@ def csv_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def grid_stream(spark: SparkSession, path: str, all_sheets: bool = False) -> DataFrame:
-    """Workbooks as they arrive, as a cell grid."""
+def grid_stream(spark: SparkSession, path: str, all_sheets: bool = False, size_limit: int = SIZE_LIMIT) -> DataFrame:
+    """Workbooks as they arrive, as a cell grid; trouble shows up as rows with ``error`` set."""
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", WORKBOOK_GLOB)
         .load(path)
     )
-    return files.filter(F.col("length") <= SIZE_LIMIT).select("path", "content").mapInPandas(
-        _grid_frames(all_sheets), GRID_SCHEMA
-    )
+    return grid_of(files, all_sheets, size_limit)
 
 
 def split_sink(target: str, quarantine: str) -> Callable[[DataFrame, int], None]:

@@ -11,7 +11,7 @@ from gridloom.operators import ledger, recon, schemas
 from gridloom.plans import intake, listings
 from gridloom.sources.catalog import folder_catalog
 from gridloom.streaming.intake import csv_stream, grid_stream, run_available, split_sink
-from workbooks import write_workbook
+from workbooks import write_half_broken, write_workbook
 
 
 def one(spark, column):
@@ -45,14 +45,15 @@ CASTS = [
 @pytest.mark.parametrize("kind,cases", CASTS)
 def test_casts(spark, kind, cases):
     for text, wanted in cases.items():
-        assert one(spark, lenient_cast(F.lit(text), kind)) == wanted
+        assert one(spark, lenient_cast(F.lit(text), kind, mode="legacy")) == wanted
 
 
 def test_dates_and_safe_mode(spark):
     dates = {"20250331": "2025-03-31", "2025-03-31": "2025-03-31", "2025": None, "20251331": None, "NULL": None}
     for text, wanted in dates.items():
         assert one(spark, lenient_cast(F.lit(text), "DATE").cast("string")) == wanted
-    assert one(spark, lenient_cast(F.lit("12.50"), "INTEGER", mode="safe")) is None
+    assert one(spark, lenient_cast(F.lit("12.50"), "INTEGER")) is None
+    assert one(spark, lenient_cast(F.lit("12.50"), "FLOAT64")) == 12.5
     assert one(spark, lenient_cast(F.lit(5.0), "INTEGER", T.DoubleType())) == 5
 
 
@@ -252,3 +253,21 @@ def test_grid_stream(spark, tmp_path):
 
     run_available(grid_stream(spark, str(source)), str(tmp_path / "mark"), sink)
     assert spark.read.parquet(f"{tmp_path}/grid").count() == 2
+
+
+def test_grid_stream_quarantines_what_it_cannot_read(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_workbook(source / "good.xlsx", {"S": [["x", "y"], ["1", 2]]})
+    write_half_broken(source / "half.xlsx")
+    write_workbook(source / "large.xlsx", {"S": [[f"text {i}"] for i in range(900)]})
+
+    def sink(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{tmp_path}/grid/batch={batch_id}")
+
+    limit = max((source / n).stat().st_size for n in ("good.xlsx", "half.xlsx"))
+    run_available(grid_stream(spark, str(source), size_limit=limit), str(tmp_path / "mark"), sink)
+    got = spark.read.parquet(f"{tmp_path}/grid").groupBy("file_path").agg(
+        F.count("row_idx").alias("cells"), F.count("error").alias("errors"))
+    assert {r.file_path.rsplit("/", 1)[1]: (r.cells, r.errors) for r in got.collect()} == {
+        "good.xlsx": (2, 0), "half.xlsx": (0, 1), "large.xlsx": (0, 1)}

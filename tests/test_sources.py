@@ -2,12 +2,12 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from workbooks import Date, write_workbook
+from workbooks import Date, write_half_broken, write_workbook
 
-from gridloom.operators.dedup import dedup_stats
+from gridloom.operators.dedup import dedup_stats, sample_above
 from gridloom.operators.recon import size_buckets
 from gridloom.plans.intake import dedup_job
-from gridloom.sources import folder, writers
+from gridloom.sources import folder, workbook, writers
 from gridloom.sources.files import list_files
 from gridloom.sources.workbook import file_kind, grid_errors, grid_rows, grid_to_table, read_grid
 
@@ -79,6 +79,39 @@ def test_workbook_grid(spark, tmp_path):
     assert [r.reason.startswith("larger") for r in grid_errors(small).filter("file_path like '%w.xlsx'").collect()] == [True]
 
 
+@pytest.mark.parametrize("held", [50_000, 1])
+def test_workbooks_are_read_whole_or_not_at_all(spark, tmp_path, monkeypatch, held):
+    monkeypatch.setattr(workbook, "ROWS_HELD", held)
+    write_workbook(tmp_path / "good.xlsx", {"S": [["a"], ["b"], ["c"]]})
+    write_half_broken(tmp_path / "half.xlsx")
+    content = (tmp_path / "half.xlsx").read_bytes()
+    [row] = workbook.unpack("half.xlsx", content, False)
+    assert row[:5] == ("half.xlsx", None, None, None, None) and "Error" in row[5]
+    assert len(list(workbook.unpack("good.xlsx", (tmp_path / "good.xlsx").read_bytes(), False))) == 3
+    with pytest.raises(ValueError, match="half.xlsx"):
+        folder.read_folder(spark, str(tmp_path))
+    aside = str(tmp_path / "aside")
+    assert folder.read_folder(spark, str(tmp_path), quarantine=aside).count() == 2
+    assert [r.file_path.endswith("half.xlsx") for r in spark.read.parquet(aside).collect()] == [True]
+
+
+def test_folders_below_a_folder(spark, tmp_path):
+    (tmp_path / "in" / "sub" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "x.csv").write_text("id\n1\n")
+    (tmp_path / "in" / "sub" / "y.csv").write_text("id\n2\n")
+    (tmp_path / "in" / "sub" / "deep" / "z.csv").write_text("")
+    write_workbook(tmp_path / "in" / "sub" / "w.xlsm", {"S": [["Id"], [3]]})
+    listed = folder.file_catalog(spark, str(tmp_path / "in")).collect()
+    assert sorted(r.name for r in listed) == ["w.xlsm", "x.csv", "y.csv", "z.csv"]
+    assert sorted(r.id for r in folder.read_folder(spark, str(tmp_path / "in"), types="string").collect()) == ["1", "2", "3"]
+
+
+def test_sample_is_repeatable(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    first, second = (sorted(r.k for r in sample_above(x, 50, ["k"]).collect()) for x in (df, df.repartition(7)))
+    assert first == second and len(first) == 50
+
+
 def test_table_from_unlike_headers(spark, tmp_path):
     write_workbook(tmp_path / "a.xlsx", {"S": [["ID", "Total (%)", "ID"], ["1", 2, "3"]]})
     write_workbook(tmp_path / "b.xlsx", {"S": [["Total (%)", "Other"], [9, "o"]]})

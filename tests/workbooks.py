@@ -62,6 +62,18 @@ def write_workbook(path, sheets: dict[str, list[list]]) -> None:
             book.writestr(name, text)
 
 
+def write_half_broken(path) -> None:
+    """A workbook whose only sheet refers to a shared text that is not there, after some sound rows."""
+    write_workbook(path, {"S": [["a"], ["b"], ["c"]]})
+    with zipfile.ZipFile(path) as book:
+        parts = {n: book.read(n) for n in book.namelist()}
+    sheet = "xl/worksheets/sheet1.xml"
+    parts[sheet] = parts[sheet].replace(b"<v>2</v>", b"<v>99</v>")
+    with zipfile.ZipFile(path, "w") as book:
+        for name, text in parts.items():
+            book.writestr(name, text)
+
+
 GRID = "file_path string, sheet_no int, sheet string, row_idx int, cells array<string>"
 
 
