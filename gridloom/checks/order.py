@@ -160,15 +160,14 @@ def lookback(t):
 
 @query(
     "q_hierarchy",
-    """with c as (select conv_id, turn, role, text, last_value(case when role = 'user' then text end ignore nulls) over
+    """with c as (select conv_id, turn, role, text, last_value(case when role <> 'assistant' then text end ignore nulls) over
          (partition by conv_id order by turn rows between unbounded preceding and current row) as category
-         from conversations where role <> 'system')
+         from conversations)
        select conv_id, turn, category, case when role = 'assistant' then text else '' end as subcategory
        from c where category is not null""",
 )
 def hierarchy(t):
-    turns = t.conversations.filter("role <> 'system'")
-    lines = turns.select(
+    lines = t.conversations.select(
         "conv_id", "turn", F.when(F.col("role") == "assistant", F.concat(F.lit(" " * 8), "text")).otherwise(F.col("text")).alias("cell")
     )
     child = F.col("cell").startswith(" " * 8)

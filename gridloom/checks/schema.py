@@ -85,14 +85,12 @@ def one_per_fingerprint(t):
     "q_schema_similarity",
     CATALOG_SQL
     + f""", d as (select fingerprint, count(*) as files, min(file) as file, any_value(names) as names0, any_value(typed) as typed
-        from sch group by 1), dd as (select files, file, names0 as names, typed from d),
-      bases as (select * from dd order by files desc, file limit 25)
-      select a.file, b.file as base_file, {SCORE_SQL} as score from dd a, bases b where {SCORE_SQL} >= 0.8""",
+        from sch group by 1), dd as (select files, file, names0 as names, typed from d)
+      select a.file, b.file as base_file, {SCORE_SQL} as score from dd a, dd b where {SCORE_SQL} >= 0.8""",
 )
 def schema_similarity(t):
     heads = one_per_fingerprint(t)
-    bases = heads.orderBy(F.desc("files"), "file").limit(25)
-    return schemas.similar_to(heads, bases, small_bases=True)
+    return schemas.similar_to(heads, heads)
 
 
 GREEDY_SQL = CATALOG_SQL.replace("with cat", "with recursive cat") + f""",

@@ -65,8 +65,8 @@ def union_mixed_types(t):
     )
 
 
-DIFF_SQL = """with l as (select o_custkey, count(*) as n from orders where o_orderstatus = 'F' group by 1),
-  r as (select o_custkey, count(*) as n from orders where o_orderstatus = 'O' group by 1),
+DIFF_SQL = """with l as (select o_custkey, count(*) as n from orders where o_orderstatus in ('F', 'P') group by 1),
+  r as (select o_custkey, count(*) as n from orders where o_orderstatus in ('O', 'P') group by 1),
   d as (select coalesce(l.o_custkey, r.o_custkey) as o_custkey, coalesce(l.n, 0) as left_count,
           coalesce(r.n, 0) as right_count from l full outer join r on l.o_custkey = r.o_custkey),
   diff as (select *, greatest(left_count - right_count, 0) as left_only,
@@ -75,8 +75,8 @@ DIFF_SQL = """with l as (select o_custkey, count(*) as n from orders where o_ord
 
 
 def order_diff(t):
-    left = t.orders.filter("o_orderstatus = 'F'").select("o_custkey")
-    right = t.orders.filter("o_orderstatus = 'O'").select("o_custkey")
+    left = t.orders.filter("o_orderstatus in ('F', 'P')").select("o_custkey")
+    right = t.orders.filter("o_orderstatus in ('O', 'P')").select("o_custkey")
     return recon.multiset_diff(left, right, ["o_custkey"])
 
 
@@ -116,8 +116,8 @@ def recon_report(t):
 
 @query(
     "q_recon_common_rows",
-    """select o_custkey from (select o_custkey from orders where o_orderstatus = 'F'
-       intersect all select o_custkey from orders where o_orderstatus = 'O')""",
+    """select o_custkey from (select o_custkey from orders where o_orderstatus in ('F', 'P')
+       intersect all select o_custkey from orders where o_orderstatus in ('O', 'P'))""",
 )
 def recon_common_rows(t):
     return recon.expand_copies(order_diff(t).select("o_custkey", "common"), "common")

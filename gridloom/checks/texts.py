@@ -261,13 +261,14 @@ def share_token(t):
 
 @query(
     "q_safe_name",
-    r"""with n as (select conv_id, turn, substr(text, 1, case when turn % 2 = 0 then 40 else 200 end) || '.Xlsx' as name from conversations)
+    r"""with n as (select conv_id, turn, case when turn % 2 = 0 then role || ' ' || conv_id else text end || '.Xlsx' as name
+         from conversations)
        select conv_id, turn, case when regexp_matches(name, '[^\x00-\x7F]') or length(name) > 150 then md5(name) || '.Xlsx' else name end
          as safe from n""",
 )
 def safe_name(t):
-    length = F.when(F.col("turn") % 2 == 0, 40).otherwise(200)
-    name = F.concat(F.substring(F.col("text"), F.lit(1), length), F.lit(".Xlsx"))
+    short = F.concat("role", F.lit(" "), "conv_id")
+    name = F.concat(F.when(F.col("turn") % 2 == 0, short).otherwise(F.col("text")), F.lit(".Xlsx"))
     return t.conversations.select("conv_id", "turn", names.safe_file_name(name).alias("safe"))
 
 

@@ -89,12 +89,12 @@ class ScreenTables:
 
 
 def _grid(rows: DataFrame) -> tuple[DataFrame, RowOrder]:
-    """First sheets with their first nine cells as columns and the labels one and two rows ahead."""
+    """First sheets with their first nine cells as columns and the labels one and two rows ahead, stored for all steps."""
     cells = [F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(9)]
     grid = rows.filter("sheet_no = 0").select("file_path", "row_idx", *cells)
     by = RowOrder(["file_path"], ["row_idx"], F.col("row_idx")).measured(grid)
     ahead = look_around(grid, by, 0, 2, lambda w: {f"ahead{i}": F.lead("c0", i).over(w) for i in (1, 2)})
-    return ahead, by
+    return cut(ahead), by
 
 
 def _flag(test: Column) -> Column:
@@ -233,7 +233,7 @@ def tables(rows: DataFrame) -> ScreenTables:
     """The three tables of every report in a cell grid.
 
     Details are one row per file and feed both other tables; the found rows decide where defaults
-    apply. Both are cut so that the row-order steps run once.
+    apply. The grid and both of these are cut so that the row-order steps run once.
     """
     grid, by = _grid(rows)
     details = cut(_details(grid))
@@ -254,7 +254,7 @@ def unified(parts: ScreenTables) -> DataFrame:
         return F.when((F.col(column) != "") & (F.col(column) != nothing), F.col(column))
 
     files = parts.details.select("file_path").orderBy("file_path")
-    files = files.withColumn("file_no", F.monotonically_increasing_id())
+    files = cut(files.withColumn("file_no", F.monotonically_increasing_id()))
     order = RowOrder(["owner"], ["file_no", "row_idx"], F.col("file_no"))
     screens = owner(parts.screens).join(files, "file_path")
     products = owner(parts.products).join(files, "file_path")
