@@ -4,7 +4,8 @@ Texts become sets of word shingles; texts with equal sets are one class from the
 similarity of t or more share a token among the first (1 - t) of their tokens, whatever order all tokens are put in. So
 
 1. under the first order, frequent shingles last, classes are candidates where they share such a prefix token, their
-   sizes fit, and counts of their tokens in 64 hash ranges leave room for the overlap that is needed;
+   sizes fit, and counts of their tokens in 64 hash ranges leave room for the overlap that is needed (in groups, classes
+   without such a partner leave before sets are fetched);
 2. candidates have to share prefix tokens under two more orders as well, hash orders of their own;
 3. what passes all filters is compared exactly.
 
@@ -28,7 +29,7 @@ from gridloom.llm.batches import Memo, slices, typed
 from gridloom.llm.staging import staged
 
 #: Counters of a task's frequency summary, frequent shingles that are put last, and hash ranges of a set's sketch.
-COUNTERS, FREQUENT, RANGES = 65_536, 300_000, 64
+COUNTERS, FREQUENT, RANGES = 400_000, 300_000, 64
 #: A token with more classes than BIG is compared in groups; classes join the groups of so many of theirs, in blocks.
 BIG, HOMES, BLOCK = 64, 3, 512
 #: Classes up to which the list of those to compare is broadcast (8 bytes each); beyond, it is joined.
@@ -62,7 +63,7 @@ def mixed(tokens: np.ndarray, order: int) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def word_hashes() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest, WORDS)
+    return Memo(lambda word: xxhash.xxh3_64_intdigest(word) >> 1, WORDS)
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -71,7 +72,7 @@ def shingles(text: str, words: int) -> np.ndarray:
     listed = text.encode("utf-8", "replace").lower().split()
     if not listed:
         return np.empty(0, "u8")
-    hashes = np.fromiter(map(word_hashes().__getitem__, listed), "u8", len(listed))
+    hashes = np.fromiter(map(word_hashes().__getitem__, listed), "i8", len(listed)).view("u8")
     width = min(words, len(listed))
     found = np.full(len(listed) - width + 1, np.uint64(width))
     for i in range(width):
@@ -89,9 +90,16 @@ class Frequencies:
 
     def __init__(self) -> None:
         self.tokens, self.counts = np.empty(0, "u8"), np.empty(0, "i8")
+        self.waiting: list[np.ndarray] = []
 
     def add(self, sets: list[np.ndarray]) -> None:
-        found, counts = np.unique(np.concatenate([*sets, np.empty(0, "u8")]), return_counts=True)
+        self.waiting += sets
+        if sum(map(len, self.waiting)) > 2 * COUNTERS:
+            self.sum_up()
+
+    def sum_up(self) -> None:
+        found, counts = np.unique(np.concatenate([*self.waiting, np.empty(0, "u8")]), return_counts=True)
+        self.waiting = []
         tokens = np.concatenate([self.tokens, found])
         self.tokens, at = np.unique(tokens, return_inverse=True)
         self.counts = np.bincount(at, np.concatenate([self.counts, counts]), len(self.tokens)).astype("i8")
@@ -106,19 +114,24 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
     schema = "doc_id long, size long, node long, digest binary, sketch array<int>, token long, n long"
 
     def run(batches):
-        frequent = Frequencies()
+        frequent, seen = Frequencies(), set()
         for part in slices(batches):
             sets = [shingles(x or "", rule.words) for x in part["t"]]
-            frequent.add(sets)
+            nodes = [identity(s, seed) if len(s) else None for s in sets]
+            # Copies count once, for the summary is about classes.
+            fresh = {n: s for n, s in zip(nodes, sets) if n not in seen}
+            seen.update(fresh)
+            frequent.add([*fresh.values()])
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(part["k"], pa.int64()), "size": [*map(len, sets)],
-                "node": pa.array([identity(s, seed) if len(s) else None for s in sets], pa.int64()),
+                "node": pa.array(nodes, pa.int64()),
                 "digest": [xxhash.xxh3_128_digest(s.tobytes(), seed) for s in sets],
                 "sketch": [np.bincount(s & np.uint64(RANGES - 1), minlength=RANGES).astype("i4") for s in sets],
                 "token": none, "n": none,
             })
-        kept = frequent.counts > 1
+        frequent.sum_up()
+        kept = frequent.counts > 2
         rows = int(kept.sum())
         nothing = lambda kind: pa.nulls(rows, kind)
         yield pa.RecordBatch.from_pydict({
@@ -175,32 +188,46 @@ def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarr
 
 
 def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> DataFrame:
-    """(node, tokens) of the classes in ``nodes``."""
+    """(node, tokens) of the classes in ``nodes`` (node, first), from the rows that have their first id."""
     schema = "node long, tokens binary"
     few = nodes.count() <= LISTED
     # At most LISTED numbers; otherwise a join picks the classes.
-    wanted = np.array(sorted(r[0] for r in nodes.collect()), "i8") if few else None
+    listed = [tuple(r) for r in nodes.select("first", "node").collect()] if few else None
+    wanted = None if listed is None else ({x for x, _ in listed}, {x for _, x in listed})
     shared = columns.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
         wanted, seen = shared.value, set()
         for part in slices(batches):
             out: dict[int, bytes] = {}
-            for text in part["t"]:
-                found = shingles(text or "", rule.words)
-                if not len(found) or (node := identity(found, seed)) in seen:
+            for key, text in zip(part["k"], part["t"]):
+                if wanted is not None and key not in wanted[0]:
                     continue
-                seen.add(node)
-                if wanted is not None:
-                    at = np.searchsorted(wanted, node)
-                    if at == len(wanted) or wanted[at] != node:
-                        continue
-                out[node] = found.tobytes()
+                found = shingles(text or "", rule.words)
+                if len(found) and (node := identity(found, seed)) not in seen and (wanted is None or node in wanted[1]):
+                    seen.add(node)
+                    out[node] = found.tobytes()
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([*out], pa.int64()), "tokens": pa.array([*out.values()], pa.binary())})
 
     found = columns.mapInArrow(typed(run, schema), schema)
-    return staged((found if few else found.join(nodes, "node", "left_semi")).dropDuplicates(["node"]))
+    return staged((found if few else found.join(nodes.select("node"), "node", "left_semi")).dropDuplicates(["node"]))
+
+
+def may_link(rows: pd.DataFrame, rule: Rule) -> np.ndarray:
+    """Which rows of a group have a partner by size and by the room that sketches leave."""
+    side, size = rows["side"].to_numpy(), rows["size"].to_numpy().astype("i8")
+    nodes, sketches = rows["node"].to_numpy(), np.stack(rows["sketch"].to_numpy())
+    right = np.flatnonzero(side != 0)
+    found = np.zeros(len(rows), bool)
+    for r in np.flatnonzero(side != 1):
+        fits = (np.minimum(size[r], size[right]) * rule.of >= np.maximum(size[r], size[right]) * rule.share) & (nodes[right] != nodes[r])
+        near = right[fits]
+        room = np.minimum(sketches[near], sketches[r]).sum(axis=1)
+        near = near[room * (rule.share + rule.of) >= (size[near] + size[r]) * rule.share]
+        found[near] = True
+        found[r] |= len(near) > 0
+    return found
 
 
 def compare(rows: pd.DataFrame, rule: Rule) -> list[tuple[int, int]]:
@@ -281,8 +308,15 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
-    traits = rows.filter("node is not null").groupBy("node").agg(F.first("sketch").alias("sketch"))
-    full = shared.select("token", "node", "size").join(homes.select("node", "homes"), "node").join(traits, "node")
+    traits = rows.filter("node is not null").groupBy("node").agg(
+        F.first("sketch").alias("sketch"), F.first("size").cast("int").alias("size"))
+    shape = "group string, i int, j int, node long, side int"
+
+    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
+
+    grouped = grouped.join(traits, "node").groupBy("group", "i", "j").applyInPandas(fitting, shape)
+    full = shared.select("token", "node", "size").join(homes.select("node", "homes"), "node").join(traits.select("node", "sketch"), "node")
     a, b = (full.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "homes", "sketch"))) for s in "ab")
     room = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     pairs = a.join(b, [
@@ -302,11 +336,11 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     return staged(grouped.unionByName(ahead).unionByName(behind))
 
 
-def links(columns: DataFrame, rows: DataFrame, rule: Rule, seed: int) -> DataFrame:
+def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """(a, b): links between classes, as many as connect all that are linked."""
     prefix = prefixes(columns, rule, seed, frequent_tokens(rows))
     groups = candidates(prefix, rows, rule)
-    sets = sets_of(columns, rule, seed, groups.select("node").distinct())
+    sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(compare(rows, rule), columns=["a", "b"], dtype="i8")
@@ -359,8 +393,8 @@ def near_duplicates(df: DataFrame, words: int = 5, share: int = 4, of: int = 5,
         if same.filter("low <> high").isEmpty():
             break
         seed += 1
-    found = links(columns, rows, rule, seed)
     firsts = same.select("node", "first")
+    found = links(columns, rows, firsts, rule, seed)
     edges = (found.join(firsts.select(F.col("node").alias("a"), F.col("first").alias("u")), "a")
              .join(firsts.select(F.col("node").alias("b"), F.col("first").alias("v")), "b").select("u", "v"))
     roots = connected(edges)
