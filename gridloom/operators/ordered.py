@@ -18,6 +18,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from gridloom.operators.lineage import cut as stored
+
 ROWS_PER_TASK = 1_000_000
 BROADCAST_KEYS = 10_000
 SAMPLED_ROWS_OF_A_LARGE_KEY = 1_000
@@ -107,16 +109,18 @@ def by_key_size(
 ) -> DataFrame:
     """Run ``small`` on the keys that fit a task and ``large`` on the others, and unite the two.
 
-    ``large`` sees the extra column ``_span``.
+    ``large`` sees the extra column ``_span``. Where there are large keys, the rows are stored once with their spans,
+    so a step reads its input once and the plan of a chain of steps does not grow with its length.
     """
     found = by.measured(df).large_table(df)
     if found is None:
         return small(df)
     big = _prefixed(found, by.keys)
     match = _same(df, big, by.keys)
-    cut = df.join(big, match).select(*df.columns, _span(by).alias("_span"))
-    rest = df.join(big, match, "left_anti")
-    return small(rest).unionByName(large(cut))
+    span = F.when(F.col("_n").isNotNull(), _span(by))
+    placed = stored(df.join(big, match, "left").select(*df.columns, span.alias("_span")))
+    rest = placed.filter("_span is null").drop("_span")
+    return small(rest).unionByName(large(placed.filter("_span is not null")))
 
 
 def _attach(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:

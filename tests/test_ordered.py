@@ -100,3 +100,14 @@ def test_forward_fill_property(spark, rows):
             seen[k] = i
         wanted.append((i, seen.get(k)))
     assert sorted((r.id, r.v) for r in got.collect()) == sorted(wanted)
+
+
+def test_plans_of_chains_stay_small(spark, skewed):
+    """Steps on large keys read what the step before stored: the plan does not multiply along a chain."""
+    by = RowOrder(["k"], ["pos", "id"], F.col("pos"), rows_per_task=20)
+    df = skewed
+    for i in range(4):
+        df = carry_forward(df, by, {f"c{i}": mark()})
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 8
+    assert df.select("k", "id", "c3").exceptAll(carry_forward(skewed, RowOrder(["k"], ["pos", "id"], F.col("pos")), {"c3": mark()}).select("k", "id", "c3")).isEmpty()
