@@ -268,7 +268,12 @@ PROFILE_SQL = """with cells as (
     select 0 as src, c_custkey as id, 'c_name' as col, false as num, c_name as v, null::double as x from customer
     union all select 0, c_custkey, 'c_mktsegment', false, c_mktsegment, null from customer
     union all select 0, c_custkey, 'c_acctbal', true, cast(c_acctbal as varchar), c_acctbal from customer
-    union all select 0, c_custkey, 'c_nationkey', true, cast(c_nationkey as varchar), c_nationkey from customer),
+    union all select 0, c_custkey, 'c_nationkey', true, cast(c_nationkey as varchar), c_nationkey from customer
+    union all select 0, c_custkey, 'c_custkey', true, cast(c_custkey as varchar), c_custkey from customer
+    union all select 1, s_suppkey, 's_name', false, s_name, null from supplier
+    union all select 1, s_suppkey, 's_acctbal', true, cast(s_acctbal as varchar), s_acctbal from supplier
+    union all select 1, s_suppkey, 's_nationkey', true, cast(s_nationkey as varchar), s_nationkey from supplier
+    union all select 1, s_suppkey, 's_suppkey', true, cast(s_suppkey as varchar), s_suppkey from supplier),
   ranked as (select *, row_number() over (partition by col order by id) as p from cells where v is not null)
   select col as "column", count(*) as non_null_count, count(distinct v) as distinct_count,
     round(avg(length(v)) filter (not num), 4) as avg_length, max(length(v)) filter (not num) as max_length,
@@ -278,8 +283,11 @@ PROFILE_SQL = """with cells as (
 
 @query("q_column_profile", PROFILE_SQL)
 def profile(t):
-    columns = ["c_name", "c_mktsegment", "c_acctbal", "c_nationkey"]
-    return column_profile(t.customer, ["c_custkey"], columns, ["c_custkey"])
+    customers = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey"]
+    suppliers = ["s_suppkey", "s_name", "s_acctbal", "s_nationkey"]
+    return column_profile(t.customer, ["c_custkey"], customers, ["c_custkey"]).unionByName(
+        column_profile(t.supplier, ["s_suppkey"], suppliers, ["s_suppkey"])
+    )
 
 
 @query(

@@ -330,7 +330,8 @@ VENDOR_FILE_SQL = """case c_custkey % 3 when 0 then 'SPGlobal_' || initcap_segme
        select c_custkey, case c_custkey % 3 when 0 then seg || ' Holding' when 1 then seg end as vendor_name,
          case c_custkey % 3 when 0 then 'NASDAQGS:X (MI KEY: ' || c_custkey || '; SPCIQ KEY: 9)'
            when 1 then 'NYSEA:B (TCUID: ' || c_custkey || ')' end as vendor_key,
-         case c_custkey % 3 when 2 then seg end as generic_name, case c_custkey % 3 when 2 then 'NASDAQ:ABC' end as generic_key from s""",
+         case c_custkey % 3 when 1 then seg || ' Corporation' when 2 then seg end as generic_name,
+         case c_custkey % 3 when 1 then 'NYSE:YSEAB' when 2 then 'NASDAQ:ABC' end as generic_key from s""",
 )
 def filename_entity(t):
     seg = F.initcap(F.lower("c_mktsegment"))
@@ -339,13 +340,12 @@ def filename_entity(t):
     )
     vendor, generic = ent.vendor_file_entity(F.col("f")), ent.generic_file_entity(F.col("f"))
     both = files.select("c_custkey", vendor.alias("v"), generic.alias("g"))
-    ours = F.col("c_custkey") % 3 == 2
     return both.select(
         "c_custkey",
         F.col("v.name").alias("vendor_name"),
         F.col("v.key").alias("vendor_key"),
-        F.when(ours, F.col("g.name")).alias("generic_name"),
-        F.when(ours, F.col("g.key")).alias("generic_key"),
+        F.col("g.name").alias("generic_name"),
+        F.col("g.key").alias("generic_key"),
     )
 
 
