@@ -9,7 +9,10 @@ from gridloom.functions import entities as ent
 from gridloom.functions import names, paths
 from gridloom.functions.casts import lenient_cast
 from gridloom.operators import clean
-from gridloom.plans.listings import load_tasks
+from gridloom.operators.recon import megabytes
+from gridloom.plans.listings import comparable_paths, load_tasks
+from gridloom.sources.folder import JSON_LISTING, SCHEMA_DOCUMENT, list_entries, listing_entries, split_list
+from gridloom.sources.workbook import OLE2_MAGIC, ZIP_MAGIC, kind_of
 
 MESSY_SQL = """case p_partkey % 9 when 0 then p_brand when 1 then '$1,' || p_size || '.50' when 2 then 'NULL' when 3 then ''
     when 4 then p_size || 'e' || (p_size % 3) when 5 then '-' || p_size when 6 then p_size || '-3'
@@ -390,3 +393,107 @@ QUOTED_SQL = "replace(replace(text, 'e ', 'e’ “'), '. ', '.” – ‘—')"
 )
 def normalise_text(t):
     return t.documents.select("doc_id", names.normalise_typography(F.expr(QUOTED_SQL)).alias("text"))
+
+
+@query(
+    "q_file_kind",
+    """select page_id, case page_id % 5 when 0 then 'zip' when 1 then 'ole2' when 2 then 'unknown' else 'html' end as kind
+       from pages where html is not null""",
+)
+def file_kinds(t):
+    """Contents made of whole pages: containers by their leading bytes, pages without their tags, pages as they are."""
+    page, key = F.encode("html", "UTF-8"), F.col("page_id") % 5
+    content = (
+        F.when(key == 0, F.concat(F.unhex(F.lit(ZIP_MAGIC)), page))
+        .when(key == 1, F.concat(F.unhex(F.lit(OLE2_MAGIC)), page))
+        .when(key == 2, F.encode(F.replace("html", F.lit("<"), F.lit(" ")), "UTF-8"))
+        .otherwise(page)
+    )
+    return t.pages.filter("html is not null").select("page_id", kind_of(content).alias("kind"))
+
+
+@query(
+    "q_list_lines",
+    r"""with l as (select doc_id, trim(unnest(string_split(replace(text, '. ', chr(10) || '# '), chr(10))),
+           ' ' || chr(9) || chr(13)) as line from documents),
+       e as (select doc_id, line from l where line <> '' and not starts_with(line, '#')),
+       p as (select *, nullif(trim(string_split(line, ',')[1], ' '), '') as first,
+         nullif(trim(case when contains(line, ',') then line[strpos(line, ',') + 1:] end, ' '), '') as rest from e)
+       select doc_id, count(*) as entries, count(*) filter (first is not null and rest is not null) as complete,
+         sum(coalesce(length(first), 0))::bigint as first_chars, sum(coalesce(length(rest), 0))::bigint as rest_chars
+       from p group by 1""",
+)
+def list_lines(t):
+    """Every line of every text as a line of a list file, later sentences of a line as comments."""
+    text = F.replace("text", F.lit(". "), F.lit("\n# "))
+    lines = t.documents.select("doc_id", F.explode(F.split(text, "\n")).alias("value"))
+    entries = split_list(list_entries(lines, keep=["doc_id"]), ["first", "rest"], keep=["doc_id"])
+    chars = {c: F.sum(F.coalesce(F.length(c), F.lit(0))).alias(f"{c}_chars") for c in ("first", "rest")}
+    return entries.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("entries"), F.count(F.when(F.col("complete"), 1)).alias("complete"), *chars.values()
+    )
+
+
+@query(
+    "q_schema_document",
+    """select p_partkey, lower(replace(p_name, ' ', '_')) as name,
+         case p_partkey % 3 when 0 then 'INTEGER' when 1 then 'STRING' end as type, 'NULLABLE' as mode from part""",
+)
+def schema_document(t):
+    """A schema document for each part, as text."""
+    key = F.col("p_partkey") % 3
+    field = F.struct(
+        F.lower(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("name"),
+        F.when(key == 0, "INTEGER").when(key == 1, "STRING").alias("type"),
+        F.lit("NULLABLE").alias("mode"),
+        F.lit(1).alias("other"),
+    )
+    texts = t.part.select("p_partkey", F.to_json(F.array(field)).alias("document"))
+    read = F.from_json("document", f"array<struct<{SCHEMA_DOCUMENT}>>")
+    return texts.select("p_partkey", F.explode(read).alias("f")).select("p_partkey", "f.*")
+
+
+@query(
+    "q_json_listing",
+    """select o_orderkey, o_orderstatus as name, case when o_orderkey % 4 = 0 then 'folder' else 'file' end as kind,
+         case when o_orderkey % 4 = 0 then 0 else o_orderkey * 1000 end as length from orders""",
+)
+def json_listing(t):
+    """A listing of one object for each order, as text."""
+    folder = F.col("o_orderkey") % 4 == 0
+    size = F.struct((F.col("o_orderkey") * 1000).cast("long").alias("contentLength"))
+    item = F.struct(
+        F.col("o_orderstatus").alias("name"), F.when(folder, "true").alias("folder"), F.when(~folder, size).alias("properties")
+    )
+    texts = t.orders.select("o_orderkey", F.to_json(F.array(item)).alias("listing"))
+    read = F.from_json("listing", f"array<struct<{JSON_LISTING}>>")
+    return listing_entries(texts.select("o_orderkey", F.explode(read).alias("i")).select("o_orderkey", "i.*"), ["o_orderkey"])
+
+
+@query(
+    "q_comparable_paths",
+    r"""with u as (select regexp_replace(url, '^https?://', '') || case page_id % 4 when 0 then '.pdf' when 1 then '.xlsx'
+           when 2 then '.PDF' else '.csv' end as path from pages where regexp_matches(url, '^https?://[^/]*/'))
+       select path from u where regexp_matches(path, '(\.pdf|\.xlsx|\.csv)$') and not regexp_matches(path, '(\.csv)$')
+         and regexp_matches(regexp_replace(path, '/[^/]*$', ''), 'm\.|xampl')
+         and not regexp_matches(regexp_replace(path, '/[^/]*$', ''), '/de')""",
+)
+def comparable(t):
+    """Addresses as a listing with typographic signs; prefix, extension lists and folder lists at once."""
+    key = F.col("page_id") % 4
+    ending = F.when(key == 0, ".pdf").when(key == 1, ".xlsx").when(key == 2, ".PDF").otherwise(".csv")
+    address = F.translate(F.regexp_replace("url", "^https?://", "root/"), "-", "–")
+    listing = t.pages.filter(F.col("url").rlike("^https?://[^/]*/")).select(F.concat(address, ending).alias("line"))
+    return comparable_paths(
+        listing, F.col("line"), "root", include_ext=["pdf", " .xlsx", "csv"], exclude_ext=[".csv"],
+        include_folders=["m\\.", "xampl"], exclude_folders=["/de"],
+    )
+
+
+@query(
+    "q_megabytes",
+    """select doc_id, n_chars / 1048576.0::double as exact, round(n_chars * 997 / 1048576.0::double, 2) as rounded from documents""",
+)
+def megabytes_of_texts(t):
+    size = F.col("n_chars")
+    return t.documents.select("doc_id", megabytes(size).alias("exact"), megabytes(size * 997, 2).alias("rounded"))

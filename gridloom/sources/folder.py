@@ -119,21 +119,21 @@ def read_folder(spark: SparkSession, path: str, types: str = "infer", quarantine
     return union_by_name(frames)
 
 
-def list_entries(lines: DataFrame, text: str = "value") -> DataFrame:
+def list_entries(lines: DataFrame, text: str = "value", keep: list[str] = ()) -> DataFrame:
     """Entries of a list file: blank lines and comments skipped, values trimmed of blanks."""
     line = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return lines.select(line.alias("line")).filter((F.col("line") != "") & ~F.col("line").startswith("#"))
+    return lines.select(*keep, line.alias("line")).filter((F.col("line") != "") & ~F.col("line").startswith("#"))
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
     return list_entries(spark.read.text(path))
 
 
-def split_list(entries: DataFrame, fields: list[str], separator: str = ",") -> DataFrame:
+def split_list(entries: DataFrame, fields: list[str], separator: str = ",", keep: list[str] = ()) -> DataFrame:
     """Separated fields of list entries; ``complete`` is false where a field is missing."""
     parts = F.split("line", separator if separator != "|" else r"\|", len(fields))
     named = [F.nullif(F.trim(F.get(parts, F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(fields)]
-    got = entries.select("line", *named)
+    got = entries.select(*keep, "line", *named)
     complete = F.lit(True)
     for name in fields:
         complete = complete & F.col(name).isNotNull()
@@ -148,17 +148,25 @@ def split_names(text: Column) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
+#: Fields of a schema document and of a listing.
+SCHEMA_DOCUMENT = "name string, type string, mode string"
+JSON_LISTING = "name string, folder string, properties struct<contentLength:bigint>"
+
+
 def read_schema_document(spark: SparkSession, path: str) -> DataFrame:
     """Column list of a JSON schema document: name, type, mode."""
-    shape = "name string, type string, mode string"
-    return spark.read.schema(shape).option("multiLine", True).json(path)
+    return spark.read.schema(SCHEMA_DOCUMENT).option("multiLine", True).json(path)
 
 
 def read_json_listing(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of objects with a nested size; an object with a ``folder`` field is a folder."""
-    shape = "name string, folder string, properties struct<contentLength:bigint>"
-    raw = spark.read.schema(shape).option("multiLine", True).json(path)
+    return listing_entries(spark.read.schema(JSON_LISTING).option("multiLine", True).json(path))
+
+
+def listing_entries(raw: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Name, kind and length of the objects of a listing."""
     return raw.select(
+        *keep,
         "name",
         F.when(F.col("folder").isNotNull(), "folder").otherwise("file").alias("kind"),
         F.coalesce("properties.contentLength", F.lit(0)).alias("length"),

@@ -17,7 +17,7 @@ from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.names import snake, uniquify
@@ -196,19 +196,22 @@ def _grid_frames(all_sheets: bool):
     return run
 
 
-def file_kind(spark: SparkSession, path: str, glob: str = "*", size_limit: int = SIZE_LIMIT) -> DataFrame:
-    """Label files by leading bytes: empty, ole2, zip, html or unknown, with a flag for tiny ones."""
-    files = binary_files(spark, path, glob).filter(F.col("length") <= size_limit)
-    head = F.hex(F.substring("content", 1, 8))
-    # Markup is looked for in files that are no container.
-    text = F.when(~head.startswith(ZIP_MAGIC) & (head != OLE2_MAGIC), F.lower(F.decode("content", "ISO-8859-1")))
-    kind = (
+def kind_of(content: Column) -> Column:
+    """ole2, zip, html or unknown, by the leading bytes; markup is looked for in what is no container."""
+    head = F.hex(F.substring(content, 1, 8))
+    text = F.when(~head.startswith(ZIP_MAGIC) & (head != OLE2_MAGIC), F.lower(F.decode(content, "ISO-8859-1")))
+    return (
         F.when(head == OLE2_MAGIC, "ole2")
         .when(head.startswith(ZIP_MAGIC), "zip")
         .when(text.contains("<table") | text.contains("<html"), "html")
         .otherwise("unknown")
     )
-    opened = files.select("path", "length", kind.alias("kind"))
+
+
+def file_kind(spark: SparkSession, path: str, glob: str = "*", size_limit: int = SIZE_LIMIT) -> DataFrame:
+    """Label files by leading bytes: empty, ole2, zip, html or unknown, with a flag for tiny ones."""
+    files = binary_files(spark, path, glob).filter(F.col("length") <= size_limit)
+    opened = files.select("path", "length", kind_of(F.col("content")).alias("kind"))
     unopened = F.when(F.col("length") == 0, "empty").when(F.col("length") > size_limit, "too large")
     rest = list_files(spark, path, glob).withColumn("kind", unopened).filter("kind is not null")
     return opened.unionByName(rest).withColumn("tiny", F.col("length").between(1, 99))
