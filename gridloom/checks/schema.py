@@ -149,7 +149,10 @@ def schema_drift(t):
     return schemas.schema_drift(before, since, ["o_custkey"])
 
 
-NAME_FORMS = "id name price created_at start_date active total_amount code birth_dt margin_x is num_ ts_ _time score".split()
+NAME_FORMS = [
+    "id", "name", "price", "created_at", "start_date", "active", "total_amount", "code", "birth_dt", "margin_x", "is", "num_",
+    "ts_", "_time", "score",
+]
 NAME_FORMS_SQL = "[" + ", ".join(f"'{n}'" for n in NAME_FORMS) + "]"
 
 
@@ -185,11 +188,24 @@ def infer_types(t):
     return names.select("p_partkey", "side", "name", infer_type(F.col("name"), current).alias("type"))
 
 
-TYPE_TEXTS = [
-    "varchar(10)", "StringType()", "bigint", "DecimalType(10,2)", "float", "boolean", "date", "timestamp",
-    "char(1)", "array<string>", "interval day to second", "binary", "smallint", "double",
-]
-LOOSE = dict(zip(TYPE_TEXTS, "string string integer numeric numeric boolean date timestamp string string other other integer numeric".split()))
+# Type texts and their loose buckets.
+LOOSE = {
+    "varchar(10)": "string",
+    "StringType()": "string",
+    "bigint": "integer",
+    "DecimalType(10,2)": "numeric",
+    "float": "numeric",
+    "boolean": "boolean",
+    "date": "date",
+    "timestamp": "timestamp",
+    "char(1)": "string",
+    "array<string>": "string",
+    "interval day to second": "other",
+    "binary": "other",
+    "smallint": "integer",
+    "double": "numeric",
+}
+TYPE_TEXTS = list(LOOSE)
 TYPES_SQL = "[" + ", ".join(f"'{x}'" for x in TYPE_TEXTS) + "]"
 LOOSE_SQL = " ".join(f"when '{k}' then '{v}'" for k, v in LOOSE.items())
 

@@ -292,6 +292,7 @@ def schema_groups(schemas: DataFrame, size: Column, threshold: float = THRESHOLD
     groups = numbered_exact.unionByName(numbered_led)
     number = F.when(F.col("n") < 1000, F.lpad(F.col("n").cast("string"), 3, "0")).otherwise(F.col("n").cast("string"))
     stem = F.regexp_replace(F.substring_index("leader", "/", -1), r"(?<=.)\.[^.]*$", "")
+    # Group names and reasons.
     forms = {
         "exact": (F.concat(F.lit("parquet_group_"), number, F.lit("_exact_match")), "Identical schema"),
         "similar": (F.concat(F.lit("parquet_group_"), number, F.lit("_similar_schema")), f"Similar schema (>= {threshold})"),

@@ -51,6 +51,7 @@ DEFAULT_PRODUCTS = {
     "Alcohol": ["Retail and Distribution", "Related Products and Services", "Production"],
     "Adult Entertainment": ["Retail and Distribution", "Production"],
 }
+# What a product row without figures holds, and the columns of the three outputs.
 PRODUCT_VALUES = {
     "revenue": "-",
     "revenue_exposed_total_revenue_pct": "-",

@@ -20,15 +20,23 @@ MONEY = {
 }
 KEY_COLUMN = {"customer": "Customer Name", "supplier": "Supplier Name"}
 OUTPUT_COLUMNS = {
-    side: [
-        "Company Name", "Description", "Disclosed Information",
-        *(["Customer Name", "Supplier Name"] if side == "customer" else ["Supplier Name", "Customer Name"]),
-        *COMMON, *MONEY[side], *LIMITS, "Source",
-    ]
-    for side in MONEY
+    "customer": [
+        "Company Name", "Description", "Disclosed Information", "Customer Name", "Supplier Name", "Relationship Type",
+        "Primary Industry", "Geography", "Start Date", "End Date", "Customer Revenue ($M)", "Customer Revenue (%)",
+        "Min %", "Max %", "Min Value ($M)", "Max Value ($M)", "Source",
+    ],
+    "supplier": [
+        "Company Name", "Description", "Disclosed Information", "Supplier Name", "Customer Name", "Relationship Type",
+        "Primary Industry", "Geography", "Start Date", "End Date", "Supplier Expense ($M)", "Supplier Expense (%)",
+        "Min %", "Max %", "Min Value ($M)", "Max Value ($M)", "Source",
+    ],
 }
 SHEET_COLUMNS = ["Customer Name", "Supplier Name", *COMMON, *MONEY["customer"], *MONEY["supplier"], *LIMITS, "Source"]
 ROUNDED = {*MONEY["customer"], *MONEY["supplier"], *LIMITS}
+# Reasons of files without data.
+NO_CUSTOMERS = "Customer data: No customer data found"
+NO_SUPPLIERS = "Supplier data: No supplier data found"
+NO_SIDE = "Cannot determine file type (missing '_Customers_' or '_Suppliers_' in filename)"
 HEADER_REACH = 9
 NO_DATA_REACH = 4
 MARKER_REACH = 5
@@ -199,15 +207,15 @@ def outcomes(files: DataFrame, records: DataFrame, errors: DataFrame) -> DataFra
     n = F.coalesce(F.col("customer_records") + F.col("supplier_records"), F.lit(0))
     missing = F.concat_ws(
         "; ",
-        F.when(name.contains("_Customers_"), F.lit("Customer data: No customer data found")),
-        F.when(name.contains("_Suppliers_"), F.lit("Supplier data: No supplier data found")),
+        F.when(name.contains("_Customers_"), F.lit(NO_CUSTOMERS)),
+        F.when(name.contains("_Suppliers_"), F.lit(NO_SUPPLIERS)),
     )
     return joined.select(
         "file_path",
         F.when(neither, "").otherwise(sided_file_company(name)).alias("company"),
         F.when(neither, "skip").when(F.col("problem").isNotNull(), "fail").when(n > 0, "success").otherwise("fail")
         .alias("status"),
-        F.when(neither, "Cannot determine file type (missing '_Customers_' or '_Suppliers_' in filename)")
+        F.when(neither, NO_SIDE)
         .when(F.col("problem").isNull() & (n > 0), "")
         .otherwise(F.coalesce("problem", missing))
         .alias("reason"),

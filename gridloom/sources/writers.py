@@ -67,6 +67,7 @@ def create_typed_table(df: DataFrame, table: str) -> int:
 
 def write_report(groups: DataFrame, detail: DataFrame, path: str) -> None:
     """Group lines as text and the per-file detail as JSON."""
+    # Fixed value: the report line.
     line = F.format_string(
         "Group: %s | Reason: %s | Recommended: %s | Files: %d | Total Size: %.2f MB | Similarity: %.2f",
         "group_name", "reason", "recommended_name", "total_files", "total_size_mb", "similarity",
