@@ -79,7 +79,27 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query("op7_jaccard_join")
+@query("op7_jaccard_join", r"""
+    with recursive w as (
+        select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents
+    ), sets as (
+        select doc_id, case when len(words) = 0 then [] else list_distinct(list_transform(
+               range(1, greatest(len(words) - 2, 1) + 1), lambda i: array_to_string(words[i:i + 2], ' '))) end as shingles from w
+    ), tokens as (
+        select doc_id, len(shingles) as n, unnest(shingles) as t from sets
+    ), shared as (
+        select doc_id, n, t from tokens where t in (select t from tokens group by t having count(*) > 1)
+    ), links as (
+        select a.doc_id as x, b.doc_id as y from shared a join shared b
+        on a.t = b.t and a.doc_id < b.doc_id and 100 * a.n >= 90 * b.n and 100 * b.n >= 90 * a.n
+        group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))
+    ), edges as (select x, y from links union all select y, x from links
+    ), reached(x, y) as (
+        select doc_id, doc_id from sets union select reached.x, edges.y from reached join edges on edges.x = reached.y
+    ) select doc_id, len(shingles) as n_shingles, component_id from sets
+      join (select x, min(y) as component_id from reached group by x) on x = doc_id
+""")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), words=3, share=90, of=100)
 

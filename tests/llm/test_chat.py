@@ -55,7 +55,7 @@ def test_nulls_ties_and_empty(spark):
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op9_chat_format", "op2_top_k"])
+@pytest.mark.parametrize("name", ["op9_chat_format", "op2_top_k", "op7_jaccard_join"])
 def test_sql(spark, name):
     from gridloom.llm.queries import ORACLES, QUERIES
     from oracle import compare, connect
