@@ -29,7 +29,9 @@ from gridloom.llm.batches import Memo, slices, typed
 from gridloom.llm.staging import staged
 
 #: Counters of a task's frequency summary, frequent shingles that are put last, and hash ranges of a set's sketch.
-COUNTERS, FREQUENT, RANGES = 400_000, 300_000, 64
+COUNTERS, FREQUENT, RANGES = 400_000, 600_000, 64
+#: Sets beyond this many shingles have no sketch; hash ranges of the finer sketch that is compared before sets.
+SKETCHED, FINE = 1_000_000, 1_024
 #: A token with more classes than BIG is compared in groups; classes join the groups of so many of theirs, in blocks.
 BIG, HOMES, BLOCK = 64, 3, 512
 #: Classes up to which the list of those to compare is broadcast (8 bytes each); beyond, it is joined.
@@ -85,6 +87,13 @@ def identity(tokens: np.ndarray, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes(), seed) - 2**63
 
 
+def sketch(tokens: np.ndarray, ranges: int) -> np.ndarray | None:
+    """Numbers of tokens by hash range."""
+    if len(tokens) > SKETCHED:
+        return None
+    return np.minimum(np.bincount(tokens & np.uint64(ranges - 1), minlength=ranges), 2**15 - 1).astype("i2")
+
+
 class Frequencies:
     """Counts of frequent tokens with a bounded number of counters: when there are more, all go down by the same."""
 
@@ -111,7 +120,7 @@ class Frequencies:
 
 def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """Staged rows of two kinds: (doc_id, size, node, digest, sketch) of every text, (token, n) of frequent tokens."""
-    schema = "doc_id long, size long, node long, digest binary, sketch array<int>, token long, n long"
+    schema = "doc_id long, size long, node long, digest binary, sketch array<smallint>, token long, n long"
 
     def run(batches):
         frequent, seen = Frequencies(), set()
@@ -127,7 +136,7 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
                 "doc_id": pa.array(part["k"], pa.int64()), "size": [*map(len, sets)],
                 "node": pa.array(nodes, pa.int64()),
                 "digest": [xxhash.xxh3_128_digest(s.tobytes(), seed) for s in sets],
-                "sketch": [np.bincount(s & np.uint64(RANGES - 1), minlength=RANGES).astype("i4") for s in sets],
+                "sketch": pa.array([sketch(s, RANGES) for s in sets], pa.list_(pa.int16())),
                 "token": none, "n": none,
             })
         frequent.sum_up()
@@ -136,7 +145,7 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
         nothing = lambda kind: pa.nulls(rows, kind)
         yield pa.RecordBatch.from_pydict({
             "doc_id": nothing(pa.int64()), "size": nothing(pa.int64()), "node": nothing(pa.int64()),
-            "digest": nothing(pa.binary()), "sketch": nothing(pa.list_(pa.int32())),
+            "digest": nothing(pa.binary()), "sketch": nothing(pa.list_(pa.int16())),
             "token": frequent.tokens[kept].view("i8"), "n": frequent.counts[kept],
         })
 
@@ -146,9 +155,10 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
 def frequent_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens and their counts, sorted by token; at most ``FREQUENT`` of them."""
     sums = rows.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 8")
-    listed = sums.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    table = np.array(sorted((r[0] % 2**64, r[1]) for r in listed), dtype=[("t", "u8"), ("n", "i8")])
-    return table["t"].copy(), table["n"].copy()
+    listed = sums.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
+    tokens, counts = (np.concatenate([*map(np.asarray, listed.column(c).chunks), np.empty(0, "i8")]) for c in ("token", "n"))
+    order = np.argsort(tokens.view("u8"))
+    return tokens.view("u8")[order], counts[order]
 
 
 def first_tokens(tokens: np.ndarray, count: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -188,8 +198,8 @@ def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarr
 
 
 def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> DataFrame:
-    """(node, tokens) of the classes in ``nodes`` (node, first), from the rows that have their first id."""
-    schema = "node long, tokens binary"
+    """(node, size, sketch, tokens) of the classes in ``nodes`` (node, first), from the rows that have their first id."""
+    schema = "node long, size int, sketch array<smallint>, tokens binary"
     few = nodes.count() <= LISTED
     # At most LISTED numbers; otherwise a join picks the classes.
     listed = [tuple(r) for r in nodes.select("first", "node").collect()] if few else None
@@ -199,16 +209,19 @@ def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> Data
     def run(batches):
         wanted, seen = shared.value, set()
         for part in slices(batches):
-            out: dict[int, bytes] = {}
+            out: dict[int, np.ndarray] = {}
             for key, text in zip(part["k"], part["t"]):
                 if wanted is not None and key not in wanted[0]:
                     continue
                 found = shingles(text or "", rule.words)
                 if len(found) and (node := identity(found, seed)) not in seen and (wanted is None or node in wanted[1]):
                     seen.add(node)
-                    out[node] = found.tobytes()
+                    out[node] = found
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array([*out], pa.int64()), "tokens": pa.array([*out.values()], pa.binary())})
+                "node": pa.array([*out], pa.int64()), "size": pa.array(map(len, out.values()), pa.int32()),
+                "sketch": pa.array([sketch(x, FINE) for x in out.values()], pa.list_(pa.int16())),
+                "tokens": pa.array([x.tobytes() for x in out.values()], pa.binary()),
+            })
 
     found = columns.mapInArrow(typed(run, schema), schema)
     return staged((found if few else found.join(nodes.select("node"), "node", "left_semi")).dropDuplicates(["node"]))
@@ -217,13 +230,18 @@ def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> Data
 def may_link(rows: pd.DataFrame, rule: Rule) -> np.ndarray:
     """Which rows of a group have a partner by size and by the room that sketches leave."""
     side, size = rows["side"].to_numpy(), rows["size"].to_numpy().astype("i8")
-    nodes, sketches = rows["node"].to_numpy(), np.stack(rows["sketch"].to_numpy())
+    nodes, known = rows["node"].to_numpy(), rows["sketch"].notna().to_numpy()
+    width = max(map(len, rows["sketch"][known]), default=1)
+    sketches = np.full((len(rows), width), 2**15 - 1, "i2")
+    if known.any():
+        sketches[known] = np.stack(rows["sketch"][known].to_numpy())
     right = np.flatnonzero(side != 0)
     found = np.zeros(len(rows), bool)
     for r in np.flatnonzero(side != 1):
         fits = (np.minimum(size[r], size[right]) * rule.of >= np.maximum(size[r], size[right]) * rule.share) & (nodes[right] != nodes[r])
         near = right[fits]
-        room = np.minimum(sketches[near], sketches[r]).sum(axis=1)
+        room = np.minimum(sketches[near], sketches[r]).sum(axis=1, dtype="i8")
+        room[~(known[near] & known[r])] = 2**40
         near = near[room * (rule.share + rule.of) >= (size[near] + size[r]) * rule.share]
         found[near] = True
         found[r] |= len(near) > 0
@@ -319,6 +337,7 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
     full = shared.select("token", "node", "size").join(homes.select("node", "homes"), "node").join(traits.select("node", "sketch"), "node")
     a, b = (full.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "homes", "sketch"))) for s in "ab")
     room = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    room = F.coalesce(room, F.least("size_a", "size_b"))
     pairs = a.join(b, [
         a["token"] == b["token"], F.col("node_a") < F.col("node_b"),
         F.col("size_a") * rule.of >= F.col("size_b") * rule.share, F.col("size_b") * rule.of >= F.col("size_a") * rule.share,
@@ -342,10 +361,18 @@ def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, se
     groups = candidates(prefix, rows, rule)
     sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
+    shape = "group string, i int, j int, node long, side int"
+
+    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(compare(rows, rule), columns=["a", "b"], dtype="i8")
 
-    full = groups.join(sets, "node")
+    # The finer sketch is a fraction of a large set, and few pairs of unlike sets pass it.
+    finer = groups.join(sets.select("node", "size", "sketch"), "node")
+    close = staged(finer.groupBy("group", "i", "j").applyInPandas(fitting, shape))
+    full = close.join(sets.select("node", "tokens"), "node")
     return full.groupBy("group", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
