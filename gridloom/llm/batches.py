@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -13,9 +14,12 @@ ROWS = 256
 class Memo(dict):
     """Results of a function of short strings; starts afresh once full, so its size is bounded."""
 
-    def __init__(self, make: Callable, limit: int, longest: int = 64) -> None:
+    live: list[weakref.ref] = []
+
+    def __init__(self, make: Callable, limit: int, group: str, longest: int = 64) -> None:
         super().__init__()
-        self.make, self.limit, self.longest = make, limit, longest
+        self.make, self.limit, self.group, self.longest = make, limit, group, longest
+        Memo.live.append(weakref.ref(self))
 
     def __missing__(self, key):
         value = self.make(key)
@@ -26,6 +30,13 @@ class Memo(dict):
         return value
 
 
+def holding(group: str) -> None:
+    """Drop what other operators remember: a Python worker serves one operator after another."""
+    for memo in [x() for x in Memo.live]:
+        if memo is not None and memo.group != group:
+            memo.clear()
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, list]]:
     """Columns of at most ``ROWS`` rows as Python lists."""
     for batch in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.batches import Memo, slices, typed
+from gridloom.llm.batches import Memo, holding, slices, typed
 from gridloom.llm.staging import staged
 
 #: Counters of a task's frequency summary, frequent shingles that are put last, and hash ranges of a set's sketch.
@@ -65,7 +65,7 @@ def mixed(tokens: np.ndarray, order: int) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def word_hashes() -> Memo:
-    return Memo(lambda word: xxhash.xxh3_64_intdigest(word) >> 1, WORDS)
+    return Memo(lambda word: xxhash.xxh3_64_intdigest(word) >> 1, WORDS, "words")
 
 
 def shingles(text: str, words: int) -> np.ndarray:
@@ -123,6 +123,7 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
     schema = "doc_id long, size long, node long, digest binary, sketch array<smallint>, token long, n long"
 
     def run(batches):
+        holding("words")
         frequent, seen = Frequencies(), set()
         for part in slices(batches):
             sets = [shingles(x or "", rule.words) for x in part["t"]]

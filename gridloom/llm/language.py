@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridloom.llm.batches import ROWS, slices, typed
+from gridloom.llm.batches import ROWS, holding, slices, typed
 from gridloom.llm.staging import staged
 
 ORDER = 4
@@ -27,7 +27,7 @@ MOST_GRAMS = 400_000
 #: Texts, at most about, from which rejection is calibrated; deviations and bits per character beyond which it sets in.
 CALIBRATION, DEVIATIONS, MARGIN = 4_000, 8.0, 1.0
 #: Characters that count as independent evidence for the confidence, and words remembered by a task.
-EVIDENCE, REMEMBERED, WORDS_HELD = 20, 500_000, 200_000
+EVIDENCE, REMEMBERED, WORDS_HELD = 20, 300_000, 200_000
 START, STOP = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -183,6 +183,7 @@ class Scorer:
     """Cross-entropies of texts; remembers the bits of chunks between white space."""
 
     def __init__(self, models: Models) -> None:
+        holding("language")
         self.models = models
         self.fresh()
 

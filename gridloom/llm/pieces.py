@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from gridloom.llm.batches import Memo, slices, typed
+from gridloom.llm.batches import Memo, holding, slices, typed
 
 MARK = "▁"
 #: Remembered runs, words and pairs of a task.
@@ -52,9 +52,9 @@ class Pieces:
             if self.merged(p) == [i]:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
-        self.compatible = Memo(self._compatible, PAIRS)
-        self.words = Memo(self._word, WORDS)
-        self.runs = Memo(self._run, RUNS)
+        self.compatible = Memo(self._compatible, PAIRS, "pieces")
+        self.words = Memo(self._word, WORDS, "pieces")
+        self.runs = Memo(self._run, RUNS, "pieces")
         self.texts = self._texts()
 
     def merged(self, text: str) -> list[int]:
@@ -213,6 +213,7 @@ def piece_round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str =
     schema = "doc_id long, ids array<int>, decoded string"
 
     def run(batches):
+        holding("pieces")
         model = pieces(path)
         for part in slices(batches):
             coded = [model.encode(x or "") for x in part["t"]]
@@ -230,6 +231,7 @@ def decode_pieces(df: DataFrame, path: str, key: str = "doc_id", ids: str = "ids
     schema = "doc_id long, decoded string"
 
     def run(batches):
+        holding("pieces")
         model = pieces(path)
         for part in slices(batches):
             yield pa.RecordBatch.from_pydict({"doc_id": part["k"], "decoded": [model.decode(x or []) for x in part["i"]]})

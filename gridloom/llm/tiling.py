@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.llm.batches import slices, typed
+from gridloom.llm.batches import holding, slices, typed
 
 #: Least length of a tile; an item with fewer tokens has to occur as a whole.
 SEED = 4
@@ -158,6 +158,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         shared = df.sparkSession.sparkContext.broadcast(Block(items, seed))
 
         def run(batches, shared=shared):
+            holding("tiling")
             block = shared.value
             for part in slices(batches):
                 rows = [(k, *x) for k, t in zip(part["k"], part["t"]) for x in overlaps(t or "", block, coverage)]

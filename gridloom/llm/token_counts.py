@@ -10,7 +10,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridloom.llm.batches import Memo, map_texts
+from gridloom.llm.batches import Memo, holding, map_texts
 from gridloom.llm.word_tokens import added_strings, library_ids, pre_tokens, runs, tokenizer
 
 #: Remembered runs and pre-tokens of a task.
@@ -46,7 +46,7 @@ def counter(path: str, whole: frozenset[str]) -> Memo:
     def merged(word: str) -> int:
         return len(library_ids(path, word))
 
-    words = Memo(merged, WORDS)
+    words = Memo(merged, WORDS, "counts")
 
     def count(run: str) -> int:
         parts = pre_tokens(run, added)
@@ -54,7 +54,7 @@ def counter(path: str, whole: frozenset[str]) -> Memo:
             return len(library_ids(path, run))
         return sum(1 if x in whole else words[x] for x in parts)
 
-    return Memo(count, RUNS)
+    return Memo(count, RUNS, "counts")
 
 
 def token_counts(df: DataFrame, path: str, limit: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -68,11 +68,13 @@ def token_counts(df: DataFrame, path: str, limit: int = 2048, key: str = "doc_id
         from gridloom.llm.pieces import count_pieces
 
         def make():
+            holding("pieces")
             return lambda keys, texts: row(keys, texts, count_pieces(path, texts))
     else:
         whole = df.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
         def make():
+            holding("counts")
             count = counter(path, whole.value).__getitem__
             return lambda keys, texts: row(keys, texts, [sum(map(count, runs(x))) for x in texts])
 

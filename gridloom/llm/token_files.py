@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm.batches import Memo, slices, typed
+from gridloom.llm.batches import Memo, holding, slices, typed
 from gridloom.llm.staging import mounted
 from gridloom.llm.word_tokens import added_strings, library_ids, pre_tokens, runs, tokenizer
 
@@ -38,13 +38,13 @@ def encoder(path: str, width: int) -> Memo:
     def packed(text: str) -> bytes:
         return np.array(library_ids(path, text), kind).tobytes()
 
-    words = Memo(packed, WORDS)
+    words = Memo(packed, WORDS, "ids")
 
     def encode(run: str) -> bytes:
         parts = pre_tokens(run, added)
         return packed(run) if parts is None else b"".join(map(words.__getitem__, parts))
 
-    return Memo(encode, RUNS)
+    return Memo(encode, RUNS, "ids")
 
 
 def id_width(path: str) -> int:
@@ -66,6 +66,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts:
     dealt = rows.repartitionByRange(count, "k", F.xxhash64("t")).sortWithinPartitions("k")
 
     def run(batches):
+        holding("ids")
         part = TaskContext.get().partitionId()
         encode, end = encoder(path, width).__getitem__, np.array([end_id], f"<u{width}").tobytes()
         name, own = f"{at}/{part:06d}", f"{at}/.{part:06d}-{uuid.uuid4().hex}"
