@@ -3,7 +3,7 @@
 Texts become sets of word shingles; texts with equal sets are one class from the start. Two sets of a Jaccard
 similarity of t or more share a token among the first (1 - t) of their tokens, whatever order all tokens are put in. So
 
-1. under the first order, frequent shingles last, classes are candidates where they share such a prefix token, their
+1. under the first order, shared shingles last, classes are candidates where they share such a prefix token, their
    sizes fit, and counts of their tokens in 64 hash ranges leave room for the overlap that is needed (in groups, classes
    without such a partner leave before sets are fetched);
 2. candidates have to share prefix tokens under two more orders as well, hash orders of their own;
@@ -153,9 +153,9 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
     return staged(columns.mapInArrow(typed(run, schema), schema))
 
 
-def frequent_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens and their counts, sorted by token; at most ``FREQUENT`` of them."""
-    sums = rows.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 8")
+def frequent_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens and their counts (token, n), sorted by token; at most ``FREQUENT`` of them."""
+    sums = counts.groupBy("token").agg(F.sum("n").alias("n"))
     listed = sums.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     tokens, counts = (np.concatenate([*map(np.asarray, listed.column(c).chunks), np.empty(0, "i8")]) for c in ("token", "n"))
     order = np.argsort(tokens.view("u8"))
@@ -174,7 +174,7 @@ def first_tokens(tokens: np.ndarray, count: int, frequent: tuple[np.ndarray, np.
 
 
 def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Staged (token, node, size) of the prefixes of all classes; a class may come once from each task."""
+    """(token, node, size) of the prefixes of all classes; a class may come once from each task."""
     shared = columns.sparkSession.sparkContext.broadcast(frequent)
     schema = "token long, node long, size int"
 
@@ -195,7 +195,7 @@ def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarr
                 "node": np.repeat(np.array(nodes, "i8"), counts), "size": np.repeat(np.array(sizes, "i4"), counts),
             })
 
-    return staged(columns.mapInArrow(typed(run, schema), schema))
+    return columns.mapInArrow(typed(run, schema), schema)
 
 
 def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> DataFrame:
@@ -358,7 +358,11 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
 
 def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """(a, b): links between classes, as many as connect all that are linked."""
-    prefix = prefixes(columns, rule, seed, frequent_tokens(rows))
+    heavy = rows.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 8")
+    first = prefixes(columns, rule, seed, frequent_tokens(heavy))
+    # What turns out to be shared goes behind what may be rare, and prefixes are taken once more.
+    again = first.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    prefix = staged(prefixes(columns, rule, seed, frequent_tokens(heavy.union(again))))
     groups = candidates(prefix, rows, rule)
     sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
