@@ -38,8 +38,10 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 #: A paragraph ends where one of these begins.
 ENDS_PARAGRAPH = BLOCKS - {"button", "caption", "legend", "option", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 
+#: A hidden name is whole: ``svg-icon`` is another element. ``svg`` and ``math`` that close themselves have no content.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?P<raw>" + "|".join(HIDDEN) + r")\b[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(?:svg|math)(?=[\s/>])(?:[^>"'/]++|"[^"]*"|'[^']*'|/(?!>))*+/>"""
+    r"|<(?P<raw>" + "|".join(HIDDEN) + r")(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)>""", re.S | re.I,
 )
 NAMED = re.compile(r"""\b(class|id|role|itemprop|hidden|style|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)

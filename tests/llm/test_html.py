@@ -71,6 +71,19 @@ def test_other_layouts(found):
         assert html_text.main_text(html, found[0]) == want
 
 
+CUSTOM = ["<svg-icon></svg-icon>", "<video-player src=x></video-player>", "<select-box>", "<svg-icon/>", '<svg class="a>b" width="1"/>', "<svg/>",
+          "<math />", "<svg viewBox='0 0 1 1' /><b></b>", '<svg a="/"><text>no</text><svg/></svg>', "<video controls>no</video\n>", "<SVG/>"]
+
+
+@pytest.mark.parametrize("inner", CUSTOM)
+def test_elements_that_hide_nothing_after_them(found, inner):
+    assert [b.text for b in html_text.blocks_of(f"<article><p>one</p>{inner}<p>two three</p></article>")] == ["one", "two three"]
+    dice = random.Random(12)
+    a, b, c = (sentence(dice) for _ in range(3))
+    page = f"<body><article><h1>T</h1><p>{a}</p>{inner}<p>{b}</p><svg><text>no</text></svg><p>{c}</p></article></body>"
+    assert html_text.main_text(page, found[0]) == f"T {a} {b} {c}"
+
+
 def test_viterbi_and_gradient():
     field = html_text.Field()
     field.stay, field.change = 0.7, -0.4
