@@ -2,28 +2,33 @@
 
 Texts are lower-cased runs of letters, each framed by a start and an end mark. Counts of character sequences come from
 all labelled training rows; lower orders count the distinct characters before a sequence, except at the start of a
-run. The models of all languages share sorted arrays of 64-bit hashes, one for the sequences and one for the contexts
-of each order, with a column per language. The lowest cross-entropy per character wins. A text whose best cross-entropy
-lies beyond what training texts of its length show is rejected.
+run. Counts of all orders, totals and discounts are aggregates of Spark over all sequences. The models of all languages
+share sorted arrays of 64-bit hashes, one for the sequences and one for the contexts of each order, with a column per
+language. Models that exceed a bound are cut into blocks by ranges of the context read backwards, so a character needs
+one block only; each block is broadcast, and a task opens one at a time. The lowest cross-entropy per character wins. A
+text whose best cross-entropy lies beyond what training texts of its length show is rejected.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.batches import ROWS, holding, slices, typed
 from gridloom.llm.staging import staged
 
 ORDER = 4
-#: The model keeps at most so many sequences of the highest order over all languages, the most frequent ones; this bounds
-#: what is broadcast. Rarer ones leave their share to the lower orders.
-MOST_GRAMS = 400_000
+#: Numbers (sequences and contexts times languages) that a block of the models holds, about; nothing is left out.
+BLOCK = 1_000_000
+#: Characters of text and new words for which a task opens the blocks of models in turn, and words scored at once.
+AHEAD, AHEAD_WORDS, AT_ONCE = 8_000_000, 100_000, 10_000
 #: Texts, at most about, from which rejection is calibrated; deviations and bits per character beyond which it sets in.
 CALIBRATION, DEVIATIONS, MARGIN = 4_000, 8.0, 1.0
 #: Characters that count as independent evidence for the confidence, and words remembered by a task.
@@ -32,6 +37,9 @@ START, STOP = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a character in the key of a context, and the highest key.
+_BITS = 21
+_LAST = 2 ** ((ORDER - 1) * _BITS) - 1
 
 
 def is_held_out(key: str = "doc_id") -> Column:
@@ -120,21 +128,40 @@ class Models:
     letters: int
     #: Mean and scaled deviation of the cross-entropy of training texts, per language.
     usual: np.ndarray | None = None
+    #: The keys of contexts that these tables cover.
+    first: int = 0
+    last: int = _LAST
+    #: Broadcast blocks that stand for the tables where these are too large for one.
+    parts: list[Broadcast] = field(default_factory=list)
+
+    def blocks(self) -> Iterator[Models]:
+        """The tables, a block at a time; a block is dropped before the next one is read."""
+        if not self.parts:
+            yield self
+        for part in self.parts:
+            yield part.value if hasattr(part, "_value") else part.load_from_path(part._path)
 
     def word_bits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits of each chunk under each language, and its number of predicted characters."""
+        """Bits of each chunk under each language, as far as its contexts belong here, and its number of predicted
+        characters."""
         framed = ["".join(START + run + STOP for run in LETTERS.findall(w)) for w in words]
         lengths = np.array([*map(len, framed)], int)
         codes = codes_of("".join(framed))
         starts = codes == 2
         depth = np.arange(len(codes)) - np.maximum.accumulate(np.where(starts, np.arange(len(codes)), 0))
+        mine = ~starts
+        if (self.first, self.last) != (0, _LAST):
+            place = np.zeros(len(codes), "u8")
+            for back in range(1, ORDER):
+                place = place << np.uint64(_BITS) | np.where(depth >= back, np.roll(codes, back), np.uint64(0))
+            mine &= (place >= np.uint64(self.first)) & (place <= np.uint64(self.last))
         chance = np.full((len(codes), len(self.languages)), 1 / self.letters)
         for order in range(1, ORDER + 1):
-            known = np.flatnonzero((depth >= order - 1) & ~starts)
+            known = np.flatnonzero((depth >= order - 1) & mine)
             own = hashes(codes, order)[known]
             context = np.roll(hashes(codes, order - 1), 1)[known] if order > 1 else np.zeros(len(known), "u8")
             chance[known] = self.added[order - 1].find(own) + self.passed[order - 1].find(context) * chance[known]
-        bits = np.where(starts[:, None], 0, -np.log2(np.maximum(chance, 1e-12)))
+        bits = np.where(mine[:, None], -np.log2(np.maximum(chance, 1e-12)), 0)
         owner = np.repeat(np.arange(len(words)), lengths)
         summed = np.zeros((len(words), len(self.languages)))
         np.add.at(summed, owner, bits)
@@ -142,7 +169,7 @@ class Models:
 
 
 def fit(counts: list[tuple[str, str, int]]) -> Models:
-    """Models from (language, sequence, count) of the highest order and of the starts."""
+    """Models from (language, sequence, count) of the highest order and of the starts, for lists that fit memory."""
     languages = sorted({r[0] for r in counts})
     place = {x: i for i, x in enumerate(languages)}
     levels: list[dict] = [{} for _ in range(ORDER + 1)]
@@ -179,6 +206,94 @@ def fit(counts: list[tuple[str, str, int]]) -> Models:
     return Models(languages, added, passed, len({g for _, g in levels[1]}) + 1)
 
 
+def levels_of(counts: DataFrame) -> DataFrame:
+    """lang, gram, n of all orders from the counts of the highest order and of the starts."""
+    level = counts.filter(F.length("gram") == ORDER)
+    found = level
+    for length in range(ORDER - 1, 0, -1):
+        level = level.groupBy("lang", F.substring("gram", 2, length).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        level = level.union(counts.filter(F.length("gram") == length))
+        found = found.union(level)
+    return found.filter(F.col("gram") != START)
+
+
+def figures_of(levels: DataFrame) -> DataFrame:
+    """What a sequence adds and what a context passes on: adds, size (the order), context, gram, lang, value."""
+    size, context = F.length("gram"), F.expr("left(gram, length(gram) - 1)")
+    rows = levels.select("lang", "gram", "n", size.alias("size"), context.alias("context"))
+    ones, twos = (F.count(F.when(F.col("n") == x, 1)) for x in (1, 2))
+    discount = F.when((ones > 0) & (twos > 0), ones / (ones + 2 * twos)).otherwise(0.5)
+    discounts = rows.groupBy("lang", "size").agg(discount.alias("discount"))
+    contexts = rows.groupBy("lang", "size", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    contexts = staged(contexts.join(discounts, ["lang", "size"]))
+    added = rows.join(contexts, ["lang", "size", "context"]).select(
+        F.lit(True).alias("adds"), "size", "context", "gram", "lang",
+        (F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")).alias("value"))
+    passed = contexts.select(
+        F.lit(False), "size", "context", F.col("context").alias("gram"), "lang",
+        F.col("discount") * F.col("kinds") / F.col("total"))
+    return added.union(passed)
+
+
+def key_of(context: Column, fill: int) -> Column:
+    """A context read backwards as a number; characters that it does not have count as ``fill``."""
+    out = F.lit(0).cast("long")
+    for back in range(1, ORDER):
+        code = F.when(F.length(context) >= back, F.ascii(F.substring(context, -back, 1))).otherwise(fill)
+        out = F.shiftleft(out, _BITS).bitwiseOR(code.cast("long"))
+    return out
+
+
+def tables_of(figures: DataFrame, languages: list[str], letters: int, first: int = 0, last: int = _LAST) -> Models:
+    """One block of models."""
+    found = figures.select("adds", "size", "gram", "lang", "value").toArrow()
+    adds, sizes, values = (found[x].to_numpy() for x in ("adds", "size", "value"))
+    grams, langs = np.array(found["gram"].to_pylist(), object), found["lang"].to_pylist()
+    place = {x: i for i, x in enumerate(languages)}
+    columns = np.fromiter((place[x] for x in langs), int, len(langs))
+    added, passed = [], []
+    for size in range(1, ORDER + 1):
+        at = np.flatnonzero(adds & (sizes == size))
+        added.append(table_of(list(grams[at]), columns[at], values[at], len(languages), 0.0))
+        at = np.flatnonzero(~adds & (sizes == size))
+        if size == 1:
+            rows = np.ones((1, len(languages)))
+            rows[0, columns[at]] = values[at]
+            passed.append(Table(np.zeros(1, "u8"), rows, 1.0))
+        else:
+            passed.append(table_of(list(grams[at]), columns[at], values[at], len(languages), 1.0))
+    return Models(languages, added, passed, letters, first=first, last=last)
+
+
+def models_of(counts: DataFrame) -> Models | None:
+    """Models from lang, gram, n: in one piece, or in blocks that no more than one is held of at a time."""
+    levels = staged(levels_of(counts))
+    # As many rows as there are languages.
+    languages = sorted(r.lang for r in levels.select("lang").distinct().collect())
+    if not languages:
+        return None
+    letters = levels.filter(F.length("gram") == 1).select("gram").distinct().count() + 1
+    figures = staged(figures_of(levels))
+    kinds = figures.groupBy("adds", "size", "context", "gram").agg(F.count(F.lit(1)).alias("n"))
+    cells = kinds.count() * len(languages)
+    if cells <= BLOCK:
+        return tables_of(figures, languages, letters)
+    low, high = key_of(F.col("context"), 0), key_of(F.col("context"), 2 ** _BITS - 1)
+    pieces = -(-cells // BLOCK)
+    cuts = kinds.select(low.alias("low")).agg(F.percentile_approx(
+        "low", [i / pieces for i in range(1, pieces)], F.lit(100 * pieces))).first()[0]
+    edges = [0, *sorted({*cuts} - {0})]
+    block_of = lambda key: F.size(F.filter(F.lit(edges).cast("array<long>"), lambda x: x <= key)) - 1
+    # A short context goes to each block that holds longer ones which end with it.
+    placed = figures.withColumn("block", F.explode(F.sequence(block_of(low), block_of(high))))
+    placed = staged(placed.repartitionByRange("block").sortWithinPartitions("block"))
+    parts = []
+    for i, (first, end) in enumerate(zip(edges, [*edges[1:], _LAST + 1])):
+        block = tables_of(placed.filter(F.col("block") == i), languages, letters, first, end - 1)
+        parts.append(counts.sparkSession.sparkContext.broadcast(block))
+    return Models(languages, [], [], letters, parts=parts)
+
+
 class Scorer:
     """Cross-entropies of texts; remembers the bits of chunks between white space."""
 
@@ -191,19 +306,37 @@ class Scorer:
         self.places: dict[str, int] = _Places()
         self.bits = np.zeros((1024, len(self.models.languages) + 1))
 
-    def sums(self, texts: list[str]) -> np.ndarray:
-        """Bits under each language and number of characters of each text."""
-        if len(self.places) > REMEMBERED:
-            self.fresh()
-        places = self.places
-        rows = [np.fromiter(map(places.__getitem__, x.lower().split()), int) for x in texts]
-        if places.new:
-            bits, chars = self.models.word_bits(places.new)
-            if len(places) > len(self.bits):
-                self.bits = np.concatenate([self.bits, np.zeros((len(places), self.bits.shape[1]))])
-            self.bits[len(places) - len(places.new):len(places)] = np.column_stack([bits, chars])
-            places.new = []
-        return np.array([self.bits[r].sum(axis=0) for r in rows])
+    def sums(self, parts: Iterable, texts: Callable) -> Iterator[tuple]:
+        """Each part with the bits under each language and the number of characters of its texts, ``texts(part)``.
+
+        Models in blocks are read for many parts at once.
+        """
+        held, size = [], 0
+        for part in parts:
+            if not held and len(self.places) > REMEMBERED:
+                self.fresh()
+            own = [x or "" for x in texts(part)]
+            held.append((part, [np.fromiter(map(self.places.__getitem__, x.lower().split()), int) for x in own]))
+            size += sum(map(len, own))
+            if not self.models.parts or size > AHEAD or len(self.places.new) > AHEAD_WORDS:
+                yield from self.done(held)
+                held, size = [], 0
+        yield from self.done(held)
+
+    def done(self, held: list[tuple]) -> Iterator[tuple]:
+        new, known = self.places.new, len(self.places) - len(self.places.new)
+        if new:
+            if len(self.places) > len(self.bits):
+                self.bits = np.concatenate([self.bits, np.zeros((len(self.places), self.bits.shape[1]))])
+            for block in self.models.blocks():
+                for start in range(0, len(new), AT_ONCE):
+                    bits, chars = block.word_bits(new[start:start + AT_ONCE])
+                    rows = self.bits[known + start:known + start + len(bits)]
+                    rows[:, :-1] += bits
+                    rows[:, -1] = chars
+            self.places.new = []
+        for part, rows in held:
+            yield part, np.array([self.bits[r].sum(axis=0) for r in rows]).reshape(len(rows), self.bits.shape[1])
 
 
 class _Places(dict):
@@ -219,6 +352,15 @@ class _Places(dict):
         return place
 
 
+def shipped(df: DataFrame, models: Models) -> Models | Broadcast:
+    """What tasks take along: blocks are broadcast already."""
+    return models if models.parts else df.sparkSession.sparkContext.broadcast(models)
+
+
+def opened(shared: Models | Broadcast) -> Models:
+    return shared.value if isinstance(shared, Broadcast) else shared
+
+
 def entropies(sums: np.ndarray) -> np.ndarray:
     return sums[:, :-1] / np.maximum(sums[:, -1:], 1)
 
@@ -227,19 +369,9 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """Models from all rows that are not held out and have a text and a language; None without any."""
     rows = df.filter(~is_held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = staged(gram_counts(rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))))
-    # How often counts occur, in as many rows as there are powers of two.
-    sizes = counts.groupBy(F.floor(F.log2("n")).alias("power")).count().orderBy(F.desc("power")).collect()
-    kept, least = 0, 1
-    for r in sizes:
-        kept += r["count"]
-        if kept > MOST_GRAMS:
-            least = 2 ** (r["power"] + 1)
-            break
-    # Bounded by MOST_GRAMS.
-    grams = [tuple(r) for r in counts.filter((F.col("n") >= least) | (F.length("gram") <= 2)).collect()]
-    if not grams:
+    models = models_of(counts)
+    if models is None:
         return None
-    models = fit(grams)
     total = rows.count()
     step = -(-total // CALIBRATION)
     sample = rows.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(
@@ -247,10 +379,10 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     place = {x: i for i, x in enumerate(models.languages)}
     schema = "lang int, entropy double, chars double"
 
+    shared = shipped(df, models)
+
     def run(batches):
-        scorer = Scorer(models)
-        for part in slices(batches):
-            sums = scorer.sums(part["text"])
+        for part, sums in Scorer(opened(shared)).sums(slices(batches), lambda x: x["text"]):
             own = np.array([place.get(x, -1) for x in part["lang"]])
             good = np.flatnonzero((own >= 0) & (sums[:, -1] > 0))
             yield pa.RecordBatch.from_pydict({
@@ -281,12 +413,12 @@ def predict(df: DataFrame, models: Models | None, key: str = "doc_id", text: str
         return columns.select(
             F.col("k").alias("doc_id"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("entropy"), F.lit(True).alias("rejected"))
-    shared = df.sparkSession.sparkContext.broadcast(models)
+    shared = shipped(df, models)
 
     def run(batches):
-        judge = Judge(shared.value)
-        for part in slices(batches):
-            pred, score, entropy, rejected = judge.verdicts(part["t"])
+        models = opened(shared)
+        for part, sums in Scorer(models).sums(slices(batches), lambda x: x["t"]):
+            pred, score, entropy, rejected = verdicts(models, sums)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part["k"], "lang_pred": pred, "score": score, "entropy": entropy, "rejected": rejected,
             })
@@ -294,39 +426,31 @@ def predict(df: DataFrame, models: Models | None, key: str = "doc_id", text: str
     return columns.mapInArrow(typed(run, schema), schema)
 
 
-class Judge:
+def verdicts(models: Models, sums: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Predictions for texts."""
-
-    def __init__(self, models: Models) -> None:
-        self.models, self.scorer = models, Scorer(models)
-
-    def verdicts(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        sums = self.scorer.sums([x or "" for x in texts])
-        chars, bits = sums[:, -1], entropies(sums)
-        best = bits.argmin(axis=1)
-        lowest = bits[np.arange(len(best)), best]
-        weight = np.minimum(chars, EVIDENCE)[:, None]
-        score = 1 / np.exp2((lowest[:, None] - bits) * weight).sum(axis=1)
-        mean, spread = self.models.usual[best].T
-        known = chars > 0
-        strange = lowest - mean > MARGIN + DEVIATIONS * spread / np.sqrt(np.maximum(chars, 1))
-        pred = [self.models.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-        return pred, np.where(known, score, 0.0), np.where(known, lowest, np.nan), ~known | strange
+    chars, bits = sums[:, -1], entropies(sums)
+    best = bits.argmin(axis=1)
+    lowest = bits[np.arange(len(best)), best]
+    weight = np.minimum(chars, EVIDENCE)[:, None]
+    score = 1 / np.exp2((lowest[:, None] - bits) * weight).sum(axis=1)
+    mean, spread = models.usual[best].T
+    known = chars > 0
+    strange = lowest - mean > MARGIN + DEVIATIONS * spread / np.sqrt(np.maximum(chars, 1))
+    pred = [models.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+    return pred, np.where(known, score, 0.0), np.where(known, lowest, np.nan), ~known | strange
 
 
 def accepted(df: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
     """The rows of ``df`` whose text is not rejected, with all their columns."""
     if models is None:
         return df.limit(0)
-    shared = df.sparkSession.sparkContext.broadcast(models)
+    shared = shipped(df, models)
 
     def run(batches):
-        judge = Judge(shared.value)
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                rejected = judge.verdicts(part.column(place).to_pylist())[3]
-                yield part.filter(pa.array(~rejected))
+        models = opened(shared)
+        parts = (batch.slice(start, ROWS) for batch in batches for start in range(0, batch.num_rows, ROWS))
+        for part, sums in Scorer(models).sums(parts, lambda x: x.column(place).to_pylist()):
+            yield part.filter(pa.array(~verdicts(models, sums)[3]))
 
     place = df.columns.index(text)
     return df.mapInArrow(run, df.schema)

@@ -102,3 +102,47 @@ def test_smoothing():
         want = -sum(math.log2(chance(framed[max(0, i - 3):i], framed[i])) for i in range(1, len(framed)))
         bits, chars = models.word_bits([word])
         assert chars[0] == len(word) + 1 and abs(bits[0, 0] - want) < 1e-9
+
+
+def wide_language(dice, rows):
+    """Rows of a language with more sequences than models in one piece used to hold."""
+    letters = [chr(c) for c in range(0x430, 0x450)] + [chr(c) for c in range(0x561, 0x575)] + ["\U00010428"]
+    return [(i, " ".join("".join(dice.choices(letters, k=12)) for _ in range(100)), "hot", "x") for i in range(rows)]
+
+
+def counted(rows):
+    counts = Counter()
+    for _, text, lang, _ in rows:
+        for word in language.LETTERS.findall(text.lower()):
+            counts.update((lang, g) for g in language.grams_of(word))
+    return [(*k, n) for k, n in counts.items()]
+
+
+def test_small_language_beside_one_with_many_sequences(spark):
+    dice = random.Random(3)
+    rows = wide_language(dice, 700) + [(10_000 + i, text(dice, "bb", 8), "bb", "x") for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    taught = {r.doc_id for r in df.filter(~language.is_held_out()).collect()}
+    counts = counted([r for r in rows if r[0] in taught])
+    assert len(counts) > 400_000
+    models, whole = language.learn(df), language.fit(counts)
+    got = language.predict(df.filter("doc_id >= 9990 or doc_id < 20"), models).collect()
+    assert len(got) == 60
+    texts = {r[0]: (r[1], r[2]) for r in rows}
+    for r in got:
+        bits, chars = whole.word_bits(texts[r.doc_id][0].split())
+        per_character = bits.sum(axis=0) / chars.sum()
+        assert r.lang_pred == texts[r.doc_id][1] and abs(r.entropy - per_character.min()) < 1e-9
+
+
+def test_blocks_change_nothing(spark, found, monkeypatch):
+    df, models = found
+    assert not models.parts
+    monkeypatch.setattr(language, "BLOCK", 300)
+    monkeypatch.setattr(language, "AHEAD", 2_000)
+    blocks = language.learn(df)
+    assert len(blocks.parts) > 5 and max(t.rows.size for p in blocks.parts for t in p.value.added) < 1_000
+    first, second = (sorted(map(tuple, language.predict(df, m).collect()), key=repr) for m in (models, blocks))
+    for a, b in zip(first, second, strict=True):
+        assert (a[:2], a[4]) == (b[:2], b[4]) and a[2:4] == pytest.approx(b[2:4], nan_ok=True)
+    assert language.accepted(df, blocks).count() == df.count() - 4
