@@ -29,8 +29,8 @@ ORDER = 4
 BLOCK = 1_000_000
 #: Characters of text and new words for which a task opens the blocks of models in turn, and words scored at once.
 AHEAD, AHEAD_WORDS, AT_ONCE = 8_000_000, 100_000, 10_000
-#: Texts, at most about, from which rejection is calibrated; deviations and bits per character beyond which it sets in.
-CALIBRATION, DEVIATIONS, MARGIN = 4_000, 8.0, 1.0
+#: Deviations and bits per character beyond which rejection sets in.
+DEVIATIONS, MARGIN = 8.0, 1.0
 #: Characters that count as independent evidence for the confidence, and words remembered by a task.
 EVIDENCE, REMEMBERED, WORDS_HELD = 20, 300_000, 200_000
 START, STOP = "\x02", "\x03"
@@ -372,34 +372,42 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     models = models_of(counts)
     if models is None:
         return None
-    total = rows.count()
-    step = -(-total // CALIBRATION)
-    sample = rows.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    # Every row that teaches; a task sends a row for each language.
     place = {x: i for i, x in enumerate(models.languages)}
-    schema = "lang int, entropy double, chars double"
-
+    schema = "lang int, n long, chars double, bits double, squares double"
     shared = shipped(df, models)
 
     def run(batches):
-        for part, sums in Scorer(opened(shared)).sums(slices(batches), lambda x: x["text"]):
-            own = np.array([place.get(x, -1) for x in part["lang"]])
+        scorer = Scorer(opened(shared))
+        seen = np.zeros((len(place), 4))
+        for part, sums in scorer.sums(slices(batches), lambda x: x["text"]):
+            own = np.array([place.get(x, -1) for x in part["lang"]], int)
             good = np.flatnonzero((own >= 0) & (sums[:, -1] > 0))
-            yield pa.RecordBatch.from_pydict({
-                "lang": own[good], "entropy": entropies(sums)[good, own[good]], "chars": sums[good, -1],
-            })
-
-    # About CALIBRATION rows of three numbers.
-    seen = np.array([tuple(r) for r in sample.mapInArrow(typed(run, schema), schema).collect()]).reshape(-1, 3)
-    models.usual = np.array([[5.0, 5.0]] * len(place))
-    for i in range(len(place)):
-        own = seen[seen[:, 0] == i]
-        if len(own):
-            mean = np.average(own[:, 1], weights=own[:, 2])
-            models.usual[i] = mean, np.sqrt(np.mean((own[:, 1] - mean) ** 2 * own[:, 2]))
+            chars, bits = sums[good, -1], sums[good, own[good]]
+            np.add.at(seen, own[good], np.column_stack([np.ones(len(good)), chars, bits, bits * bits / chars]))
+        at = np.flatnonzero(seen[:, 0])
+        yield pa.RecordBatch.from_pydict({
+            "lang": at, "n": seen[at, 0], "chars": seen[at, 1], "bits": seen[at, 2], "squares": seen[at, 3],
+        })
+
+    labelled = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    sums = labelled.mapInArrow(typed(run, schema), schema).groupBy("lang").agg(
+        *(F.sum(x) for x in ("n", "chars", "bits", "squares")))
+    models.usual = usual_of({r[0]: tuple(r)[1:] for r in sums.collect()}, len(place))
     return models
 
 
+def usual_of(sums: dict[int, tuple], languages: int) -> np.ndarray:
+    """Mean and scaled deviation per language from number of texts, characters, bits and squared bits by characters.
+
+    A deviation counts one text more, which deviates as those of all languages do: few texts alone would seem alike.
+    """
+    n, chars, bits, squares = np.array([sums.get(i, (0, 0, 0, 0)) for i in range(languages)], float).T
+    mean = bits / np.maximum(chars, 1)
+    apart = np.maximum(squares - mean * bits, 0)
+    return np.column_stack([mean, np.sqrt((apart + apart.sum() / max(n.sum(), 1)) / (n + 1))])
+
+
 def predict(df: DataFrame, models: Models | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, lang_pred, score, entropy (bits per character of lang_pred) and rejected of every row.
 

@@ -146,3 +146,23 @@ def test_blocks_change_nothing(spark, found, monkeypatch):
     for a, b in zip(first, second, strict=True):
         assert (a[:2], a[4]) == (b[:2], b[4]) and a[2:4] == pytest.approx(b[2:4], nan_ok=True)
     assert language.accepted(df, blocks).count() == df.count() - 4
+
+
+def test_rejection_learns_from_every_row(spark):
+    """A rare language in a large table: figures as a plain reading of all rows gives them, and its short texts stay."""
+    dice = random.Random(5)
+    rows = [(i, text(dice, "aa", 5), "aa", "x") for i in range(12_000)]
+    rows += [(20_000 + i, text(dice, "bb", dice.choice((1, 2, 40))), "bb", "x") for i in range(24)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    taught = {r.doc_id for r in df.filter(~language.is_held_out()).collect()}
+    models, apart, n = language.learn(df), {}, Counter()
+    for place, lang in enumerate(("aa", "bb")):
+        own = [models.word_bits(t.split()) for i, t, x, _ in rows if x == lang and i in taught]
+        own = [(bits[:, place].sum(), chars.sum()) for bits, chars in own]
+        mean = sum(b for b, _ in own) / sum(c for _, c in own)
+        assert models.usual[place][0] == pytest.approx(mean)
+        apart[lang], n[lang] = sum((b / c - mean) ** 2 * c for b, c in own), len(own)
+    for place, lang in enumerate(("aa", "bb")):
+        want = math.sqrt((apart[lang] + sum(apart.values()) / sum(n.values())) / (n[lang] + 1))
+        assert models.usual[place][1] == pytest.approx(want)
+    assert language.accepted(df, models).filter("lang = 'bb'").count() == 24
