@@ -24,11 +24,25 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the smallest doc_id."""
-    found = staged(jaccard.near_duplicates(docs, words=5, share=4, of=5))
-    kept = without(docs, found.filter("doc_id <> component_id").select("doc_id"))
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the smallest doc_id.
+
+    Where a doc_id repeats, groups are those of single rows. A doc_id with unlike texts stands for a group only if no
+    other does, and keeps one row if it stands for several. Rows without a doc_id stay.
+    """
+    named = docs.filter("doc_id is not null")
+    if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = jaccard.near_duplicates(docs, words=5, share=4, of=5)
+        return without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+    rows = staged(docs.withColumn("row_id", F.monotonically_increasing_id()))
+    found = jaccard.near_duplicates(rows, words=5, share=4, of=5, key="row_id").select(
+        F.col("doc_id").alias("row_id"), F.col("component_id").alias("group"), (F.col("n_shingles") == 0).alias("empty"))
+    named = staged(rows.filter("doc_id is not null").select("row_id", "doc_id", F.xxhash64("text").alias("hash")).join(found, "row_id"))
+    unlike = named.groupBy("doc_id").agg((F.min("group") < F.max("group")).alias("unlike"))
+    heads = named.join(unlike, "doc_id").groupBy("group").agg(
+        F.min(F.struct("unlike", "doc_id", "empty", "hash", "row_id")).alias("head")).select("head.*")
+    stay = heads.groupBy("doc_id").agg(F.min(F.struct("empty", "hash", "row_id"))["row_id"].alias("row_id"))
+    gone = named.join(stay, "row_id", "left_anti").select("row_id")
+    return without(rows, gone, "row_id").select(docs.columns)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

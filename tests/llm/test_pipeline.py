@@ -87,3 +87,23 @@ def test_without_documents(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert language.learn(none) is None
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def one_of_each(spark, rows):
+    docs = spark.createDataFrame([(i, t, "aa", "src", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.one_of_each(spark, docs.repartition(4), None)
+    assert kept.columns == docs.columns
+    return sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+
+
+def test_rows_without_id_beside_repeats(spark):
+    a, b, c, d = (" ".join(words(random.Random(i), "aa", 30)) for i in range(4))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, c), (8, c), (9, d), (10, a)]
+    assert one_of_each(spark, rows) == sorted([(None, a), (None, b), (None, b), (7, c), (9, d), (10, a)], key=repr)
+
+
+def test_one_id_with_two_texts(spark):
+    a, b, c, d = (" ".join(words(random.Random(i), "aa", 30)) for i in range(10, 14))
+    assert one_of_each(spark, [(5, a), (5, b), (3, b), (4, c)]) == sorted([(5, a), (3, b), (4, c)])
+    assert one_of_each(spark, [(5, a), (5, b), (7, a), (8, b)]) == sorted([(7, a), (8, b)])
+    assert one_of_each(spark, [(5, a), (5, b), (7, a), (6, d), (6, "")]) == sorted([(5, b), (7, a), (6, d)])
