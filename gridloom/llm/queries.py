@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm import chat, html_text, jaccard, language, pieces, secret_scan, tiling, token_counts, token_files, topk
+from gridloom.llm import (
+    chat, html_text, jaccard, language, lexical, mixing, pieces, resample, secret_scan, tiling, token_counts, token_files,
+    topk,
+)
 from gridloom.llm.staging import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +139,111 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return html_text.extract(pages, html_text.learn(pages))
+
+
+@query("op11_lexical_search", r"""
+    with words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as listed from documents
+    ), totals as (
+        select count(*) filter (len(listed) > 0) as number, greatest(sum(len(listed)), 1)::bigint as length from words
+    ), items as (
+        select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark
+    ), held as (
+        select doc_id, n, term, count(*) as tf from (
+            select doc_id, len(listed)::bigint as n, unnest(listed) as term from words)
+        where term in (select term from items) group by doc_id, n, term
+    ), weights as (
+        select term, floor(1000 * ln((2 * number + 2)::double / (2 * count(*) + 1)))::bigint as w
+        from held, totals group by term, number
+    ), scored as (
+        select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * number) // length))))::bigint as score
+        from items join held using (term) join weights using (term), totals group by item_id, doc_id
+    ), ranked as (
+        select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+        from scored where score > 0
+    ) select * from ranked where rank <= 50
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_source_mix", r"""
+    with sizes as (
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+               substr(sha256('mix:' || coalesce(doc_id::varchar, '')), 1, 12) as h from documents
+    ), sources as (
+        select source, sum(size)::bigint as s, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w
+        from sizes group by source
+    ), filled as (
+        select *, sum(3 * s) over lower as given, sum(w) over lower as closed, sum(s) over () as everything, sum(w) over () as weights
+        from sources window lower as (order by s::double / w, source nulls last rows between unbounded preceding and 1 preceding)
+    ), levels as (
+        select (everything - coalesce(given, 0))::bigint as rest, (weights - coalesce(closed, 0))::bigint as open
+        from filled where w * (everything - coalesce(given, 0)) <= 3 * s * (weights - coalesce(closed, 0))
+        order by open desc limit 1
+    ), targets as (
+        select source, s, case when w * rest > 3 * s * open then 3 * s else w * rest end as over,
+               case when w * rest > 3 * s * open then 1 else open end as under from sources, levels
+    ), budgets as (
+        select source, s, over::double / under as target, case when s > 0 then over // (under * s) else 0 end as repeats,
+               case when s > 0 then over % (under * s) else 0 end::double / under as budget from targets
+    ), placed as (
+        select z.*, b.s, b.target, b.repeats, b.budget,
+               sum(z.size) over (partition by z.source order by h, z.size, z.doc_id rows unbounded preceding) - z.size as before
+        from sizes z join budgets b on z.source is not distinct from b.source
+    ) select doc_id, source, size, s as source_size, target,
+             (size * (repeats + case when 2 * before + size <= 2 * budget then 1 else 0 end))::bigint as taken from placed
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), lambda sources: sources.withColumn("weight", (F.col("no") - 1) % 3 + 1))
+
+
+@query("op13_target_resampling", r"""
+    with recursive docs as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
+    ), corpus as (
+        select word, count(*) as n from (select unnest(words) as word from docs) group by word
+    ), wanted as (
+        select word, count(*) as n from (select unnest(regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+               from benchmark) group by word
+    ), steps(i, c, step) as (
+        select i, i::bigint, 0 from range(256) as r(i) union all
+        select i, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, step + 1 from steps where step < 8
+    ), crc as (
+        select list(c order by i) as t from steps where step = 8
+    ), bytes as (
+        select word, hex(encode(word)) as h from (select word from corpus union select word from wanted)
+    ), buckets as (
+        select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(1, len(h) + 1, 2),
+               lambda i: ((instr('0123456789ABCDEF', substr(h, i, 1)) - 1) * 16
+                          + instr('0123456789ABCDEF', substr(h, i + 1, 1)) - 1)::bigint)),
+               lambda a, b: xor(a // 256, t[(xor(a, b) % 256) + 1])), 4294967295::bigint) % 10000 as bucket from bytes, crc
+    ), sums as (
+        select bucket, coalesce(sum(c.n), 0)::bigint as s, coalesce(sum(w.n), 0)::bigint as t
+        from buckets left join corpus c using (word) left join wanted w using (word) group by bucket
+    ), gains as (
+        select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+               / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain from sums
+    ), weights as (
+        select doc_id, sum(gain)::bigint as weight from (select doc_id, unnest(words) as word from docs)
+        join buckets using (word) join gains using (bucket) group by doc_id
+    ), noise as (
+        select doc_id, len(words)::bigint as n_features,
+               list_reduce(list_prepend(0::bigint, list_transform(range(1, 9), lambda i: (instr('0123456789abcdef',
+               substr(sha256('2024:' || doc_id), i, 1)) - 1)::bigint)), lambda a, b: a * 16 + b) as h from docs
+    ), scored as (
+        select doc_id, n_features, coalesce(weight, 0) as weight,
+               coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score
+        from noise left join weights using (doc_id)
+    ), places as (
+        select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+               count(*) over (partition by n_features >= 20) as number from scored
+    ) select doc_id, n_features, weight, score,
+             case when n_features >= 20 and place <= (10 * number) // 100 then place end as rank from places
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
