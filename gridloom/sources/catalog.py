@@ -8,54 +8,30 @@ from functools import reduce
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.sources.files import list_files, scanned_path
-from gridloom.sources.folder import FORMATS, csv_headers, file_catalog, glob_of
+from gridloom.sources.csv_scan import INFERRED, csv_headers, data_lines, fields_of, fitting, header_names
+from gridloom.sources.files import glob_of, list_files, scanned_path
+from gridloom.sources.folder import FORMATS, file_catalog
 from gridloom.sources.workbook import WORKBOOK_GLOB, grid_rows, read_grid
 
 CATALOG_SCHEMA = "file string, ordinal int, column string, type string"
 
-# Text types tried in this order, the first that fits every value wins.
-INFERRED = ["int", "bigint", "double", "boolean", "date", "timestamp"]
-UNQUOTED_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _unquoted(text: Column) -> Column:
-    return F.replace(F.regexp_replace(F.trim(text), '^"|"$', ""), F.lit('""'), F.lit('"'))
-
-
-def _fields(line: Column) -> Column:
-    return F.transform(F.split(line, UNQUOTED_COMMA, -1), _unquoted)
-
 
 def csv_catalog(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """CSV columns as text, or with the narrowest type that fits all of a file's values."""
-    heads = csv_headers(spark, path)
-    columns = heads.select(
-        F.col("path").alias("file"), F.posexplode(_fields(F.col("header"))).alias("ordinal", "column")
-    )
+    """CSV columns as text, or with the narrowest type that fits all of a file's values; lines that cannot be read have
+    no say in it."""
+    heads = header_names(csv_headers(spark, path))
+    columns = heads.select(F.col("path").alias("file"), F.posexplode("names").alias("ordinal", "column"))
     if not infer:
         return columns.withColumn("type", F.lit("string"))
-    lines = (
-        spark.read.option("pathGlobFilter", glob_of("csv"))
-        .text(path)
-        .select("value", scanned_path().alias("path"))
-        .join(heads, "path")
-        .filter("value <> header and value <> ''")
-    )
-    cells = lines.select(F.col("path").alias("file"), F.posexplode(_fields(F.col("value"))).alias("ordinal", "v"))
-    filled = cells.filter("v <> ''")
-    fits = filled.groupBy("file", "ordinal").agg(
-        *[F.min(F.col("v").try_cast(kind).isNotNull()).alias(kind) for kind in INFERRED[:4]],
-        *[F.min(F.col("v").rlike("^[0-9]{4}-") & F.col("v").try_cast(kind).isNotNull()).alias(kind) for kind in INFERRED[4:]],
-        F.max(F.length("v") > 10).alias("timed"),
-    )
-    kind = F.when(F.col("int"), "int")
-    for name in INFERRED[1:]:
-        wanted = F.col(name) & ~F.col("timed") if name == "date" else F.col(name)
-        kind = kind.when(wanted, name)
+    lines = fields_of(data_lines(spark, path), "value", "fields")
+    cells = lines.select(F.col("path").alias("file"), F.posexplode("fields").alias("ordinal", "v")).filter("v is not null")
+    fits = cells.groupBy("file", "ordinal").agg(F.bit_and(fitting(F.col("v"))).alias("bits"))
+    kind = F.when(F.col("bits").bitwiseAND(F.lit(1)) > 0, INFERRED[0])
+    for i, name in enumerate(INFERRED[1:], 1):
+        kind = kind.when(F.col("bits").bitwiseAND(F.lit(2**i)) > 0, name)
     typed = fits.select("file", "ordinal", kind.otherwise("string").alias("type"))
     return columns.join(typed, ["file", "ordinal"], "left").na.fill("string", ["type"])
 
@@ -83,7 +59,7 @@ def parquet_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 def json_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Top-level fields of JSON lines, in name order, with the type all values of a file share."""
-    lines = spark.read.option("pathGlobFilter", glob_of("json")).text(path)
+    lines = spark.read.option("pathGlobFilter", glob_of("json")).option("recursiveFileLookup", True).text(path)
     fields = lines.select(
         scanned_path().alias("file"), F.explode(F.from_json("value", "map<string,variant>")).alias("column", "v")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from gridloom.functions.paths import base_name, suffix
 from gridloom.operators.dedup import union_by_name
 from gridloom.operators.lineage import cut
 from gridloom.operators.recon import megabytes
-from gridloom.sources.files import list_files, literal, scanned_path
+from gridloom.sources.csv_scan import csv_headers, scan_csv  # noqa: F401
+from gridloom.sources.files import glob_of, list_files, scanned_path
 from gridloom.sources.workbook import WORKBOOK_GLOB, grid_errors, grid_rows, grid_to_table, read_grid
 
 FORMATS = {
@@ -18,11 +21,6 @@ FORMATS = {
 }
 
 
-def glob_of(extension: str) -> str:
-    """Glob for an extension in any case."""
-    return "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in extension)
-
-
 def file_catalog(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path, name, extension, size of each file in a folder; contents are not read."""
     return list_files(spark, path, glob).select(
@@ -41,22 +39,6 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def csv_headers(spark: SparkSession, path: str, glob: str = glob_of("csv")) -> DataFrame:
-    """Header line of each CSV file: the first line of the file's first block."""
-    lines = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .text(path)
-        .select(
-            "value",
-            scanned_path().alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        )
-    )
-    return lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
-
-
 def read_csv(
     spark: SparkSession, paths: str | list[str], types: str = "infer", strict: bool = False, schema: str | None = None
 ) -> DataFrame:
@@ -69,15 +51,6 @@ def read_csv(
     return reader.option("inferSchema", types == "infer").csv(paths)
 
 
-def read_csv_folder(spark: SparkSession, path: str, types: str = "infer") -> list[DataFrame]:
-    """One table per distinct header: Spark applies a scan's first header to all its files."""
-    by_header = (
-        csv_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    )
-    found = by_header.orderBy(F.get("paths", F.lit(0))).collect()
-    return [read_csv(spark, [literal(p) for p in row["paths"]], types) for row in found]
-
-
 def read_parquet(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
@@ -86,19 +59,30 @@ def read_json(spark: SparkSession, paths: str | list[str], multi_line: bool = Fa
     return spark.read.option("multiLine", multi_line).json(paths)
 
 
-def read_folder(spark: SparkSession, path: str, types: str = "infer", quarantine: str | None = None) -> DataFrame:
+def read_folder(
+    spark: SparkSession, path: str, types: str = "infer", quarantine: str | None = None, bad_lines: str = "quarantine",
+    budget: int | None = None,
+) -> DataFrame:
     """All supported files of a folder and the folders below it as one table, columns united by name.
 
-    Workbooks that cannot be read are written with their reasons to ``quarantine``, a Parquet folder; without one
-    they are an error.
+    Workbooks and CSV lines that cannot be read are written with their reasons to ``quarantine``, a Parquet folder of
+    file_path, record (the line) and reason; without one they are an error. ``bad_lines="skip"`` leaves such lines out.
+    More malformed lines than ``budget`` are an error either way.
     """
     kinds = {
         FORMATS.get(r["extension"])
-        for r in file_catalog(spark, path).select("extension").distinct().collect()
+        for r in file_catalog(spark, path).filter("size > 0").select("extension").distinct().collect()
     }
     frames: list[DataFrame] = []
+    aside: list[DataFrame] = []
     if "csv" in kinds:
-        frames += read_csv_folder(spark, path, types)
+        scan = scan_csv(spark, path, types, budget=budget)
+        frames.append(scan.good)
+        if bad_lines != "skip" and scan.malformed:
+            aside.append(scan.bad)
+            if quarantine is None:
+                first = scan.bad.first()
+                raise ValueError(f"{scan.malformed} malformed lines, one in {first['file_path']}: {first['reason']}")
     if "parquet" in kinds:
         frames.append(
             spark.read.option("pathGlobFilter", glob_of("parquet")).option("recursiveFileLookup", True)
@@ -109,13 +93,14 @@ def read_folder(spark: SparkSession, path: str, types: str = "infer", quarantine
     if "workbook" in kinds:
         grid = cut(read_grid(spark, path, glob=WORKBOOK_GLOB))
         errors = grid_errors(grid)
-        if quarantine is not None:
-            errors.write.mode("overwrite").parquet(quarantine)
-        elif (first := errors.first()) is not None:
+        if quarantine is None and (first := errors.first()) is not None:
             raise ValueError(f"unreadable workbook {first['file_path']}: {first['reason']}")
+        aside.append(errors.select("file_path", F.lit(None).cast("string").alias("record"), "reason"))
         frames.append(grid_to_table(grid_rows(grid)).drop("file_path", "row_idx"))
     if not frames:
         raise ValueError(f"no supported file in {path}")
+    if quarantine is not None and aside:
+        reduce(DataFrame.unionByName, aside).write.mode("overwrite").parquet(quarantine)
     return union_by_name(frames)
 
 

@@ -13,9 +13,10 @@ from gridloom.sources.workbook import SIZE_LIMIT, WORKBOOK_GLOB, grid_of
 
 
 def csv_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV files as they arrive; malformed rows keep their text in ``_corrupt_record``."""
+    """CSV files as they arrive, in folders below as well; malformed rows keep their text in ``_corrupt_record``."""
     return (
         spark.readStream.schema(f"{schema}, _corrupt_record string")
+        .option("recursiveFileLookup", True)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -25,11 +26,12 @@ def csv_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def grid_stream(spark: SparkSession, path: str, all_sheets: bool = False, size_limit: int = SIZE_LIMIT) -> DataFrame:
-    """Workbooks as they arrive, as a cell grid; trouble shows up as rows with ``error`` set."""
+    """Workbooks as they arrive, in folders below as well, as a cell grid; trouble shows up as rows with ``error`` set."""
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", WORKBOOK_GLOB)
+        .option("recursiveFileLookup", True)
         .load(path)
     )
     return grid_of(files, all_sheets, size_limit)
