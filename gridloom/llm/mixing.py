@@ -4,7 +4,7 @@ Sizes are words. Weights share all words among the sources; a source gives its w
 it cannot give is shared again. Whole repeats come first. For the rest, rows of a source are taken in the order of a
 hash of their id up to the budget, without sorting them: sizes are summed by source and hash bucket, the bucket in
 which the budget ends is found, and only that bucket is summed again, by the next bits of the hash. Every level reads a
-65536th of the rows of the one before. What remains is a threshold a source, a filter on each row alone. A smaller
+4096th of the rows of the one before. What remains is a threshold a source, a filter on each row alone. A smaller
 budget has a lower threshold on the same hashes, so mixes are nested.
 """
 
@@ -18,7 +18,7 @@ from gridloom.llm.ranks import numbered
 from gridloom.llm.staging import FEW, staged
 
 #: Bits of the hash that a histogram resolves, and levels of histograms.
-BITS, LEVELS = 16, 3
+BITS, LEVELS = 12, 4
 #: Parts that the rows of a source are dealt into where the list of sources is too long to be sent to every task.
 SALTS = 64
 #: Exact products of sizes and weights.
@@ -76,7 +76,7 @@ def targets(sources: DataFrame, most: int, total: int | None = None) -> DataFram
 def end_of(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """The bucket in which the budget of each source ends: no, bucket, before (words in lower buckets), alike (rows).
 
-    A source whose budget is not reached has none. Buckets of a source number 65536 at most, or sizes of rows that share
+    A source whose budget is not reached has none. Buckets of a source number 4096 at most, or sizes of rows that share
     one hash.
     """
     summed = rows.groupBy("no", "bucket").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("alike"))
