@@ -3,11 +3,13 @@
 Texts become sets of word shingles; texts with equal sets are one class from the start. Two sets of a Jaccard
 similarity of t or more share a token among the first (1 - t) of their tokens, whatever order all tokens are put in. So
 
-1. under the first order, shared shingles last, classes are candidates where they share such a prefix token, their
-   sizes fit, and counts of their tokens in 64 hash ranges leave room for the overlap that is needed (in groups, classes
-   without such a partner leave before sets are fetched);
-2. candidates have to share prefix tokens under two more orders as well, hash orders of their own;
-3. what passes all filters is compared exactly.
+1. a first prefix of every class, frequent shingles last, shows which shingles several classes have in it; a class
+   without one has no partner and leaves;
+2. the classes left are put in three orders anew, all with the shared shingles behind the others: under the first,
+   classes that share a prefix token are candidates where their sizes fit and counts of their tokens in 64 hash ranges
+   leave room for the overlap that is needed;
+3. candidates have to share prefix tokens under the two other orders as well;
+4. sets of what passes all filters are fetched and compared exactly.
 
 Pairs are never listed for frequent tokens. Classes meet in the groups of their most frequent prefix tokens, in blocks
 of bounded size, and a group returns no more links than it takes to connect its classes; only pairs that no such
@@ -37,6 +39,7 @@ BIG, HOMES, BLOCK = 64, 3, 512
 #: Classes up to which the list of those to compare is broadcast (8 bytes each); beyond, it is joined.
 LISTED = 1_000_000
 WORDS = 300_000
+_GROUPS = "group string, i int, j int, node long, side int"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -119,8 +122,8 @@ class Frequencies:
 
 
 def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
-    """Staged rows of two kinds: (doc_id, size, node, digest, sketch) of every text, (token, n) of frequent tokens."""
-    schema = "doc_id long, size long, node long, digest binary, sketch array<smallint>, token long, n long"
+    """Staged rows of two kinds: (doc_id, size, node, digest) of every text, (token, n) of frequent tokens."""
+    schema = "doc_id long, size long, node long, digest binary, token long, n long"
 
     def run(batches):
         holding("words")
@@ -137,7 +140,6 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
                 "doc_id": pa.array(part["k"], pa.int64()), "size": [*map(len, sets)],
                 "node": pa.array(nodes, pa.int64()),
                 "digest": [xxhash.xxh3_128_digest(s.tobytes(), seed) for s in sets],
-                "sketch": pa.array([sketch(s, RANGES) for s in sets], pa.list_(pa.int16())),
                 "token": none, "n": none,
             })
         frequent.sum_up()
@@ -146,8 +148,7 @@ def classes(columns: DataFrame, rule: Rule, seed: int) -> DataFrame:
         nothing = lambda kind: pa.nulls(rows, kind)
         yield pa.RecordBatch.from_pydict({
             "doc_id": nothing(pa.int64()), "size": nothing(pa.int64()), "node": nothing(pa.int64()),
-            "digest": nothing(pa.binary()), "sketch": nothing(pa.list_(pa.int16())),
-            "token": frequent.tokens[kept].view("i8"), "n": frequent.counts[kept],
+            "digest": nothing(pa.binary()), "token": frequent.tokens[kept].view("i8"), "n": frequent.counts[kept],
         })
 
     return staged(columns.mapInArrow(typed(run, schema), schema))
@@ -162,70 +163,93 @@ def frequent_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens.view("u8")[order], counts[order]
 
 
-def first_tokens(tokens: np.ndarray, count: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first tokens under the first order: rare ones by hash, then frequent ones by count."""
+def first_tokens(tokens: np.ndarray, count: int, frequent: tuple[np.ndarray, np.ndarray], order: int = 0) -> np.ndarray:
+    """The first tokens under an order: rare ones by its hash, then frequent ones, by count under order 0 and by hash
+    under the others."""
     known, counts = frequent
-    places = mixed(tokens, 0)
+    places = mixed(tokens, order)
     if not len(known):
         return tokens[np.argpartition(places, count - 1)[:count]]
     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-    weight = np.where(known[at] == tokens, counts[at], 0)
+    weight = np.where(known[at] == tokens, counts[at] if order == 0 else 1, 0)
     return tokens[np.lexsort((places, weight))[:count]]
 
 
+def new_sets(batches, rule: Rule, seed: int):
+    """Sets of a task's texts with their numbers, each class once."""
+    seen: set[int] = set()
+    for part in slices(batches):
+        found: dict[int, np.ndarray] = {}
+        for text in part["t"]:
+            tokens = shingles(text or "", rule.words)
+            if len(tokens) and (node := identity(tokens, seed)) not in seen:
+                seen.add(node)
+                found[node] = tokens
+        yield found
+
+
+def token_lists(rows: list[np.ndarray]) -> pa.Array:
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate([np.empty(0, "u8"), *rows]).view("i8")))
+
+
 def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, node, size) of the prefixes of all classes; a class may come once from each task."""
+    """(node, tokens): prefixes under the first order; a class may come once from each task."""
     shared = columns.sparkSession.sparkContext.broadcast(frequent)
-    schema = "token long, node long, size int"
+    schema = "node long, tokens array<long>"
 
     def run(batches):
-        seen: set[int] = set()
-        for part in slices(batches):
-            tokens, nodes, sizes = [], [], []
-            for text in part["t"]:
-                found = shingles(text or "", rule.words)
-                if len(found) and (node := identity(found, seed)) not in seen:
-                    seen.add(node)
-                    tokens.append(first_tokens(found, rule.prefix(len(found)), shared.value))
-                    nodes.append(node)
-                    sizes.append(len(found))
-            counts = [*map(len, tokens)]
+        for found in new_sets(batches, rule, seed):
+            firsts = [first_tokens(x, rule.prefix(len(x)), shared.value) for x in found.values()]
+            yield pa.RecordBatch.from_pydict({"node": pa.array([*found], pa.int64()), "tokens": token_lists(firsts)})
+
+    return columns.mapInArrow(typed(run, schema), schema)
+
+
+def signatures(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(node, size, sketch, first, second, third): prefixes under the three orders; a class may come more than once."""
+    shared = columns.sparkSession.sparkContext.broadcast(frequent)
+    schema = "node long, size int, sketch array<smallint>, first array<long>, second array<long>, third array<long>"
+
+    def run(batches):
+        for found in new_sets(batches, rule, seed):
+            sets = [*found.values()]
+            orders = [[first_tokens(x, rule.prefix(len(x)), shared.value, k) for x in sets] for k in range(3)]
             yield pa.RecordBatch.from_pydict({
-                "token": np.concatenate([*tokens, np.empty(0, "u8")]).view("i8"),
-                "node": np.repeat(np.array(nodes, "i8"), counts), "size": np.repeat(np.array(sizes, "i4"), counts),
+                "node": pa.array([*found], pa.int64()), "size": pa.array([*map(len, sets)], pa.int32()),
+                "sketch": pa.array([sketch(x, RANGES) for x in sets], pa.list_(pa.int16())),
+                "first": token_lists(orders[0]), "second": token_lists(orders[1]), "third": token_lists(orders[2]),
             })
 
     return columns.mapInArrow(typed(run, schema), schema)
 
 
 def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> DataFrame:
-    """(node, size, sketch, tokens) of the classes in ``nodes`` (node, first), from the rows that have their first id."""
+    """(node, size, sketch, tokens) of the classes in ``nodes`` (node, first)."""
     schema = "node long, size int, sketch array<smallint>, tokens binary"
-    few = nodes.count() <= LISTED
-    # At most LISTED numbers; otherwise a join picks the classes.
-    listed = [tuple(r) for r in nodes.select("first", "node").collect()] if few else None
-    wanted = None if listed is None else ({x for x, _ in listed}, {x for _, x in listed})
-    shared = columns.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        wanted, seen = shared.value, set()
-        for part in slices(batches):
-            out: dict[int, np.ndarray] = {}
-            for key, text in zip(part["k"], part["t"]):
-                if wanted is not None and key not in wanted[0]:
-                    continue
-                found = shingles(text or "", rule.words)
-                if len(found) and (node := identity(found, seed)) not in seen and (wanted is None or node in wanted[1]):
-                    seen.add(node)
-                    out[node] = found
+        for found in new_sets(batches, rule, seed):
+            sets = found.values()
             yield pa.RecordBatch.from_pydict({
-                "node": pa.array([*out], pa.int64()), "size": pa.array(map(len, out.values()), pa.int32()),
-                "sketch": pa.array([sketch(x, FINE) for x in out.values()], pa.list_(pa.int16())),
-                "tokens": pa.array([x.tobytes() for x in out.values()], pa.binary()),
+                "node": pa.array([*found], pa.int64()), "size": pa.array([*map(len, sets)], pa.int32()),
+                "sketch": pa.array([sketch(x, FINE) for x in sets], pa.list_(pa.int16())),
+                "tokens": pa.array([x.tobytes() for x in sets], pa.binary()),
             })
 
-    found = columns.mapInArrow(typed(run, schema), schema)
-    return staged((found if few else found.join(nodes.select("node"), "node", "left_semi")).dropDuplicates(["node"]))
+    found = among(columns, nodes).mapInArrow(typed(run, schema), schema)
+    return staged(found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+
+def among(columns: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows that may hold the classes of ``nodes`` (node, first): those of the first ids, and those without an id.
+
+    A long list of ids is not sent to every task, and no text is shuffled: then all rows stay.
+    """
+    ids = staged(nodes.select(F.col("first").alias("k")).filter("k is not null").distinct())
+    if ids.count() > LISTED:
+        return columns
+    return columns.filter("k is not null").join(F.broadcast(ids), "k", "left_semi").unionByName(columns.filter("k is null"))
 
 
 def may_link(rows: pd.DataFrame, rule: Rule) -> np.ndarray:
@@ -310,10 +334,20 @@ def compare(rows: pd.DataFrame, rule: Rule) -> list[tuple[int, int]]:
     return [(int(nodes[root(x)]), int(nodes[x])) for x in range(len(sets)) if root(x) != x]
 
 
-def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
+def fitting(rule: Rule):
+    """Drops the rows of a group that have no partner in it, by sizes and sketches."""
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
+
+    return fit
+
+
+def candidates(signed: DataFrame, rule: Rule) -> DataFrame:
     """Groups to compare: (group, i, j, node, side)."""
-    counts = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    shared = staged(prefix.join(counts, "token").distinct())
+    rows = signed.select("node", F.explode("first").alias("token"))
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = staged(rows.join(counts, "token"))
     # A class has as many rows as its prefix has tokens.
     top = F.slice(F.reverse(F.array_sort(F.collect_list(F.when(F.col("c") > BIG, F.struct("c", "token"))))), 1, HOMES)
     homes = staged(shared.groupBy("node").agg(top.alias("top")).select("node", F.col("top.token").alias("homes"),
@@ -327,30 +361,33 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
-    traits = rows.filter("node is not null").groupBy("node").agg(
-        F.first("sketch").alias("sketch"), F.first("size").cast("int").alias("size"))
-    shape = "group string, i int, j int, node long, side int"
-
-    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
-
-    grouped = grouped.join(traits, "node").groupBy("group", "i", "j").applyInPandas(fitting, shape)
-    full = shared.select("token", "node", "size").join(homes.select("node", "homes"), "node").join(traits.select("node", "sketch"), "node")
-    a, b = (full.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "homes", "sketch"))) for s in "ab")
+    traits = signed.select("node", "size", "sketch")
+    grouped = grouped.join(traits, "node").groupBy("group", "i", "j").applyInPandas(fitting(rule), _GROUPS)
+    # A token that is a home of both sides has brought them together already, so it joins the rows that have it as
+    # another token with all rows, never all with all.
+    full = shared.select("token", "node").join(homes.select("node", "homes"), "node").join(signed.select("node", "size"), "node")
+    a, b = (full.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "homes"))) for s in "ab")
+    at_home = F.array_contains(F.col("homes_b"), a["token"])
+    pairs = a.filter(~F.array_contains("homes_a", F.col("token"))).join(b, [
+        a["token"] == b["token"], (F.col("node_a") < F.col("node_b")) | (at_home & (F.col("node_a") != F.col("node_b"))),
+        F.col("size_a") * rule.of >= F.col("size_b") * rule.share, F.col("size_b") * rule.of >= F.col("size_a") * rule.share,
+        ~F.arrays_overlap("homes_a", "homes_b"),
+    ]).select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b")).distinct()
+    # What both sides need is fetched once a pair: sketches first, then the prefixes of the other orders.
+    a, b = (traits.select(*(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "sketch"))) for s in "ab")
     room = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     room = F.coalesce(room, F.least("size_a", "size_b"))
-    pairs = a.join(b, [
-        a["token"] == b["token"], F.col("node_a") < F.col("node_b"),
-        F.col("size_a") * rule.of >= F.col("size_b") * rule.share, F.col("size_b") * rule.of >= F.col("size_a") * rule.share,
-        ~F.arrays_overlap("homes_a", "homes_b"), room >= rule.needed(F.col("size_a"), F.col("size_b")),
-    ]).select("node_a", "node_b").distinct()
-    parts = pairs.select(F.col("node_a"), F.col("node_b"), F.pmod(F.xxhash64("node_b"), F.lit(BLOCK)).alias("part"))
+    pairs = pairs.join(a, "node_a").join(b, "node_b").filter(room >= rule.needed(F.col("size_a"), F.col("size_b")))
+    a, b = (signed.select(*(F.col(x).alias(f"{x}_{s}") for x in ("node", "second", "third"))) for s in "ab")
+    pairs = pairs.select("node_a", "node_b").join(a, "node_a").join(b, "node_b").filter(
+        F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+    pairs = staged(pairs.select("node_a", "node_b"))
+    parts = pairs.select("node_a", "node_b", F.pmod(F.xxhash64("node_b"), F.lit(BLOCK)).alias("part"))
     # Partners of a class go in as many groups as hash ranges that hold some; most have a single partner.
     few = parts.groupBy("node_a").agg(F.count(F.lit(1)).alias("n"))
     dealt = parts.join(few, "node_a").select(
         F.concat(F.lit("n"), F.col("node_a").cast("string")).alias("group"), "node_a", "node_b",
         F.pmod("part", F.ceil(F.col("n") / BLOCK)).cast("int").alias("i"))
-    dealt = staged(dealt)
     ahead = dealt.select("group", "i", F.lit(0).alias("j"), F.col("node_a").alias("node"), F.lit(0).alias("side")).distinct()
     behind = dealt.select("group", "i", F.lit(0).alias("j"), F.col("node_b").alias("node"), F.lit(1).alias("side"))
     return staged(grouped.unionByName(ahead).unionByName(behind))
@@ -359,24 +396,28 @@ def candidates(prefix: DataFrame, rows: DataFrame, rule: Rule) -> DataFrame:
 def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, seed: int) -> DataFrame:
     """(a, b): links between classes, as many as connect all that are linked."""
     heavy = rows.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter("n >= 8")
-    first = prefixes(columns, rule, seed, frequent_tokens(heavy))
-    # What turns out to be shared goes behind what may be rare, and prefixes are taken once more.
-    again = first.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    prefix = staged(prefixes(columns, rule, seed, frequent_tokens(heavy.union(again))))
-    groups = candidates(prefix, rows, rule)
+    # Copies of a class add nothing: where they are few, their rows are left out from here on.
+    copies = rows.filter("node is not null").join(firsts, "node").filter("doc_id <> first").select(F.col("doc_id").alias("k"))
+    copies = staged(copies.distinct().join(firsts.select(F.col("first").alias("k")), "k", "left_anti"))
+    if copies.count() <= LISTED:
+        columns = columns.join(F.broadcast(copies), "k", "left_anti")
+    prefix = staged(prefixes(columns, rule, seed, frequent_tokens(heavy)))
+    tokens = prefix.select("node", F.explode("tokens").alias("token"))
+    again = staged(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    held = F.broadcast(again.select("token")) if again.count() <= LISTED else again.select("token")
+    left = staged(tokens.join(held, "token", "left_semi").select("node").distinct().join(firsts, "node"))
+    # What turns out to be shared goes behind what may be rare, and prefixes of the classes left are taken once more.
+    signed = signatures(among(columns, left), rule, seed, frequent_tokens(heavy.union(again)))
+    signed = staged(signed.join(left.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    groups = candidates(signed, rule)
     sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
-    shape = "group string, i int, j int, node long, side int"
-
-    def fitting(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
-
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(compare(rows, rule), columns=["a", "b"], dtype="i8")
 
     # The finer sketch is a fraction of a large set, and few pairs of unlike sets pass it.
     finer = groups.join(sets.select("node", "size", "sketch"), "node")
-    close = staged(finer.groupBy("group", "i", "j").applyInPandas(fitting, shape))
+    close = staged(finer.groupBy("group", "i", "j").applyInPandas(fitting(rule), _GROUPS))
     full = close.join(sets.select("node", "tokens"), "node")
     return full.groupBy("group", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
@@ -409,7 +450,8 @@ def near_duplicates(df: DataFrame, words: int = 5, share: int = 4, of: int = 5,
 
     Two texts link when of * intersection >= share * union of their sets of word shingles. component_id is the smallest
     doc_id that links reach. A text that is null or has no word has an empty set and stays alone. Rows that repeat a
-    doc_id are one vertex; a null doc_id takes part and never becomes a component's id. Other columns are not read; an
+    doc_id are one vertex, whatever their texts: what one of them links to, all do. Rows without a doc_id take part, each
+    with its text; theirs is the component's id where a link reaches a doc_id, else null. Other columns are not read; an
     empty table gives no rows.
     """
     rule = Rule(words, share, of)
@@ -417,7 +459,7 @@ def near_duplicates(df: DataFrame, words: int = 5, share: int = 4, of: int = 5,
     seed = 0
     while True:
         rows = classes(columns, rule, seed)
-        documents = rows.filter("size is not null").select("doc_id", "size", "node", "digest", "sketch")
+        documents = rows.filter("size is not null").select("doc_id", "size", "node", "digest")
         same = documents.filter("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("first"), F.min("digest").alias("low"), F.max("digest").alias("high"))
         same = staged(same)
@@ -426,11 +468,16 @@ def near_duplicates(df: DataFrame, words: int = 5, share: int = 4, of: int = 5,
             break
         seed += 1
     firsts = same.select("node", "first")
-    found = links(columns, rows, firsts, rule, seed)
-    edges = (found.join(firsts.select(F.col("node").alias("a"), F.col("first").alias("u")), "a")
-             .join(firsts.select(F.col("node").alias("b"), F.col("first").alias("v")), "b").select("u", "v"))
-    roots = connected(edges)
-    heads = firsts.join(roots, firsts["first"] == roots["v"], "left").select(
-        "node", F.coalesce("root", "first").alias("component"))
+    # Vertices are classes; the classes of one id hang together.
+    placed = documents.filter("node is not null and doc_id is not null").select("doc_id", "node").distinct()
+    unlike = placed.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).filter("u < v")
+    bound = placed.join(unlike.select("doc_id", "u"), "doc_id").select("u", F.col("node").alias("v"))
+    found = links(columns, rows, firsts, rule, seed).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    roots = connected(found.union(bound))
+    whole = firsts.join(roots, firsts["node"] == roots["v"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    whole = staged(whole)
+    lowest = whole.groupBy("root").agg(F.min("first").alias("component"))
+    heads = whole.join(lowest, "root").select("node", "component")
     return documents.select("doc_id", "size", "node").join(heads, "node", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", F.col("size").alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))

@@ -81,3 +81,24 @@ def test_counters_keep_what_is_frequent(monkeypatch):
     for i in range(200):
         sums.add([np.array([1, 2, 1000 + i], "u8"), np.array([1, 5000 + i], "u8")])
     assert {1, 2} <= set(sums.tokens.tolist()) and len(sums.tokens) <= 20
+
+
+def components(spark, rows, **limits):
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in jaccard.near_duplicates(df, 3, 90, 100).collect()), key=repr)
+
+
+def test_a_text_without_an_id_links_others(spark):
+    dice = random.Random(1)
+    base = [f"w{dice.randrange(1000)}" for _ in range(60)]
+    # The first and the last differ by too much, the one between is near to both.
+    rows = [(3, " ".join(base)), (None, " ".join(base[:58])), (1, " ".join(base[:55])), (2, "other words all over")]
+    assert components(spark, rows) == brute(rows, 3, 90, 100)
+    assert {(i, c) for i, _, c in components(spark, rows)} == {(1, 1), (3, 1), (None, 1), (2, 2)}
+
+
+def test_an_id_with_unlike_texts_is_one_vertex(spark):
+    p, q = " ".join(f"p{i}" for i in range(30)), " ".join(f"q{i}" for i in range(30))
+    rows = [(5, p), (5, q), (3, q), (6, p), (None, p), (7, ""), (5, "")]
+    assert {(i, c) for i, _, c in components(spark, rows)} == {(3, 3), (5, 3), (6, 3), (None, 3), (7, 7), (5, 5)}
+    assert components(spark, rows) == brute(rows, 3, 90, 100)
