@@ -52,8 +52,9 @@ def tidy_header(names: list[str]) -> list[str]:
 
 
 def extension(name: Column) -> Column:
-    """Last suffix with its dot; empty when there is none or the only dot leads the name."""
-    return F.regexp_extract(name, r"[^.].*(\.[^.]*)$", 1)
+    """Last suffix with its dot; empty when there is none or only dots stand before it."""
+    found = F.instr(F.ltrim(name, F.lit(".")), ".") > 0
+    return F.when(found, F.concat(F.lit("."), F.substring_index(name, ".", -1))).when(name.isNotNull(), F.lit(""))
 
 
 def safe_file_name(name: Column) -> Column:

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new folder name in the shared folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_cut"
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -14,7 +20,6 @@ def cut(df: DataFrame) -> DataFrame:
     either, so a lost executor costs no recompute, and later reads prune columns.
     """
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_cut"
-    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,8 @@ small group; the number of files may be large and one schema may be shared by ve
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,8 +20,8 @@ from gridloom.operators.ordered import RowOrder, number_rows
 NAME_WEIGHT = 0.7
 TYPE_WEIGHT = 0.3
 THRESHOLD = 0.8
-FIRST_BATCH = 256
-LARGEST_BATCH = 4096
+#: Schemas with one name that meet the others with it in one part.
+HELD_AT_ONCE = 4096
 
 
 def column_profile(df: DataFrame, ids: list[str], columns: list[str], order: list[str]) -> DataFrame:
@@ -161,102 +162,106 @@ def _least_jaccard(threshold: float) -> float:
     return max(0.0, (threshold - TYPE_WEIGHT) / NAME_WEIGHT)
 
 
-def _with_prefix(schemas: DataFrame, threshold: float) -> DataFrame:
-    """Names in one fixed pseudo-random order; any pair that can pass shares a name of the prefix."""
-    hashed = F.transform("names", lambda n: F.struct(F.xxhash64(n).alias("h"), n.alias("n")))
-    ordered = F.sort_array(hashed)["n"]
-    n = F.size("names")
+def _name_counts(schemas: DataFrame) -> DataFrame:
+    return schemas.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("held"))
+
+
+def _prefixes(schemas: DataFrame, counts: DataFrame, threshold: float, keep: list[str]) -> DataFrame:
+    """Prefix names of each schema, a row each: what is kept, name, place (from 0) and the number of schemas that hold it.
+
+    Names come rarest first, so one that most schemas hold is in a prefix only where a schema has little else. Two
+    schemas that can pass share a name of both prefixes, since too few names are left behind them.
+    """
+    named = schemas.select(*keep, F.explode("names").alias("name")).join(counts, "name")
+    entry = F.struct("held", F.xxhash64("name").alias("hash"), "name")
+    ordered = named.groupBy(*keep).agg(F.sort_array(F.collect_list(entry)).alias("order"))
+    n = F.size("order")
     kept = F.least(n, n - F.ceil(F.round(n * F.lit(_least_jaccard(threshold)), 9)) + 1)
-    return schemas.withColumn("_prefix", F.slice(ordered, F.lit(1), kept.cast("int")))
+    return ordered.select(*keep, n.alias("n"), F.posexplode(F.slice("order", F.lit(1), kept.cast("int"))).alias("place", "x")).select(
+        *keep, "n", "place", "x.name", "x.held")
 
 
-def similar_to(
-    schemas: DataFrame, bases: DataFrame, threshold: float = THRESHOLD, small_bases: bool = False
-) -> DataFrame:
+def similar_to(schemas: DataFrame, bases: DataFrame, threshold: float = THRESHOLD, earlier: bool = False) -> DataFrame:
     """Pairs (file, base_file, score) of every schema and every similar base schema.
 
-    The score can reach the threshold only with enough common names, so the join runs on the first
-    names of each schema in a fixed order and drops unequal sizes at once. A pair counts at its
-    first common prefix name only. Bases are a chosen set; a bounded one may be broadcast.
+    Score and sizes bound the common names from below, so the join runs on the rarest names of each schema, drops
+    unequal sizes, and drops a pair where the names behind the shared one are too few on either side. Schemas with a name
+    that very many hold are dealt into parts, each of which meets all bases with it. A pair is scored once, whatever it
+    shares. ``earlier`` keeps bases of lower ``ord`` only; both sides need that column then.
     """
     least = _least_jaccard(threshold)
-    left = _with_prefix(schemas.select("file", "names", "typed"), threshold)
-    right = _with_prefix(
-        bases.select(
-            F.col("file").alias("base_file"), F.col("names"), F.col("typed").alias("base_typed")
-        ),
-        threshold,
-    ).withColumnsRenamed({"names": "base_names", "_prefix": "_base_prefix"})
-    left = left.withColumn("_name", F.explode("_prefix"))
-    right = right.withColumn("_name", F.explode("_base_prefix"))
-    if small_bases:
-        right = F.broadcast(right)
-    sizes = F.least(F.size("names"), F.size("base_names")) / F.greatest(F.size("names"), F.size("base_names"))
-    pairs = left.join(right, "_name").filter(
-        (F.get(F.array_intersect("_prefix", "_base_prefix"), F.lit(0)) == F.col("_name"))
-        & (F.round(sizes, 9) >= F.lit(round(least, 9)))
-    )
+    order = ["ord"] if earlier else []
+    rows = schemas.select("file", *order, "names", "typed")
+    others = bases.select("file", *order, "names", "typed")
+    counts = _name_counts(rows.union(others).select("names"))
+    left = _prefixes(rows, counts, threshold, ["file", *order])
+    right = _prefixes(others, counts, threshold, ["file", *order]).withColumnsRenamed(
+        {"file": "base_file", "ord": "base_ord", "n": "base_n", "place": "base_place"}).drop("held")
+    parts = F.ceil(F.col("held") / HELD_AT_ONCE)
+    left = left.withColumn("part", F.pmod(F.xxhash64("file"), parts))
+    shared = counts.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("held") / HELD_AT_ONCE) - 1)).alias("part"))
+    right = right.join(shared, "name")
+    both = F.col("n") + F.col("base_n")
+    needed = F.ceil(F.round(both * F.lit(least / (1 + least)), 9))
+    pairs = left.join(right, ["name", "part"]).filter(
+        F.least(F.col("n") - F.col("place"), F.col("base_n") - F.col("base_place")) + F.least("place", "base_place") >= needed)
+    if earlier:
+        pairs = pairs.filter("base_ord < ord")
+    pairs = pairs.select("file", "base_file").distinct()
+    scored = pairs.join(rows.select("file", "names", "typed"), "file").join(
+        others.select(F.col("file").alias("base_file"), F.col("names").alias("base_names"), F.col("typed").alias("base_typed")), "base_file")
     score = similarity(F.col("names"), F.col("base_names"), F.col("typed"), F.col("base_typed"))
-    return pairs.select("file", "base_file", score.alias("score")).filter(F.col("score") >= threshold)
-
-
-def _leaders_of_batch(threshold: float):
-    """Leaders of one bounded batch: each schema that no earlier leader of the batch resembles."""
-
-    def score(a: tuple[frozenset, frozenset], b: tuple[frozenset, frozenset]) -> float:
-        common = len(a[0] & b[0])
-        if not common:
-            return 0.0
-        jaccard = common / (len(a[0]) + len(b[0]) - common)
-        return round(jaccard * NAME_WEIGHT + len(a[1] & b[1]) / common * TYPE_WEIGHT, 9)
+    return scored.select("file", "base_file", score.alias("score")).filter(F.col("score") >= threshold)
 
-    def pick(batch: pd.DataFrame) -> pd.DataFrame:
-        leaders: list[tuple[frozenset, frozenset]] = []
-        chosen = []
-        for row in batch.sort_values("ord").itertuples():
-            own = (frozenset(row.names), frozenset(row.typed))
-            if not any(score(own, other) >= threshold for other in leaders):
-                leaders.append(own)
-                chosen.append(row.Index)
-        return batch.loc[chosen].drop(columns="one")
 
-    return pick
+def _first_leaders(rows: DataFrame, threshold: float) -> DataFrame:
+    """Schemas that are the earliest with every name of their prefix: nothing earlier can be similar to them."""
+    prefix = _prefixes(rows, _name_counts(rows), threshold, ["file", "ord"])
+    earliest = prefix.groupBy("name").agg(F.min("ord").alias("least"))
+    return prefix.join(earliest, "name").groupBy("file", "ord").agg(F.min(F.col("ord") == F.col("least")).alias("first")).filter("first")
 
 
 def assign_leaders(singles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Greedy similarity groups: (file, leader, score), the leader being the earliest similar one.
 
-    Schemas are taken in ``ord`` order, the earliest unassigned one leads and absorbs all similar
-    ones. Done in rounds: a bounded batch of the earliest open schemas yields its leaders in one
-    small task, then every open schema is scored against those few broadcast leaders. Pairs of
-    followers are never formed. Each round is checkpointed.
+    The sequential rule takes schemas in ``ord`` order; the earliest one that is open leads and absorbs all similar ones.
+    Here a schema leads as soon as every earlier similar one is known to follow, and follows as soon as an earlier
+    similar one leads, for all schemas at once. First, rounds without pairs: a schema that is the earliest with each of
+    its prefix names leads, and a name has one such schema at most, so what follows it shows in a join of bounded rows;
+    groups of very many like schemas end here. Once such a round settles less than a quarter, pairs of the schemas left
+    are listed, and rounds on these pairs settle the rest; there are as many as the longest chain of similar schemas.
+    Every round is stored.
     """
-    open_rows = cut(singles.select("file", "ord", "names", "typed"))
-    shape = open_rows.schema
-    done = None
-    batch_rows = FIRST_BATCH
-    while not open_rows.isEmpty():
-        batch = open_rows.orderBy("ord").limit(batch_rows)
-        together = batch.withColumn("one", F.lit(0)).groupBy("one")
-        leaders = cut(together.applyInPandas(_leaders_of_batch(threshold), shape))
-        near = similar_to(open_rows, leaders, threshold, small_bases=True)
-        ranked = near.join(
-            F.broadcast(leaders.select(F.col("file").alias("base_file"), F.col("ord").alias("base_ord"))),
-            "base_file",
-        )
-        taken = (
-            ranked.groupBy("file")
-            .agg(F.min(F.struct("base_ord", F.col("base_file").alias("leader"), "score")).alias("m"))
-            .select("file", "m.leader", "m.score")
-        )
-        itself = leaders.select("file", F.col("file").alias("leader"), F.lit(1.0).alias("score"))
-        taken = cut(taken.join(itself.select("file"), "file", "left_anti").unionByName(itself))
-        done = taken if done is None else done.unionByName(taken)
-        open_rows = cut(open_rows.join(taken.select("file"), "file", "left_anti"))
-        batch_rows = min(batch_rows * 2, LARGEST_BATCH)
-    if done is None:
-        return singles.select("file", F.col("file").alias("leader"), F.lit(1.0).alias("score"))
-    return done
+    rows = cut(singles.select("file", "ord", "names", "typed"))
+    # A schema without names is similar to none.
+    leaders = [rows.filter(F.size("names") == 0).select("file", "ord")]
+    left = rows.filter(F.size("names") > 0)
+    number, before = left.count(), 0
+    while number and (not before or (before - number) * 4 >= before):
+        first = cut(_first_leaders(left, threshold).select("file", "ord"))
+        leaders.append(first)
+        near = similar_to(left.join(first, "file", "left_anti"), left.join(first.select("file"), "file"), threshold)
+        gone = near.select("file").union(first.select("file")).distinct()
+        left = cut(left.join(gone, "file", "left_anti"))
+        number, before = left.count(), number
+    if number:
+        found = similar_to(left, left, threshold, earlier=True)
+        edges = cut(found.select("file", "base_file"))
+        nodes = left.select("file", "ord")
+        while not nodes.isEmpty():
+            lead = nodes.join(edges.select("file").distinct(), "file", "left_anti")
+            leaders.append(lead := cut(lead))
+            follow = edges.join(lead.select(F.col("file").alias("base_file")), "base_file", "left_semi").select("file")
+            gone = cut(lead.select("file").union(follow).distinct())
+            nodes = cut(nodes.join(gone, "file", "left_anti"))
+            edges = cut(edges.join(gone, "file", "left_anti").join(gone.withColumnRenamed("file", "base_file"), "base_file", "left_anti"))
+    chosen = cut(reduce(DataFrame.union, leaders))
+    itself = chosen.select("file", F.col("file").alias("leader"), F.lit(1.0).alias("score"))
+    bases = rows.join(chosen.select("file"), "file", "left_semi")
+    near = similar_to(rows.join(chosen.select("file"), "file", "left_anti"), bases, threshold, earlier=True)
+    ranked = near.join(chosen.select(F.col("file").alias("base_file"), F.col("ord").alias("base_ord")), "base_file")
+    first = F.min(F.struct("base_ord", F.col("base_file").alias("leader"), "score")).alias("m")
+    return ranked.groupBy("file").agg(first).select("file", "m.leader", "m.score").unionByName(itself)
 
 
 def schema_groups(schemas: DataFrame, size: Column, threshold: float = THRESHOLD) -> DataFrame:

@@ -17,7 +17,8 @@ from gridloom.operators.lineage import cut
 from gridloom.operators.rollup import reduction
 from gridloom.operators.schemas import catalog_of, schema_drift
 from gridloom.plans import question_report, screen_report, section_report
-from gridloom.sources import writers
+from gridloom.plans.pool import Pool, run_lines
+from gridloom.sources import manifest, writers
 from gridloom.sources.folder import file_catalog, read_folder, read_list, read_schema_document, split_list
 from gridloom.sources.workbook import grid_errors, grid_rows, read_grid
 
@@ -27,7 +28,7 @@ DOCUMENT_TYPES = {
     "double": "FLOAT64", "float": "FLOAT64", "boolean": "BOOLEAN", "date": "DATE",
     "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
 }
-LEDGER_SCHEMA = "path string, status string, reason string, processed_at timestamp"
+LEDGER_SCHEMA = manifest.LEDGER_SCHEMA
 
 
 def dedup_job(
@@ -152,36 +153,25 @@ def extract_schema_job(spark: SparkSession, paths: list[str], target: str, infer
     return True
 
 
-def _per_line(lines: list, run: Callable, spark: SparkSession) -> DataFrame:
-    """One Spark job per list-file line; a line that fails is reported and the next one is taken."""
-    outcomes = []
-    for line in lines:
-        try:
-            outcomes.append((line["table"], "ok", run(line), ""))
-        except Exception as problem:
-            outcomes.append((line["table"], "fail", 0, f"{type(problem).__name__}: {problem}"))
-    return spark.createDataFrame(outcomes, "table string, status string, rows long, reason string")
-
-
-def load_list_job(spark: SparkSession, list_path: str, mode: str = "safe") -> DataFrame:
-    """Typed loads for a list file of ``schema document,parquet path`` lines; one outcome per line."""
+def load_list_job(spark: SparkSession, list_path: str, mode: str = "safe", pool: Pool = Pool()) -> DataFrame:
+    """Typed loads for a list file of ``schema document,parquet path`` lines, several at a time; one outcome per line."""
     entries = split_list(read_list(spark, list_path), ["document", "source"])
-    lines = entries.withColumn("table", table_from_document(F.col("document"))).collect()
+    lines = entries.withColumn("table", table_from_document(F.col("document"))).toLocalIterator()
 
     def run(line) -> int:
         if not line["complete"]:
             raise ValueError(f"a field is missing in: {line['line']}")
         return typed_load_job(spark, line["document"], [line["source"]], line["table"], mode)
 
-    return _per_line(lines, run, spark)
+    return run_lines(spark, lines, run, pool)
 
 
-def extract_list_job(spark: SparkSession, list_path: str, target: str) -> DataFrame:
+def extract_list_job(spark: SparkSession, list_path: str, target: str, pool: Pool = Pool()) -> DataFrame:
     """Schema documents for a list file of Parquet paths, named after the paths; rows is 1 when written."""
     entries = read_list(spark, list_path)
-    lines = entries.withColumn("table", table_from_dated_path(F.col("line"))).collect()
-    return _per_line(
-        lines, lambda line: int(extract_schema_job(spark, [line["line"]], f"{target}/{line['table']}")), spark
+    lines = entries.withColumn("table", table_from_dated_path(F.col("line"))).toLocalIterator()
+    return run_lines(
+        spark, lines, lambda line: int(extract_schema_job(spark, [line["line"]], f"{target}/{line['table']}")), pool
     )
 
 
@@ -224,3 +214,24 @@ def batch_increment(
     outcome = process(pending).select("path", "status", "reason", F.current_timestamp().alias("processed_at"))
     outcome.write.mode("append").parquet(ledger_path)
     return read_ledger(spark, ledger_path)
+
+
+def table_increment(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    process: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+    keyword: str = "",
+    extensions: list[str] = (),
+    by: str = "path",
+) -> DataFrame:
+    """Add the rows of all files that are new to a table, data and ledger in one commit; returns the ledger.
+
+    ``process`` takes the pending files and returns their rows and (path, status, reason) of each. A run that breaks off
+    anywhere leaves neither behind, so that repeating it adds every row once. Files that failed come up again.
+    ``manifest.read_table`` reads the table. One run at a time is meant to write a table.
+    """
+    pending = cut(pending_files(spark, source, manifest.read_ledger(spark, target), keyword, extensions, by))
+    if not pending.isEmpty():
+        manifest.commit_run(spark, target, *process(pending))
+    return manifest.read_ledger(spark, target)

@@ -80,11 +80,14 @@ def group_folder_job(spark: SparkSession, source: str, target: str, strict: bool
     return grouping_job(cut(folder_catalog(spark, source, infer=strict)), sizes, target, strict)
 
 
-def load_tasks(files: DataFrame, path: Column, table: Column | None = None) -> DataFrame:
-    """One load task per derived table: the pattern of the first path."""
-    named = files.select(path.alias("path")).withColumn(
+def load_tasks(files: DataFrame, path: Column, table: Column | None = None, order: Column | None = None) -> DataFrame:
+    """One load task per derived table: the pattern of the path that is listed first.
+
+    ``order`` is the place of a file in the listing; without one a listing is in the order of its paths.
+    """
+    named = files.select(path.alias("path"), (path if order is None else order).alias("place")).withColumn(
         "table", table_from_leading_parts(F.col("path")) if table is None else table
     )
     return named.groupBy("table").agg(
-        F.min("path").alias("first_path"), F.count("*").alias("files")
+        F.min(F.struct("place", "path"))["path"].alias("first_path"), F.count("*").alias("files")
     ).withColumn("pattern", load_pattern(F.col("first_path")))

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
-from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.sources.csv_scan import INFERRED, csv_headers, data_lines, fields_of, fitting, header_names
-from gridloom.sources.files import glob_of, list_files, scanned_path
+from gridloom.sources.files import glob_of, list_files, opened, scanned_path
 from gridloom.sources.folder import FORMATS, file_catalog
 from gridloom.sources.workbook import WORKBOOK_GLOB, grid_rows, read_grid
 
@@ -39,12 +37,11 @@ def csv_catalog(spark: SparkSession, path: str, infer: bool = False) -> DataFram
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Columns from the footers of Parquet files; data pages are not read."""
     import pyarrow.parquet as pq
-    from pyarrow.fs import FileSystem
 
     for batch in batches:
         found = []
         for path in batch["path"]:
-            system, inner = FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", path), safe=":/@"))
+            system, inner = opened(path)
             with system.open_input_file(inner) as file:
                 schema = pq.read_schema(file)
             found += [(path, i, f.name, str(f.type)) for i, f in enumerate(schema)]

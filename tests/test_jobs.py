@@ -8,7 +8,8 @@ from gridloom.functions.casts import infer_type, lenient_cast, type_bucket
 from gridloom.functions.names import sanitize, snake, tidy_header
 from gridloom.functions.paths import table_from_dated_path
 from gridloom.operators import ledger, recon, schemas
-from gridloom.plans import intake, listings
+from gridloom.plans import intake, listings, pool
+from gridloom.sources import manifest
 from gridloom.sources.catalog import folder_catalog
 from gridloom.streaming.intake import csv_stream, grid_stream, run_available, split_sink
 from workbooks import write_half_broken, write_workbook
@@ -98,7 +99,7 @@ def test_list_jobs(spark, tmp_path):
     (tmp_path / "some-Doc.json").write_text(json.dumps([{"name": "id", "type": "INTEGER"}]))
     (tmp_path / "l.txt").write_text(f"{tmp_path}/some-Doc.json, {data}\n{tmp_path}/gone.json, {data}\nonly-one\n")
     done = intake.load_list_job(spark, str(tmp_path / "l.txt")).collect()
-    assert [(r.table, r.status, r.rows) for r in done] == [("some_doc", "ok", 1), ("gone", "fail", 0), ("only_one", "fail", 0)]
+    assert sorted((r.table, r.status, r.rows) for r in done) == [("gone", "fail", 0), ("only_one", "fail", 0), ("some_doc", "ok", 1)]
     assert spark.table("some_doc").first().asDict() == {"id": 1, "note": "a"}
 
 
@@ -174,27 +175,52 @@ def test_folder_catalog_and_grouping(spark, tmp_path):
     assert (totals.files, totals.groups) == (5, 4)
 
 
-def test_leaders_equal_the_sequential_rule(spark, monkeypatch):
-    import random
-
-    monkeypatch.setattr(schemas, "FIRST_BATCH", 8)
-    rng = random.Random(5)
-    rows = [(f"s{i:03d}", i, sorted(rng.sample("abcdefgh", rng.randint(2, 7)))) for i in range(60)]
-    rows = [(f, o, n, [f"{x}:{rng.choice('is')}" for x in n]) for f, o, n in rows]
-    singles = spark.createDataFrame(rows, "file string, ord long, names array<string>, typed array<string>")
-    got = {r.file: r.leader for r in schemas.assign_leaders(singles).collect()}
+def sequential(rows):
+    """The rule one schema after the other: file -> leader."""
     leaders, wanted = [], {}
-    for f, _, n, ty in rows:
+    for f, _, n, ty in sorted(rows, key=lambda r: r[1]):
         for g, m, tz in leaders:
             common = set(n) & set(m)
-            score = 0.7 * len(common) / len(set(n) | set(m)) + (0.3 * len(set(ty) & set(tz)) / len(common) if common else 0)
+            score = 0.7 * len(common) / (len(set(n) | set(m)) or 1) + (0.3 * len(set(ty) & set(tz)) / len(common) if common else 0)
             if round(score, 9) >= 0.8:
                 wanted[f] = g
                 break
         else:
             leaders.append((f, n, ty))
             wanted[f] = f
-    assert got == wanted
+    return wanted
+
+
+SINGLES = "file string, ord long, names array<string>, typed array<string>"
+
+
+@pytest.mark.parametrize("seed, letters, sizes, held", [(5, "abcdefgh", (2, 7), 4096), (6, "abcdefghijkl", (5, 11), 3), (7, "abc", (0, 3), 1)])
+def test_leaders_equal_the_sequential_rule(spark, monkeypatch, seed, letters, sizes, held):
+    import random
+
+    monkeypatch.setattr(schemas, "HELD_AT_ONCE", held)
+    rng = random.Random(seed)
+    rows = [(f"s{i:03d}", 2 * i, sorted(rng.sample(letters, rng.randint(*sizes)))) for i in rng.sample(range(60), 60)]
+    rows = [(f, o, n, [f"{x}:{rng.choice('is')}" for x in n]) for f, o, n in rows]
+    got = schemas.assign_leaders(spark.createDataFrame(rows, SINGLES)).collect()
+    assert {r.file: r.leader for r in got} == sequential(rows) and len(got) == len(rows)
+
+
+def test_leaders_along_a_chain(spark):
+    """Each schema is similar to its neighbours only, so that every decision waits for the one before."""
+    rows = [(f"s{i:02d}", i, [f"n{j:03d}" for j in range(4 * i, 4 * i + 30)]) for i in range(20)]
+    rows = [(f, o, n, [f"{x}:s" for x in n]) for f, o, n in rows]
+    got = {r.file: r.leader for r in schemas.assign_leaders(spark.createDataFrame(rows, SINGLES)).collect()}
+    assert got == sequential(rows) and len(set(got.values())) == 10
+
+
+def test_a_name_that_every_schema_holds_is_in_no_prefix(spark):
+    rows = [(f"s{i}", ["id", *(f"c{i}_{j}" for j in range(6))]) for i in range(40)]
+    df = spark.createDataFrame(rows, "file string, names array<string>")
+    prefix = schemas._prefixes(df, schemas._name_counts(df), 0.8, ["file"])
+    assert prefix.count() == 40 * 3 and prefix.filter("name = 'id'").isEmpty()
+    few = spark.createDataFrame([("a", ["id"]), ("b", ["id"])], "file string, names array<string>")
+    assert schemas._prefixes(few, schemas._name_counts(few), 0.8, ["file"]).filter("name = 'id' and held = 2").count() == 2
 
 
 def test_size_report_and_tasks(spark, tmp_path):
@@ -271,3 +297,88 @@ def test_grid_stream_quarantines_what_it_cannot_read(spark, tmp_path):
         F.count("row_idx").alias("cells"), F.count("error").alias("errors"))
     assert {r.file_path.rsplit("/", 1)[1]: (r.cells, r.errors) for r in got.collect()} == {
         "good.xlsx": (2, 0), "half.xlsx": (0, 1), "large.xlsx": (0, 1)}
+
+
+def test_table_increment_is_all_or_nothing(spark, tmp_path, monkeypatch):
+    """A run that breaks off before, between or after its writes is repeated; every row is there once."""
+    source, target = tmp_path / "in", str(tmp_path / "table")
+    source.mkdir()
+    (source / "one.csv").write_text("id\n1\n2\n")
+    (source / "bad.csv").write_text("")
+
+    def process(files):
+        bad = F.col("name").contains("bad")
+        outcomes = files.select("path", F.when(bad, "fail").otherwise("ok").alias("status"), F.when(bad, "unreadable").alias("reason"))
+        paths = [r.path for r in files.filter(~bad).collect()]
+        data = spark.read.option("header", True).schema("id int").csv(paths) if paths else spark.createDataFrame([], "id int")
+        return data, outcomes
+
+    def ids():
+        return sorted(r.id for r in manifest.read_table(spark, target, "id int").collect())
+
+    assert ids() == [] and manifest.read_ledger(spark, target).count() == 0
+    publish = manifest.publish
+
+    def broken(*_):
+        raise RuntimeError("lost before the commit")
+
+    monkeypatch.setattr(manifest, "publish", broken)
+    with pytest.raises(RuntimeError):
+        intake.table_increment(spark, str(source), target, process, "", [".csv"])
+    assert ids() == [] and manifest.read_ledger(spark, target).count() == 0
+    monkeypatch.setattr(manifest, "publish", publish)
+    done = intake.table_increment(spark, str(source), target, process, "", [".csv"])
+    assert sorted(r.status for r in done.collect()) == ["fail", "ok"] and ids() == [1, 2]
+    (source / "two.csv").write_text("id\n3\n")
+
+    def half(data, outcomes):
+        data.write.parquet(f"{target}/data/run=half")
+        raise RuntimeError("lost between data and ledger")
+
+    monkeypatch.setattr(manifest, "commit_run", lambda spark, target, data, outcomes: half(data, outcomes))
+    with pytest.raises(RuntimeError):
+        intake.table_increment(spark, str(source), target, process, "", [".csv"])
+    monkeypatch.undo()
+    assert ids() == [1, 2]
+    intake.table_increment(spark, str(source), target, process, "", [".csv"])
+    intake.table_increment(spark, str(source), target, process, "", [".csv"])
+    assert ids() == [1, 2, 3] and manifest.runs(spark, target).count() == 3
+
+
+def test_pool_runs_several_lines_and_tries_again(spark, monkeypatch):
+    import threading
+    import time
+
+    monkeypatch.setattr(pool, "HELD", 4)
+    lock, now, most, tries = threading.Lock(), [0], [0], {}
+
+    def run(line):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+            tries[line["table"]] = tries.get(line["table"], 0) + 1
+        time.sleep(0.2)
+        with lock:
+            now[0] -= 1
+        if line["table"] == "t3":
+            raise RuntimeError("never")
+        if line["table"] == "t4":
+            raise ValueError("wrong for good")
+        if line["table"] == "t5" and tries["t5"] < 3:
+            raise RuntimeError("not yet")
+        return spark.range(int(line["table"][1:])).count()
+
+    lines = ({"table": f"t{i}"} for i in range(12))
+    got = {r.table: r for r in pool.run_lines(spark, lines, run, pool.Pool(4, 3, 0.01)).collect()}
+    assert len(got) == 12 and most[0] == 4
+    assert {t for t, r in got.items() if r.status == "fail"} == {"t3", "t4"}
+    assert (got["t3"].attempts, got["t4"].attempts, got["t5"].attempts, got["t7"].rows) == (4, 1, 3, 7)
+    assert got["t3"].reason == "RuntimeError: never"
+    assert pool.run_lines(spark, [], run).count() == 0
+
+
+def test_first_listed_path(spark):
+    files = spark.createDataFrame([("s/t/20250102/b.parquet", 0), ("s/t/a/c.parquet", 1), ("s/t/20250101/a.parquet", 2)], "p string, n int")
+    table = F.lit("x")
+    assert listings.load_tasks(files, F.col("p"), table).first().first_path == "s/t/20250101/a.parquet"
+    assert listings.load_tasks(files, F.col("p"), table, F.col("n")).first().first_path == "s/t/20250102/b.parquet"

@@ -8,7 +8,7 @@ from gridloom.operators.dedup import dedup_stats, sample_above
 from gridloom.operators.recon import size_buckets
 from gridloom.plans.intake import dedup_job
 from gridloom.sources import folder, workbook, writers
-from gridloom.sources.files import list_files
+from gridloom.sources.files import indexed_files, list_files
 from gridloom.sources.workbook import file_kind, grid_errors, grid_rows, grid_to_table, read_grid
 
 
@@ -106,6 +106,29 @@ def test_folders_below_a_folder(spark, tmp_path):
     assert sorted(r.id for r in folder.read_folder(spark, str(tmp_path / "in"), types="string").collect()) == ["1", "2", "3"]
 
 
+def test_listing_level_by_level(spark, tmp_path):
+    """Folders are listed in tasks: empty files, hidden names, odd names, globs; the same as from the index of a scan."""
+    for name in ("a.txt", "x/b.CSV", "x/y/c d%+[1].csv", "x/y/z/e.csv", "x/_hidden.csv", "_tmp/f.csv", ".g", "x/k=1/_k=2/h.csv", "empty/.keep"):
+        file = tmp_path / "in" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"" if name.endswith("e.csv") else b"0" * len(name))
+    root = str(tmp_path / "in")
+
+    def listed(df):
+        return {(r.path.split("/in/")[1], r.length) for r in df.collect()}
+
+    got = listed(list_files(spark, root))
+    assert got == {("a.txt", 5), ("x/b.CSV", 7), ("x/y/c d%+[1].csv", 16), ("x/y/z/e.csv", 0), ("x/k=1/_k=2/h.csv", 16)}
+    assert got == listed(indexed_files(spark, root))
+    assert {p for p, _ in listed(list_files(spark, root, "*.[cC][sS][vV]"))} == {p for p, _ in got if not p.endswith("txt")}
+    assert {p for p, _ in listed(list_files(spark, root, "{a,h}.*"))} == {"a.txt", "x/k=1/_k=2/h.csv"}
+    assert listed(list_files(spark, root + "/a.txt")) == {("a.txt", 5)}
+    assert listed(list_files(spark, root + "/x/y/*/")) == {("x/y/z/e.csv", 0), ("x/y/c d%+[1].csv", 16)}
+    assert listed(list_files(spark, root + "/empty")) == set()
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, root + "/nowhere")
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     first, second = (sorted(r.k for r in sample_above(x, 50, ["k"]).collect()) for x in (df, df.repartition(7)))
