@@ -30,6 +30,37 @@ class Memo(dict):
         return value
 
 
+class Recent:
+    """Results for short strings, worked out for many at once; the older half is dropped when full, so what is in use
+    stays."""
+
+    def __init__(self, make: Callable[[list], Iterable], limit: int, group: str, longest: int = 64) -> None:
+        self.make, self.limit, self.group, self.longest = make, limit, group, longest
+        self.now: dict = {}
+        self.before: dict = {}
+        Memo.live.append(weakref.ref(self))
+
+    def clear(self) -> None:
+        self.now, self.before = {}, {}
+
+    def of(self, keys: set) -> dict:
+        """A dictionary that holds the results of ``keys``, until the next call."""
+        if len(self.now) > self.limit // 2:
+            # Long strings were kept for one call.
+            self.before, self.now = {k: v for k, v in self.now.items() if len(k) <= self.longest}, {}
+        new = []
+        for key in keys - self.now.keys():
+            if (value := self.before.get(key)) is not None:
+                self.now[key] = value
+            else:
+                new.append(key)
+        self.now.update(zip(new, self.make(new)))
+        found = self.now
+        if any(len(k) > self.longest for k in new):
+            self.now = {k: v for k, v in found.items() if len(k) <= self.longest}
+        return found
+
+
 def holding(group: str) -> None:
     """Drop what other operators remember: a Python worker serves one operator after another."""
     for memo in [x() for x in Memo.live]:

@@ -1,17 +1,19 @@
 """Token ids of documents as flat binary files.
 
-A part is three files: ``.ids`` (unsigned integers, 16 bits wide where the vocabulary allows it, else 32, little
-endian), ``.offsets`` (unsigned 64-bit ends of its documents within the part) and ``.docs`` (signed 64-bit document
+A part is a folder of three files: ``ids`` (unsigned integers, 16 bits wide where the vocabulary allows it, else 32,
+little endian), ``offsets`` (unsigned 64-bit ends of its documents within the part) and ``docs`` (signed 64-bit document
 ids). Parts follow each other in ascending document order. ``parts.npy`` holds one row per part: documents, tokens and
 the number of tokens in all earlier parts, the prefix sum of their sizes. Readers map the files into memory.
 
-The folder has to be mounted on driver and executors. A task writes under a name of its own and renames at the end,
-so a repeated or doubled task leaves the same file.
+Texts become ids where they are read; only ids are put in order, a few bytes a word. The folder has to be mounted on
+driver and executors. A task writes a folder under a name of its own and renames it at the end, all files at once; the
+order of documents is complete, so a repeated or doubled task leaves the same part.
 """
 
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 import zlib
 from functools import lru_cache
@@ -21,30 +23,43 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridloom.llm.batches import Memo, holding, slices, typed
-from gridloom.llm.staging import mounted
-from gridloom.llm.word_tokens import added_strings, library_ids, pre_tokens, runs, tokenizer
+from gridloom.llm.batches import Recent, holding, slices, typed
+from gridloom.llm.staging import mounted, staged
+from gridloom.llm.word_tokens import added_strings, pre_tokens, runs, tokenizer
 
 RUNS, WORDS = 400_000, 600_000
 #: Document id that stands for a null one in the files.
 NO_ID = -(2**63)
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, width: int) -> Memo:
-    """Ids of a run as bytes of the file format."""
-    added, kind = added_strings(path), f"<u{width}"
+class Encoder:
+    """Ids of texts as bytes of the file format, from runs and words that are encoded once."""
+
+    def __init__(self, path: str, width: int) -> None:
+        self.library, self.added, self.kind = tokenizer(path), added_strings(path), f"<u{width}"
+        self.words = Recent(self.packed, WORDS, "ids")
+        self.runs = Recent(self.joined, RUNS, "ids")
 
-    def packed(text: str) -> bytes:
-        return np.array(library_ids(path, text), kind).tobytes()
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """As the library has them, many in one call."""
+        found = self.library.encode_batch(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
 
-    words = Memo(packed, WORDS, "ids")
+    def joined(self, new: list[str]) -> list[bytes]:
+        parts = [pre_tokens(x, self.added) for x in new]
+        words = self.words.of({w for x in parts if x is not None for w in x})
+        alone = iter(self.packed([x for x, own in zip(new, parts) if own is None]))
+        return [next(alone) if x is None else b"".join(map(words.__getitem__, x)) for x in parts]
 
-    def encode(run: str) -> bytes:
-        parts = pre_tokens(run, added)
-        return packed(run) if parts is None else b"".join(map(words.__getitem__, parts))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        listed = [runs(x) for x in texts]
+        known = self.runs.of(set().union(*listed))
+        return [b"".join(map(known.__getitem__, x)) for x in listed]
 
-    return Memo(encode, RUNS, "ids")
+
+@lru_cache(maxsize=4)
+def encoder(path: str, width: int) -> Encoder:
+    return Encoder(path, width)
 
 
 def id_width(path: str) -> int:
@@ -56,26 +71,35 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts:
     """Write every whole text's ids and ``end_id`` in ascending order of ``key``; returns the number of tokens.
 
     A null text is empty and gives the end id alone; a null key comes first; rows that share a key follow each other
-    in any order. An empty table gives no parts. ``folder`` must be new.
+    in the order of their ids as bytes. An empty table gives no parts. ``folder`` must be new.
     """
     at, width = mounted(folder), id_width(path)
     os.makedirs(at)
     spark = df.sparkSession
     count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
-    dealt = rows.repartitionByRange(count, "k", F.xxhash64("t")).sortWithinPartitions("k")
 
-    def run(batches):
+    def encode(batches):
         holding("ids")
+        own = encoder(path, width)
+        for part in slices(batches):
+            yield pa.RecordBatch.from_pydict({
+                "k": pa.array(part["k"], pa.int64()), "ids": pa.array(own.encode([x or "" for x in part["t"]]), pa.binary())})
+
+    # Stored, for the order is found from the keys before rows are dealt out.
+    coded = staged(rows.mapInArrow(typed(encode, "k long, ids binary"), "k long, ids binary"))
+    dealt = coded.repartitionByRange(count, "k", F.xxhash64("ids")).sortWithinPartitions("k", "ids")
+
+    def run(batches):
         part = TaskContext.get().partitionId()
-        encode, end = encoder(path, width).__getitem__, np.array([end_id], f"<u{width}").tobytes()
+        end = np.array([end_id], f"<u{width}").tobytes()
         name, own = f"{at}/{part:06d}", f"{at}/.{part:06d}-{uuid.uuid4().hex}"
+        os.makedirs(own)
         docs = tokens = 0
-        with open(f"{own}.ids", "wb") as ids, open(f"{own}.offsets", "wb") as offsets, open(f"{own}.docs", "wb") as keys:
+        with open(f"{own}/ids", "wb") as ids, open(f"{own}/offsets", "wb") as offsets, open(f"{own}/docs", "wb") as keys:
             for rows in slices(batches):
                 ends = []
-                for x in rows["t"]:
-                    body = b"".join(map(encode, runs(x or "")))
+                for body in rows["ids"]:
                     ids.write(body)
                     ids.write(end)
                     tokens += len(body) // width + 1
@@ -83,8 +107,7 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts:
                 offsets.write(np.array(ends, "<u8").tobytes())
                 keys.write(np.array([NO_ID if k is None else k for k in rows["k"]], "<i8").tobytes())
                 docs += len(ends)
-        for kind in ("ids", "offsets", "docs"):
-            os.replace(f"{own}.{kind}", f"{name}.{kind}")
+        publish(own, name)
         yield pa.RecordBatch.from_pydict({"part": [part], "docs": [docs], "tokens": [tokens]})
 
     # One row per part, so the driver holds as many numbers as there are parts.
@@ -95,10 +118,20 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts:
     return int(table[:, 2].sum())
 
 
+def publish(own: str, name: str) -> None:
+    """Give a finished part its name; where another attempt of the task was first, its equal part stays."""
+    try:
+        os.rename(own, name)
+    except OSError:
+        if not os.path.isdir(name):
+            raise
+        shutil.rmtree(own)
+
+
 def read_part(at: str, part: int, width: int):
     """Document ids, their ends and the ids of a part, mapped from its files."""
     def mapped(kind, dtype):
-        name = f"{at}/{part:06d}.{kind}"
+        name = f"{at}/{part:06d}/{kind}"
         return np.memmap(name, dtype, "r") if os.path.getsize(name) else np.empty(0, dtype)
 
     return mapped("docs", "<i8"), mapped("offsets", "<u8"), mapped("ids", f"<u{width}")

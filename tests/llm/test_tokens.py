@@ -123,3 +123,45 @@ def test_empty_tables(spark):
 
 def test_runs():
     assert runs(" a\x1cb c d\n") == ["a\x1cb", "c", "d"]
+
+
+def test_a_repeated_task_leaves_whole_parts(tmp_path):
+    """Two attempts of one task: the first that ends names the part, the other's files go."""
+    for name, body in (("one", b"first"), ("two", b"other")):
+        (tmp_path / name).mkdir()
+        for kind in ("ids", "offsets", "docs"):
+            (tmp_path / name / kind).write_bytes(body)
+        token_files.publish(str(tmp_path / name), str(tmp_path / "000000"))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["000000"]
+    assert {p.read_bytes() for p in (tmp_path / "000000").iterdir()} == {b"first"}
+    with pytest.raises(OSError):
+        token_files.publish(str(tmp_path / "none"), str(tmp_path / "x" / "y"))
+
+
+def test_documents_that_share_a_key_are_in_a_complete_order(spark):
+    """However rows are dealt, the files are the same."""
+    rows = [(1, f"text {i % 7} of one key") for i in range(40)] + [(None, "b"), (None, "a"), (2, None)]
+    made = []
+    for parts in (1, 9):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        folder = shared_folder(spark)
+        token_files.write_token_files(df, folder, WORDS, end_id=2, parts=1)
+        made.append([x.tobytes() for x in token_files.read_part(token_files.mounted(folder), 0, 2)])
+    assert made[0] == made[1]
+
+
+def test_recent_keeps_what_is_in_use():
+    from gridloom.llm.batches import Recent
+
+    calls = []
+
+    def make(keys):
+        calls.extend(keys)
+        return [k.upper() for k in keys]
+
+    memory = Recent(make, 4, "test", longest=5)
+    assert memory.of({"a", "b"}) == {"a": "A", "b": "B"}
+    assert memory.of({"c", "longer"})["longer"] == "LONGER" and "longer" not in memory.now
+    for x in "defghij":
+        assert memory.of({"a", x})["a"] == "A" and len(memory.now) <= 4
+    assert calls.count("a") == 1
