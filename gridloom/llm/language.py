@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from gridloom.llm.batches import ROWS, holding, slices, typed
 from gridloom.llm.staging import staged
@@ -36,12 +37,24 @@ EVIDENCE, REMEMBERED, WORDS_HELD = 20, 300_000, 200_000
 START, STOP = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: What scoring adds to a row.
+_SCORED = {"_id_lang": "string", "_id_score": "double", "_id_entropy": "double", "_id_chars": "double", "_id_own": "double"}
+_LABEL, _TEACHES = "_id_label", "_id_teaches"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of a character in the key of a context, and the highest key.
 _BITS = 21
 _LAST = 2 ** ((ORDER - 1) * _BITS) - 1
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters; digits of any kind and signs part them."""
+    found = LETTERS.findall(text)
+    if not all(map(str.isalpha, found)):
+        # Fractions, raised and circled numbers are word characters, but no letters.
+        found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
+    return found
+
+
 def is_held_out(key: str = "doc_id") -> Column:
     """Rows that models never learn from: a quarter, by the checksum of the id."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
@@ -65,7 +78,7 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             for lang, counted in words.items():
                 grams: Counter = Counter()
                 for chunk, n in counted.items():
-                    for word in LETTERS.findall(chunk):
+                    for word in letter_runs(chunk):
                         for gram in grams_of(word):
                             grams[gram] += n
                 names = [*grams]
@@ -144,7 +157,7 @@ class Models:
     def word_bits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each chunk under each language, as far as its contexts belong here, and its number of predicted
         characters."""
-        framed = ["".join(START + run + STOP for run in LETTERS.findall(w)) for w in words]
+        framed = ["".join(START + run + STOP for run in letter_runs(w)) for w in words]
         lengths = np.array([*map(len, framed)], int)
         codes = codes_of("".join(framed))
         starts = codes == 2
@@ -164,7 +177,9 @@ class Models:
         bits = np.where(mine[:, None], -np.log2(np.maximum(chance, 1e-12)), 0)
         owner = np.repeat(np.arange(len(words)), lengths)
         summed = np.zeros((len(words), len(self.languages)))
-        np.add.at(summed, owner, bits)
+        some = np.flatnonzero(lengths)
+        if len(some):
+            summed[some] = np.add.reduceat(bits, (np.cumsum(lengths) - lengths)[some])
         return summed, np.bincount(owner, ~starts, len(words)).astype(float)
 
 
@@ -367,34 +382,65 @@ def entropies(sums: np.ndarray) -> np.ndarray:
 
 def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Models | None:
     """Models from all rows that are not held out and have a text and a language; None without any."""
-    rows = df.filter(~is_held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = staged(gram_counts(rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))))
-    models = models_of(counts)
+    models = models_from(df, key, text, lang)
     if models is None:
         return None
-    # Every row that teaches; a task sends a row for each language.
-    place = {x: i for i, x in enumerate(models.languages)}
-    schema = "lang int, n long, chars double, bits double, squares double"
+    rows = df.filter(teaches(key, text, lang))
+    rows = rows.select(F.col(lang).cast("string").alias(_LABEL), F.col(text).cast("string").alias("text"))
+    models.usual = calibrated(scored(rows, models, "text", _LABEL), models)
+    return models
+
+
+def models_from(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Models | None:
+    """Models from all rows that are not held out and have a text and a language, not calibrated yet."""
+    rows = df.filter(teaches(key, text, lang))
+    counts = staged(gram_counts(rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))))
+    return models_of(counts)
+
+
+def teaches(key: str, text: str, lang: str) -> Column:
+    return ~is_held_out(key) & F.col(key).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull()
+
+
+def scored(df: DataFrame, models: Models, text: str, lang: str | None = None) -> DataFrame:
+    """The rows of ``df`` with what the models say of them, in columns beginning with ``_id_``: language, score,
+    entropy (bits per character of that language), characters, and bits under the row's own ``lang``."""
     shared = shipped(df, models)
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(", ".join(f"{n} {k}" for n, k in _SCORED.items())).fields])
+    names = [f.name for f in schema]
+    text_at, lang_at = df.columns.index(text), df.columns.index(lang) if lang else None
 
     def run(batches):
-        scorer = Scorer(opened(shared))
-        seen = np.zeros((len(place), 4))
-        for part, sums in scorer.sums(slices(batches), lambda x: x["text"]):
-            own = np.array([place.get(x, -1) for x in part["lang"]], int)
-            good = np.flatnonzero((own >= 0) & (sums[:, -1] > 0))
-            chars, bits = sums[good, -1], sums[good, own[good]]
-            np.add.at(seen, own[good], np.column_stack([np.ones(len(good)), chars, bits, bits * bits / chars]))
-        at = np.flatnonzero(seen[:, 0])
-        yield pa.RecordBatch.from_pydict({
-            "lang": at, "n": seen[at, 0], "chars": seen[at, 1], "bits": seen[at, 2], "squares": seen[at, 3],
-        })
-
-    labelled = rows.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    sums = labelled.mapInArrow(typed(run, schema), schema).groupBy("lang").agg(
-        *(F.sum(x) for x in ("n", "chars", "bits", "squares")))
-    models.usual = usual_of({r[0]: tuple(r)[1:] for r in sums.collect()}, len(place))
-    return models
+        models = opened(shared)
+        place = {x: i for i, x in enumerate(models.languages)}
+        parts = (batch.slice(start, ROWS) for batch in batches for start in range(0, batch.num_rows, ROWS))
+        for part, sums in Scorer(models).sums(parts, lambda x: x.column(text_at).to_pylist()):
+            pred, score, entropy = verdicts(models, sums)
+            own = np.array([place.get(x, -1) for x in part.column(lang_at).to_pylist()], int) if lang else np.full(len(pred), -1)
+            bits = sums[np.arange(len(own)), own]
+            added = [pa.array(pred, pa.string()), pa.array(score), pa.array(entropy), pa.array(sums[:, -1].astype(float)),
+                     pa.array(bits.astype(float), mask=own < 0)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], names)
+
+    return df.mapInArrow(run, schema)
+
+
+def calibrated(rows: DataFrame, models: Models) -> np.ndarray:
+    """Mean and scaled deviation of each language from scored rows that teach; the driver sees a row a language."""
+    chars, bits = F.col("_id_chars"), F.col("_id_own")
+    sums = rows.filter((chars > 0) & bits.isNotNull()).groupBy(_LABEL).agg(
+        F.count(F.lit(1)), F.sum(chars), F.sum(bits), F.sum(bits * bits / chars))
+    place = {x: i for i, x in enumerate(models.languages)}
+    return usual_of({place[r[0]]: tuple(r)[1:] for r in sums.collect()}, len(place))
+
+
+def is_strange(models: Models) -> Column:
+    """Whether a scored row is rejected: no letter, or a cross-entropy beyond what texts of its length show."""
+    of = lambda column: F.element_at(F.create_map(*[
+        x for i, name in enumerate(models.languages) for x in (F.lit(name), F.lit(float(models.usual[i, column])))]), F.col("_id_lang"))
+    chars = F.col("_id_chars")
+    beyond = F.col("_id_entropy") - of(0) > MARGIN + DEVIATIONS * of(1) / F.sqrt(F.greatest(chars, F.lit(1.0)))
+    return F.when(chars > 0, beyond).otherwise(True)
 
 
 def usual_of(sums: dict[int, tuple], languages: int) -> np.ndarray:
@@ -415,50 +461,62 @@ def predict(df: DataFrame, models: Models | None, key: str = "doc_id", text: str
     rejected. The score is the share of lang_pred among all languages. Repeated rows give repeated rows; an empty table
     gives no rows. Only id and text are read.
     """
-    schema = "doc_id long, lang_pred string, score double, entropy double, rejected boolean"
-    columns = df.select(df[key].cast("long").alias("k"), df[text].cast("string").alias("t"))
+    columns = df.select(df[key].cast("long").alias("doc_id"), df[text].cast("string").alias("t"))
     if models is None:
         return columns.select(
-            F.col("k").alias("doc_id"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
+            "doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
             F.lit(None).cast("double").alias("entropy"), F.lit(True).alias("rejected"))
-    shared = shipped(df, models)
+    return judged(scored(columns, models, "t"), models)
+
+
+def judged(rows: DataFrame, models: Models) -> DataFrame:
+    return rows.select("doc_id", F.col("_id_lang").alias("lang_pred"), F.col("_id_score").alias("score"),
+                       F.col("_id_entropy").alias("entropy"), is_strange(models).alias("rejected"))
+
+
+def identify(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """What ``predict`` gives with what ``learn`` learns from the same table, each text scored once."""
+    models = models_from(df, key, text, lang)
+    if models is None:
+        return predict(df, None, key, text)
+    rows = df.select(df[key].cast("long").alias("doc_id"), df[text].cast("string").alias("text"), df[lang].alias("lang"))
+    return judged(calibrated_rows(rows, models, ["doc_id"], "doc_id", "text", "lang"), models)
 
-    def run(batches):
-        models = opened(shared)
-        for part, sums in Scorer(models).sums(slices(batches), lambda x: x["t"]):
-            pred, score, entropy, rejected = verdicts(models, sums)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": part["k"], "lang_pred": pred, "score": score, "entropy": entropy, "rejected": rejected,
-            })
 
-    return columns.mapInArrow(typed(run, schema), schema)
+def calibrated_rows(df: DataFrame, models: Models, keep: list[str], key: str, text: str, lang: str) -> DataFrame:
+    """Stored scores of every row with the columns of ``keep``; calibrates the models on the rows that teach."""
+    rows = df.withColumns({_LABEL: F.col(lang).cast("string"), _TEACHES: teaches(key, text, lang)})
+    found = staged(scored(rows, models, text, _LABEL).select(*keep, _TEACHES, _LABEL, *_SCORED))
+    models.usual = calibrated(found.filter(_TEACHES), models)
+    return found
 
 
-def verdicts(models: Models, sums: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Predictions for texts."""
+def verdicts(models: Models, sums: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and entropy of texts."""
     chars, bits = sums[:, -1], entropies(sums)
     best = bits.argmin(axis=1)
     lowest = bits[np.arange(len(best)), best]
     weight = np.minimum(chars, EVIDENCE)[:, None]
     score = 1 / np.exp2((lowest[:, None] - bits) * weight).sum(axis=1)
-    mean, spread = models.usual[best].T
     known = chars > 0
-    strange = lowest - mean > MARGIN + DEVIATIONS * spread / np.sqrt(np.maximum(chars, 1))
     pred = [models.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-    return pred, np.where(known, score, 0.0), np.where(known, lowest, np.nan), ~known | strange
+    return pred, np.where(known, score, 0.0), np.where(known, lowest, np.nan)
 
 
 def accepted(df: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text is not rejected, with all their columns."""
+    """The rows of ``df`` whose text is not rejected, with all their columns; none without models."""
     if models is None:
         return df.limit(0)
-    shared = shipped(df, models)
+    return scored(df, models, text).filter(~is_strange(models)).select(df.columns)
 
-    def run(batches):
-        models = opened(shared)
-        parts = (batch.slice(start, ROWS) for batch in batches for start in range(0, batch.num_rows, ROWS))
-        for part, sums in Scorer(models).sums(parts, lambda x: x.column(place).to_pylist()):
-            yield part.filter(pa.array(~verdicts(models, sums)[3]))
 
-    place = df.columns.index(text)
-    return df.mapInArrow(run, df.schema)
+def acceptable(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``df`` that models learned from ``df`` itself do not reject, each text scored once.
+
+    A table without any labelled text teaches nothing, so no row of it is accepted.
+    """
+    models = models_from(df, key, text, lang)
+    if models is None:
+        return df.limit(0)
+    rows = calibrated_rows(df, models, df.columns, key, text, lang)
+    return rows.filter(~is_strange(models)).select(df.columns)

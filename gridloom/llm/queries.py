@@ -78,7 +78,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_language")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
-    found = language.predict(documents, language.learn(documents))
+    found = language.identify(documents)
     return found.select("doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 

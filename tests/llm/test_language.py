@@ -166,3 +166,23 @@ def test_rejection_learns_from_every_row(spark):
         want = math.sqrt((apart[lang] + sum(apart.values()) / sum(n.values())) / (n[lang] + 1))
         assert models.usual[place][1] == pytest.approx(want)
     assert language.accepted(df, models).filter("lang = 'bb'").count() == 24
+
+
+def test_one_table_scored_once(spark, found):
+    """The same as learning first and predicting then; digits of any kind are no letters."""
+    df, models = found
+    extra = [(9_000 + i, t, None) for i, t in enumerate(("½ ²", "①", "Ⅷ 12 ٣", "½a²b", None, ""))]
+    whole = df.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(extra, "doc_id long, text string, lang string"))
+    got = sorted(map(tuple, language.identify(whole).collect()), key=repr)
+    assert repr(got) == repr(sorted(map(tuple, language.predict(whole, language.learn(whole)).collect()), key=repr))
+    by_id = {r[0]: r for r in got}
+    assert [by_id[9_000 + i][1] for i in (0, 1, 2, 4, 5)] == ["und"] * 5 and by_id[9_003][1] != "und"
+    kept = language.acceptable(whole.withColumn("_extra", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "lang", "_extra"]
+    assert kept.count() == sum(not r[4] for r in got)
+    assert language.acceptable(whole.withColumn("lang", F.lit(None).cast("string"))).count() == 0
+
+
+def test_runs_of_letters():
+    assert language.letter_runs("a1b ½c²d_e é①x") == ["a", "b", "c", "d", "e", "é", "x"]
+    assert language.letter_runs("½ ² ①") == []
