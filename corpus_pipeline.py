@@ -14,13 +14,18 @@ from gridloom.llm import jaccard, language, pieces, secret_scan, tiling
 from gridloom.llm.staging import staged, without
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: Number of a row where ids repeat; no column of the input has this name.
+ROW = "_near_duplicates_row"
 #: Character models, hash orders and randomness tests have no counterpart in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels of the documents teach; texts without letters or unlike all go."""
-    return language.accepted(docs, language.learn(docs))
+    """Documents in a language that the labels of the documents teach; texts without letters or unlike all go.
+
+    Where no document has a label and a text, no language is known and all go.
+    """
+    return language.acceptable(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,16 +38,16 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
         found = jaccard.near_duplicates(docs, words=5, share=4, of=5)
         return without(docs, found.filter("doc_id <> component_id").select("doc_id"))
-    rows = staged(docs.withColumn("row_id", F.monotonically_increasing_id()))
-    found = jaccard.near_duplicates(rows, words=5, share=4, of=5, key="row_id").select(
-        F.col("doc_id").alias("row_id"), F.col("component_id").alias("group"), (F.col("n_shingles") == 0).alias("empty"))
-    named = staged(rows.filter("doc_id is not null").select("row_id", "doc_id", F.xxhash64("text").alias("hash")).join(found, "row_id"))
+    rows = staged(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    found = jaccard.near_duplicates(rows, words=5, share=4, of=5, key=ROW).select(
+        F.col("doc_id").alias(ROW), F.col("component_id").alias("group"), (F.col("n_shingles") == 0).alias("empty"))
+    named = staged(rows.filter("doc_id is not null").select(ROW, "doc_id", F.xxhash64("text").alias("hash")).join(found, ROW))
     unlike = named.groupBy("doc_id").agg((F.min("group") < F.max("group")).alias("unlike"))
     heads = named.join(unlike, "doc_id").groupBy("group").agg(
-        F.min(F.struct("unlike", "doc_id", "empty", "hash", "row_id")).alias("head")).select("head.*")
-    stay = heads.groupBy("doc_id").agg(F.min(F.struct("empty", "hash", "row_id"))["row_id"].alias("row_id"))
-    gone = named.join(stay, "row_id", "left_anti").select("row_id")
-    return without(rows, gone, "row_id").select(docs.columns)
+        F.min(F.struct("unlike", "doc_id", "empty", "hash", ROW)).alias("head")).select("head.*")
+    stay = heads.groupBy("doc_id").agg(F.min(F.struct("empty", "hash", ROW))[ROW].alias(ROW))
+    gone = named.join(stay, ROW, "left_anti").select(ROW)
+    return without(rows, gone, ROW).select(docs.columns)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +57,12 @@ def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its secrets replaced by a marker."""
+    """Every document, its secrets replaced by a marker; n_chars follows where there is such a column."""
     found = secret_scan.with_secrets(docs)
     clean = found.withColumn("text", secret_scan.redacted(F.col("text"), F.col("secrets")))
-    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(docs.columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
