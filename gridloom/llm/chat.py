@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 START, END, BREAK = "<|im_start|>", "<|im_end|>\n", "<|nl|>"
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+#: Kinds whose placeholders bear their plain names.
+ATTACHED = ["image", "audio", "document"]
 #: Tokens of an attachment: image patches of this many pixels a side, audio tokens a second, tokens a document page.
 PATCH, PER_SECOND, PER_PAGE = 14, 25, 576
 
@@ -40,8 +42,10 @@ def is_text(part: Column) -> Column:
 
 
 def visit(part: Column) -> Column:
-    """What a part adds to the body. A kind that is not text is a placeholder named after it."""
+    """What a part adds to the body. A kind that is not text is a placeholder named after it; one that is not among
+    ``ATTACHED`` stands behind ``part:``, so that no kind spells the start or the end of a turn."""
     name = F.regexp_replace(part["kind"], "[^a-z0-9_]", "_")
+    name = F.when(part["kind"].isin(ATTACHED), name).otherwise(F.concat(F.lit("part:"), name))
     return F.when(is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
         F.concat(F.lit("<|"), name, F.lit("|>"))
     )
