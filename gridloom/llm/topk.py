@@ -4,7 +4,7 @@ A vector is cut into segments at several resolutions. Means and deviations of th
 vectors from below: d(q, c)^2 >= sum of length * ((mean_q - mean_c)^2 + (dev_q - dev_c)^2) over the segments, and
 finer segments bound it more tightly. With the lengths of both vectors known, a lower bound of the distance is an upper
 bound of the inner product, length * (mean_q * mean_c + dev_q * dev_c). Candidates whose bound falls below a query's k-th score
-so far are left out, coarse to fine; scores of the survivors are computed exactly.
+so far are left out, coarse to fine; scores of the survivors are computed exactly, in 64-bit integers.
 
 The stated queries meet all rows in blocks: queries and candidates are dealt into blocks of bounded size, every pair
 of blocks is one group, and each group returns at most k rows a query.
@@ -46,8 +46,8 @@ def statistics(rows: np.ndarray, segments: int) -> np.ndarray:
 def matrix(vectors, width: int) -> np.ndarray:
     """Rows of equal width; shorter vectors end in zeros, which add nothing to an inner product."""
     lengths = np.fromiter(map(len, vectors), int, len(vectors))
-    out = np.zeros((len(vectors), width))
-    out[np.arange(width) < lengths[:, None]] = np.concatenate([*vectors, np.empty(0)])
+    out = np.zeros((len(vectors), width), "i8")
+    out[np.arange(width) < lengths[:, None]] = np.concatenate([*vectors, np.empty(0, "i8")])
     return out
 
 
@@ -59,21 +59,23 @@ def best_of(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataF
         width = 1
     q, c = matrix(queries["v"], width), matrix(candidates["v"], width)
     q_ids, c_ids = queries["id"].to_numpy(), candidates["id"].to_numpy()
-    if np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * width >= 2**53:
-        raise OverflowError("scores beyond 2^53 are not exact")
-    top_scores, top_rows = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
-    levels = [(statistics(q, s), statistics(c, s)) for s in RESOLUTIONS if s == 1 or s < width]
+    largest = [max(abs(int(x.min(initial=0))), abs(int(x.max(initial=0)))) for x in (q, c)]
+    if largest[0] * largest[1] * width >= 2**63:
+        raise OverflowError("scores from 2^63 on do not fit a long")
+    top_scores, top_rows = np.full((len(q), k), np.iinfo("i8").min), np.full((len(q), k), -1)
+    wide = [x.astype("f8") for x in (q, c)]
+    levels = [tuple(statistics(x, s) for x in wide) for s in RESOLUTIONS if s == 1 or s < width]
     # Bounds are rounded; this much keeps a candidate that ties.
-    slack = 1e-9 * (1 + np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * width)
+    slack = 1e-9 * (1 + float(largest[0]) * largest[1] * width)
     # Long vectors first, so that thresholds rise early.
-    for chunk in np.array_split(np.argsort(-np.linalg.norm(c, axis=1), kind="stable"), -(-len(c) // CHUNK)):
+    for chunk in np.array_split(np.argsort(-np.linalg.norm(wide[1], axis=1), kind="stable"), -(-len(c) // CHUNK)):
         coarse_q, coarse_c = levels[0]
-        alive = coarse_q @ coarse_c[chunk].T >= top_scores[:, -1:] - slack
+        alive = coarse_q @ coarse_c[chunk].T >= top_scores[:, -1:].astype("f8") - slack
         for i in np.flatnonzero(alive.any(axis=1)):
             rows = chunk[alive[i]]
             for fine_q, fine_c in levels[1:]:
                 if len(rows) > k:
-                    rows = rows[fine_c[rows] @ fine_q[i] >= top_scores[i, -1] - slack]
+                    rows = rows[fine_c[rows] @ fine_q[i] >= float(top_scores[i, -1]) - slack]
             rows = rows[c_ids[rows] != q_ids[i]]
             scores = np.concatenate([top_scores[i], c[rows] @ q[i]])
             rows = np.concatenate([top_rows[i], rows])
@@ -84,7 +86,7 @@ def best_of(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataF
             top_scores[i], top_rows[i] = scores[order], rows[order]
     at, place = np.nonzero(top_rows >= 0)
     return pd.DataFrame({
-        "query_id": q_ids[at], "vec_id": c_ids[top_rows[at, place]], "score": top_scores[at, place].astype("i8"),
+        "query_id": q_ids[at], "vec_id": c_ids[top_rows[at, place]], "score": top_scores[at, place],
     })
 
 
@@ -94,7 +96,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vect
     Ties go to the smaller id. Fewer rows than k give fewer results. Rows with a null id and vectors that are null or
     hold a null or non-finite component take no part. The id is a key: of rows that repeat one, the smallest vector
     counts. Vectors of unlike length are compared over their common components; an empty one scores 0. Other columns
-    are not read; an empty table gives no rows. Scores from 2^53 on raise an error.
+    are not read; an empty table gives no rows. Scores that do not fit a long raise an error.
     """
     rows = (df.select(F.col(key).cast("long").alias("id"), quantised(F.col(vector)).alias("v"), is_query.alias("q"))
             .filter("id is not null and v is not null"))

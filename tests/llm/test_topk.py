@@ -54,3 +54,20 @@ def test_bounds_hold():
         assert (bound >= a @ b.T - 1e-9).all()
         assert last is None or segments == 33 or bound.mean() < last
         last = bound.mean()
+
+
+def test_large_components(spark):
+    """Scores beyond what doubles hold exactly."""
+    dice = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in dice.normal(size=6) * 1e6], 1) for i in range(60)]
+    rows += [(100 + i, [1e6, 1e6, 1e6, 1e6, 1e6, 1e6 - i / 256 / 16], 1) for i in range(40)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("float", "double"))
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=4).collect()
+    exact = {i: [int(np.floor(256 * x)) for x in v] for i, v, _ in rows}
+    wanted = []
+    for i, q in exact.items():
+        if i % 5 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in exact.items() if j != i)[:4]
+            wanted += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(wanted)
+    assert max(s for *_, s in wanted) > 2**53
