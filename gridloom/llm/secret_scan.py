@@ -38,6 +38,38 @@ ENCODINGS = [
 #: A run fails the battery below this; share of false discoveries; steps of the p-value scale per power of ten, and steps.
 UNIFORM, FALSE_SHARE, STEPS, DEPTH = 0.01, 0.01, 4, 400
 REDACTED = "[SECRET]"
+#: Matches whose places are summed up in one list.
+STRETCH = 256
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, combine=lambda a, b: a + b, first: int = 0) -> Column:
+    """Sums of an array of int up to each place, or what ``combine`` makes of all values so far; ``first`` changes nothing.
+
+    Each result is appended to a list, which copies it, so lists are those of short stretches, put together by the
+    results before them.
+    """
+    start = F.struct(F.lit(first).alias("sum"), F.array().cast("array<int>").alias("sums"))
+
+    def sums(part: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            return let(combine(state["sum"], x), lambda s: F.struct(s.alias("sum"), F.array_append(state["sums"], s).alias("sums")))
+
+        return F.aggregate(part, start, step, lambda state: state["sums"])
+
+    last = F.floor((F.size(values) - 1) / STRETCH).cast("int")
+    stretches = F.transform(F.sequence(F.lit(0), last), lambda i: sums(F.slice(values, i * STRETCH + 1, F.lit(STRETCH))))
+
+    def joined(parts: Column) -> Column:
+        ends = F.transform(parts, lambda p: F.element_at(p, -1))
+        before = sums(F.concat(F.array(F.lit(first)), F.slice(ends, F.lit(1), F.size(ends) - 1)))
+        return F.flatten(F.zip_with(parts, before, lambda p, b: F.transform(p, lambda x: combine(x, b))))
+
+    return F.when(F.size(values) > 0, let(stretches, joined)).otherwise(F.array().cast("array<int>"))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -46,18 +78,12 @@ def matches(text: Column, pattern: str) -> Column:
     What lies between matches is as long as ``split`` says, so positions are running sums.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("match"))
-    spans = "array<struct<start:int,end:int,match:string>>"
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(F.coalesce(x["match"], F.lit("")))
-        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
-
-    listed = F.aggregate(F.filter(both, lambda x: x["match"].isNotNull()), empty, step, lambda s: s["spans"])
-    return F.when(text.rlike(pattern), listed).otherwise(F.array().cast(spans))
+    # The last gap has no match behind it.
+    both = F.zip_with(F.split(text, pattern, -1), found, lambda gap, match: F.when(
+        match.isNotNull(), F.char_length(gap) + F.char_length(match)))
+    listed = let(found, lambda found: F.zip_with(running(F.filter(both, lambda x: x.isNotNull())), found, lambda end, match: F.struct(
+        (end - F.char_length(match)).alias("start"), end.alias("end"), match.alias("match"))))
+    return F.when(text.rlike(pattern), listed).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
 
 
 def normal_tail(z: Column) -> Column:
@@ -65,11 +91,6 @@ def normal_tail(z: Column) -> Column:
     return 1 / (1 + F.exp(F.lit(1.5976) * z + F.lit(0.07056) * F.pow(z, F.lit(3))))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def tests(run: Column) -> Column:
     """Struct (uniform, text) of p-values for a run: of uniform symbols, and of ordinary text."""
     symbols, agree = F.lit(None).cast("string"), F.lit(None).cast("double")
@@ -166,10 +187,20 @@ def with_secrets(df: DataFrame, text: str = "text", share: float = FALSE_SHARE)
 
     named = [F.transform(x, of_kind(i)) for i, x in enumerate(base)]
     random = F.filter(looked_at(body), lambda m: (m["p"]["text"] <= best) & (m["p"]["uniform"] >= UNIFORM))
-    free = F.filter(random, lambda r: ~F.exists(F.col("_base"), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    added = F.transform(free, of_kind(len(base)))
-    return (df.withColumn("_base", F.concat(*named))
-            .withColumn("secrets", F.array_sort(F.concat("_base", added))).drop("_base"))
+    both = F.array_sort(F.concat(*named, F.transform(random, of_kind(len(base)))))
+    return df.withColumn("secrets", let(both, without_overlaps))
+
+
+def without_overlaps(spans: Column) -> Column:
+    """Sorted spans without the runs of the battery that overlap a base span, in one pass each way: such a span ends
+    behind the run's start or, if it starts later, begins before the run's end."""
+    last, none = len(KINDS) - 1, 2**31 - 1
+    base = lambda s, x, other: F.when(s["kind"] < last, x).otherwise(F.lit(other))
+    ends = running(F.transform(spans, lambda s: base(s, s["end"], -1)), F.greatest, -1)
+    starts = F.reverse(running(F.transform(F.reverse(spans), lambda s: base(s, s["start"], none)), F.least, none))
+    free = let(ends, lambda ends: let(starts, lambda starts: F.filter(spans, lambda s, i: (s["kind"] < last) | (
+        (F.get(ends, i) <= s["start"]) & (F.get(starts, i) >= s["end"])))))
+    return F.when(F.exists(spans, lambda s: s["kind"] == last), free).otherwise(spans)
 
 
 def written(spans: Column) -> Column:

@@ -108,3 +108,37 @@ def test_empty(spark):
 def test_no_python(spark):
     plan = scan.with_secrets(spark.createDataFrame([(1, "x")], "doc_id long, text string").repartition(2))
     assert "Python" not in plan._jdf.queryExecution().toString() and "Arrow" not in plan._jdf.queryExecution().toString()
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the number of matches, not with its square; places are those of a plain reading."""
+    import time
+
+    def dump(lines):
+        return "\n".join(f"{DICE.getrandbits(96):024x} token={DICE.getrandbits(80):020x}" for _ in range(lines))
+
+    took = []
+    for lines in (2_000, 2_000, 40_000):
+        text = dump(lines)
+        df = spark.createDataFrame([(1, text, "x", "y")], SCHEMA)
+        start = time.perf_counter()
+        got = scan.with_secrets(df).first().secrets
+        took.append(time.perf_counter() - start)
+        assert [tuple(s) for s in got if s.kind < 3] == base(text)
+        assert len(got) == 3 * lines
+    assert took[2] < 60 * max(took[1], 0.5)
+
+
+def test_running(spark):
+    from pyspark.sql import functions as F
+
+    values = [DICE.randrange(-9, 9) for _ in range(3_000)]
+    for n in (0, 1, 255, 256, 257, 512, 3_000):
+        row = spark.range(1).select(F.lit(values[:n]).cast("array<int>").alias("v")).select(
+            scan.running(F.col("v")).alias("sums"), scan.running(F.col("v"), F.greatest, -100).alias("most")).first()
+        assert row.sums == [sum(values[:i + 1]) for i in range(n)] and row.most == [max(values[:i + 1]) for i in range(n)]
+
+
+def test_a_column_named_like_an_inner_one_stays(spark):
+    df = spark.createDataFrame([(1, "token=abcdefghijklmnop", "kept")], "doc_id long, text string, _base string")
+    assert scan.with_secrets(df).first()["_base"] == "kept"
