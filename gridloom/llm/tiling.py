@@ -25,6 +25,8 @@ from gridloom.llm.batches import holding, slices, typed
 SEED = 4
 #: Share of an item's tokens that tiles have to cover.
 COVERAGE = 0.5
+#: Pairs of seeds of a document and an item that are listed; with more, the item is walked token by token.
+PAIRS = 100_000
 #: Characters of benchmark text in a block, which is what a broadcast holds.
 BLOCK_CHARS = 16_000_000
 TOKEN = re.compile(r"[^\W_]+")
@@ -66,25 +68,95 @@ class Block:
             table = np.array(sorted(listed), dtype=[("h", "u8"), ("item", "i8"), ("at", "i8")])
             self.seeds[length] = table["h"].copy(), table["item"].copy(), table["at"].copy()
 
-    def shared(self, document: np.ndarray) -> dict[int, tuple[int, set[tuple[int, int]]]]:
-        """By item, the seed length and the seeds (position in document, position in item) that it shares."""
-        found: dict[int, tuple[int, set]] = {}
+        #: By seed length: the distinct hashes and items of the table, the place of each hash's first item, and how often
+        #: an item has a hash.
+        self.kinds = {}
+        for length, (hashes, owners, _) in self.seeds.items():
+            new = np.flatnonzero(np.diff(hashes, prepend=hashes[0] + np.uint64(1)) | (np.diff(owners, prepend=-1) != 0))
+            self.kinds[length] = hashes[new], owners[new], np.diff(new, append=len(hashes))
+
+    def shared(self, document: np.ndarray) -> dict[int, tuple[int, set[tuple[int, int]] | None]]:
+        """By item, the seed length and the seeds (position in document, position in item) that it shares.
+
+        Where the same tokens recur in document and item, pairs are counted before they are listed, and an item with more
+        than ``PAIRS`` of them gets none listed.
+        """
+        found: dict[int, tuple[int, set | None]] = {}
         known = np.concatenate([[0], np.cumsum(document != 0)])
         for length, (hashes, items, places) in self.seeds.items():
             if len(document) < length:
                 continue
             starts = np.flatnonzero(known[length:] - known[:-length] == length)
             windows = running_hashes(document, length)[starts]
-            first = np.searchsorted(hashes, windows, "left")
-            last = np.searchsorted(hashes, windows, "right")
+            first, last = (np.searchsorted(hashes, windows, side) for side in ("left", "right"))
+            many: set[int] = set()
+            if (last - first).sum() > PAIRS:
+                many = self.crowded(length, windows)
+                found.update((item, (length, None)) for item in many)
             for i in np.flatnonzero(last > first):
                 at = int(starts[i])
-                for j in range(first[i], last[i]):
+                for j in self.listed(items, first[i], last[i], many):
                     item, place = int(items[j]), int(places[j])
                     if np.array_equal(document[at:at + length], self.items[item][place:place + length]):
                         found.setdefault(item, (length, set()))[1].add((at, place))
         return found
 
+    def crowded(self, length: int, windows: np.ndarray) -> set[int]:
+        """Items that share more than ``PAIRS`` pairs of seeds with windows of a document."""
+        hashes, items, times = self.kinds[length]
+        distinct, repeats = np.unique(windows, return_counts=True)
+        first, last = (np.searchsorted(hashes, distinct, side) for side in ("left", "right"))
+        sizes = last - first
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        pairs = np.bincount(items[at], times[at] * np.repeat(repeats, sizes), len(self.items))
+        return set(np.flatnonzero(pairs > PAIRS).tolist())
+
+    @staticmethod
+    def listed(items: np.ndarray, first: int, last: int, many: set[int]):
+        """Rows of a hash but for those of crowded items; rows of a hash are in the order of their items."""
+        if not many:
+            return range(first, last)
+        rows: list[int] = []
+        while first < last:
+            end = first + int(np.searchsorted(items[first:last], items[first], "right"))
+            if int(items[first]) not in many:
+                rows.extend(range(first, end))
+            first = end
+        return rows
+
+
+def tile_rows(document: np.ndarray, item: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """What ``tile`` gives, without a list of seeds: each pass walks the item token by token over the whole document,
+    keeps the length of the unmarked match that ends at each place, and takes the longest ones that do not overlap.
+
+    A pass costs document times item and needs memory for the document; there are as many as tiles differ in length.
+    """
+    in_document, in_item = np.zeros(len(document), bool), np.zeros(len(item), bool)
+    tiles: list[tuple[int, int, int]] = []
+    while True:
+        best, ends = seed, []
+        lengths = np.zeros(len(document) + 1, "i4")
+        for i, token in enumerate(item):
+            if in_item[i]:
+                lengths[:] = 0
+                continue
+            grown = lengths[:-1] + 1
+            grown[(document != token) | in_document] = 0
+            lengths[1:] = grown
+            longest = int(grown.max(initial=0))
+            if longest > best:
+                best, ends = longest, []
+            if longest >= best:
+                places = np.flatnonzero(grown == best) - best + 1
+                ends.append(np.column_stack([places, np.full(len(places), i - best + 1)]))
+        if not ends:
+            return tiles
+        starts = np.concatenate(ends)
+        for d, i in starts[np.lexsort((starts[:, 1], starts[:, 0]))].tolist():
+            if not in_document[d:d + best].any() and not in_item[i:i + best].any():
+                in_document[d:d + best] = in_item[i:i + best] = True
+                tiles.append((d, i, best))
+
 
 def tile(seeds: set[tuple[int, int]], seed: int, document_size: int, item_size: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (position in document, position in item, length), the longest first, ties to the first positions."""
@@ -119,6 +191,10 @@ def overlaps(text: str, block: Block, coverage: float) -> list[tuple]:
     out = []
     for item, (length, seeds) in sorted(block.shared(document).items()):
         size = len(block.items[item])
+        if seeds is None:
+            tiles = tile_rows(document, block.items[item], length)
+            out += covered(block.names[item], size, tiles, coverage)
+            continue
         # Seeds that touch too few of the item's tokens cannot cover it.
         touched = np.zeros(size + length, int)
         for place in {i for _, i in seeds}:
@@ -126,13 +202,17 @@ def overlaps(text: str, block: Block, coverage: float) -> list[tuple]:
             touched[place + length] -= 1
         if np.count_nonzero(np.cumsum(touched)) < coverage * size:
             continue
-        tiles = tile(seeds, length, len(document), size)
-        matched = sum(n for _, _, n in tiles)
-        if matched >= coverage * size:
-            out.append((block.names[item], size, matched, len(tiles), max(n for _, _, n in tiles), matched / size))
+        out += covered(block.names[item], size, tile(seeds, length, len(document), size), coverage)
     return out
 
 
+def covered(name: int, size: int, tiles: list[tuple[int, int, int]], coverage: float) -> list[tuple]:
+    matched = sum(n for _, _, n in tiles)
+    if not tiles or matched < coverage * size:
+        return []
+    return [(name, size, matched, len(tiles), max(n for _, _, n in tiles), matched / size)]
+
+
 def blocks_of(benchmark: DataFrame, chars: int = BLOCK_CHARS):
     """Lists of (item_id, text), each with about ``chars`` characters or one item; one at a time on the driver."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))

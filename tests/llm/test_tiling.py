@@ -1,7 +1,9 @@
 """Greedy string tiling against its definition, and documents with benchmark passages."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 
 from gridloom.llm import tiling
@@ -37,6 +39,7 @@ def test_tiles(seed):
     a, b = (dice.choices("abc" if seed % 2 else "abcdefgh", k=dice.randrange(5, 40)) for _ in range(2))
     for least in (2, 3, 4):
         assert tiling.tile(seeds(a, b, least), least, len(a), len(b)) == greedy(a, b, least)
+        assert tiling.tile_rows(np.array(a), np.array(b), least) == greedy(a, b, least)
 
 
 @pytest.fixture(scope="module")
@@ -58,8 +61,9 @@ def tables(spark):
     return docs, items, spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("chars", [tiling.BLOCK_CHARS, 300])
-def test_documents(tables, chars):
+@pytest.mark.parametrize("chars, pairs", [(tiling.BLOCK_CHARS, tiling.PAIRS), (300, 20), (tiling.BLOCK_CHARS, 0)])
+def test_documents(tables, monkeypatch, chars, pairs):
+    monkeypatch.setattr(tiling, "PAIRS", pairs)
     docs, items, df, benchmark = tables
     want = []
     for i, text in docs:
@@ -83,3 +87,15 @@ def test_empty(spark, tables):
     _, _, df, benchmark = tables
     assert tiling.contaminated(df.limit(0), benchmark).count() == 0
     assert tiling.contaminated(df, benchmark.limit(0)).count() == 0
+
+
+def test_items_that_repeat_themselves():
+    """Pairs of equal seeds are counted, not listed: their number is the product of both lengths."""
+    items = [(1, "z " * 2_000), (2, "z z z z y"), (3, "a b c d e f"), (4, "z z z z " + "x " * 50)]
+    block = tiling.Block(items, tiling.SEED)
+    start = time.perf_counter()
+    got = tiling.overlaps("z " * 20_000 + "a b c d e f", block, 0.5)
+    assert time.perf_counter() - start < 5
+    assert got == [(1, 2_000, 2_000, 1, 2_000, 1.0), (2, 5, 4, 1, 4, 0.8), (3, 6, 6, 1, 6, 1.0)]
+    found = block.shared(np.array([block.numbers.get(t, 0) for t in tiling.tokens("z " * 20_000)], "u8"))
+    assert found[0] == (4, None) and found[1][1] == {(d, 0) for d in range(19_997)}
