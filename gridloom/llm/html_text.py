@@ -27,7 +27,9 @@ SAMPLE, LAYOUTS, OWN_LAYOUT, ROUNDS = 150, 10, 4, 5
 RATE, DECAY, SEED = 0.3, 1e-5, 7
 
 #: Fixed names of HTML. Content of the first is never text; the second end a block; the third have no end tag.
-HIDDEN = "script style noscript template iframe object svg math canvas audio video select textarea".split()
+HIDDEN = "script style noscript template iframe svg math select textarea".split()
+#: What stands inside these is shown only where they themselves cannot be; they nest, and one without an end tag is empty.
+MEDIA = "object canvas audio video".split()
 BLOCKS = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
     optgroup option p pre search section summary table tbody td tfoot th thead title tr ul""".split())
@@ -74,6 +76,19 @@ def names_of(rest: str) -> tuple[str, ...]:
     return tuple(x for x in found if x)
 
 
+def end_of_media(page: str, tag: str, at: int) -> int:
+    """Where an element ends whose start tag ends at ``at``: behind its own end tag, else behind the next one of that name,
+    else at once."""
+    depth, first = 1, at
+    for m in re.finditer(rf"<(/?){tag}(?=[\s/>])[^>]*>", page[at:], re.I):
+        depth += -1 if m[1] else 1
+        if m[1] and first == at:
+            first = at + m.end()
+        if not depth:
+            return at + m.end()
+    return first
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks of a page in order, character references decoded and white space made single."""
     found: list[Block] = []
@@ -97,6 +112,8 @@ def blocks_of(page: str) -> list[Block]:
                 return
 
     for m in MARKUP.finditer(page):
+        if m.start() < at:
+            continue
         if m.start() > at:
             pieces.append((page[at:m.start()], links > 0))
         at = m.end()
@@ -104,6 +121,9 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in MEDIA and not m["end"]:
+            at = end_of_media(page, tag, at)
+            continue
         if tag == "a":
             links = 0 if m["end"] else 1
         elif tag == "br":
@@ -200,12 +220,13 @@ class Field:
             if abs(gain) > 1e-6:
                 for f in row:
                     self.weights[f] += gain - DECAY * self.weights[f]
+        stays = expected = 0.0
         for i in range(n - 1):
             t, r = backward[i + 1][0] + scores[i + 1], backward[i + 1][1] - scores[i + 1]
-            same = math.exp(forward[i][0] + self.stay + t - total) + math.exp(forward[i][1] + self.stay + r - total)
-            was = labels[i] == labels[i + 1]
-            self.stay += rate / n * (was - same)
-            self.change += rate / n * ((not was) - (1 - same))
+            expected += math.exp(forward[i][0] + self.stay + t - total) + math.exp(forward[i][1] + self.stay + r - total)
+            stays += labels[i] == labels[i + 1]
+        self.stay += rate / n * (stays - expected)
+        self.change -= rate / n * (stays - expected)
 
 
 def log_sum(a: float, b: float) -> float:
@@ -213,14 +234,35 @@ def log_sum(a: float, b: float) -> float:
     return high + math.log1p(math.exp(min(a, b) - high))
 
 
+#: Parts of a page, or of its main element, that are not main text.
+REST = {"nav", "aside", "footer", "form"}
+#: Without a model: elements whose blocks are left out, and the share of links from which a block is one of a menu.
+NEVER, LINKED = REST | {"head", "title", "header", "button", "select", "menu"}, 0.5
+
+
+def main_element(blocks: list[Block]) -> tuple | None:
+    """The element that states a page's main text: the outermost ``main``, else the outermost ``article``; of several, the
+    one with most text. An entry of a path is one object for all blocks of its element."""
+    for tag in ("main", "article"):
+        sizes: dict[int, int] = {}
+        elements = {}
+        for b in blocks:
+            if element := next((x for x in b.path if x[0] == tag), None):
+                elements[id(element)] = element
+                sizes[id(element)] = sizes.get(id(element), 0) + len(b.text)
+        if sizes:
+            return elements[max(sizes, key=sizes.get)]
+    return None
+
+
 def labelled(page: str) -> tuple[list[Block], list[bool]] | None:
-    """Blocks and labels of a page with exactly one element that states its main text."""
+    """Blocks and labels of a page with an element that states its main text; an article inside an article is a comment."""
     blocks = blocks_of(page)
-    inside = [[t for t, _ in b.path if t in ("article", "main")] for b in blocks]
-    if page.lower().count("<article") + page.lower().count("<main") != 1 or not any(inside):
+    own = main_element(blocks)
+    if own is None:
         return None
-    rest = {"nav", "aside", "footer", "form"}
-    return blocks, [bool(i) and not rest & {t for t, _ in b.path} for i, b in zip(inside, blocks)]
+    tags = [[t for t, _ in b.path] for b in blocks]
+    return blocks, [any(x is own for x in b.path) and not REST & {*t} and t.count("article") < 2 for b, t in zip(blocks, tags)]
 
 
 #: Ways to set a page: containers of the main text and of everything else, as (tag, attributes).
@@ -305,7 +347,7 @@ def train(pages: list[str]) -> Field | None:
 
 def learn(df: DataFrame, key: str = "page_id", page: str = "html") -> Field | None:
     """A field from at most ``SAMPLE`` labelled pages, drawn by the hash of their id."""
-    stated = df.filter(F.lower(F.col(page)).rlike("<(article|main)[ >]")).select(
+    stated = df.filter(F.lower(F.col(page)).rlike(r"<(article|main)[\s/>]")).select(
         F.xxhash64(F.col(key).cast("long"), F.col(page)).alias("place"), F.col(page).alias("html"))
     # SAMPLE numbers first, so that no task sends pages that are not drawn.
     last = stated.select("place").orderBy("place").limit(SAMPLE).agg(F.max("place")).first()[0]
@@ -316,9 +358,18 @@ def learn(df: DataFrame, key: str = "page_id", page: str = "html") -> Field | No
 
 
 def main_text(page: str, field: Field | None) -> str:
-    """Blocks that the field takes for text, joined by spaces; every visible block without a field."""
+    """Blocks that the field takes for text, joined by spaces.
+
+    Without a field: the element that states the main text where there is one, else all blocks, but for parts that are never
+    main text and for blocks that are mostly links.
+    """
     blocks = blocks_of(page)
-    keep = field.decode(field.scores(features(blocks))) if field else [True] * len(blocks)
+    if field:
+        keep = field.decode(field.scores(features(blocks)))
+    else:
+        own = main_element(blocks)
+        keep = [(own is None or any(x is own for x in b.path)) and not NEVER & {t for t, _ in b.path}
+                and b.linked < LINKED * len(b.text) for b in blocks]
     return " ".join(b.text for b, k in zip(blocks, keep) if k)
 
 

@@ -102,3 +102,68 @@ def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert html_text.learn(df) is None
     assert html_text.extract(df, None).count() == 0
+
+
+LAYOUTS = [
+    "<main><article>{}</article></main>", "<article>{}</article>", "<article\nclass=x>{}</article>", "<main\t>{}</main>",
+    "<article><p>Teaser one two.</p></article><article>{}</article>", "<main><div><article>{}</article></div><aside><p>More to read.</p></aside></main>",
+    "<article>{}<section><article><p>A reader's comment, long enough to look like text.</p></article></section></article>",
+]
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_labels_of_layouts(layout):
+    """The outermost main, else the largest article; articles inside articles are comments."""
+    text = "<h1>H</h1>" + "".join(f"<p>Sentence number {i} of the body.</p>" for i in range(5))
+    page = "<html><head><title>T</title></head><body><nav><a href=/>Home</a></nav>" + layout.format(text) + "<footer>foot</footer></body></html>"
+    blocks, labels = html_text.labelled(page)
+    main = [b.text for b, x in zip(blocks, labels) if x]
+    assert main == ["H"] + [f"Sentence number {i} of the body." for i in range(5)]
+    assert html_text.main_text(page, None).startswith("H Sentence number 0")
+    assert "Home" not in html_text.main_text(page, None) and "foot" not in html_text.main_text(page, None)
+    field = html_text.train([page] * 5)
+    assert field is not None and html_text.main_text(page, field).split()[:3] == ["H", "Sentence", "number"]
+
+
+def test_without_model_or_main_element():
+    page = "<title>T</title><div><a href=/>One</a> <a href=/>Two</a></div><div><p>Some <a href=/>linked</a> words of text.</p></div><form>Send</form>"
+    assert html_text.labelled(page) is None and html_text.train([page]) is None
+    assert html_text.main_text(page, None) == "Some linked words of text."
+
+
+@pytest.mark.parametrize("inner, shown", [
+    ("<video src=x>", "a b"), ("<audio controls src=x><p>c</p>", "a c b"), ("<object><object>no</object>no</object>", "a b"),
+    ("<object><p>no</p></object>", "a b"), ("<object><object>no</object>", "a b"), ("<canvas>no</canvas><video>no</video>", "a b"),
+    ("<video-player>yes</video-player>", "a yes b"), ("</video>", "a b"), ("<VIDEO>no</Video >", "a b"),
+])
+def test_media(inner, shown):
+    blocks = html_text.blocks_of(f"<article><p>a</p>{inner}<p>b</p></article>")
+    assert " ".join(b.text for b in blocks) == shown
+
+
+def test_gradient_by_enumeration():
+    """One step moves every weight by the gradient of the log-likelihood, summed over all labellings of the page."""
+    import itertools
+    import math
+
+    rows, labels, rate = [["a", "x"], ["b"], ["a"], ["c", "x"]], [True, True, False, True], 0.25
+    field = html_text.Field()
+    field.weights.update({"a": 0.7, "b": -0.4, "c": 0.2, "x": 0.5})
+    field.stay, field.change = 0.6, -0.3
+
+    def score(states):
+        own = sum((1 if s else -1) * sum(field.weights[f] for f in row) for s, row in zip(states, rows))
+        return own + sum(field.stay if s == t else field.change for s, t in zip(states, states[1:]))
+
+    chances = {s: math.exp(score(s)) for s in itertools.product((True, False), repeat=len(rows))}
+    total = sum(chances.values())
+    mean = lambda of: sum(p / total * of(s) for s, p in chances.items())
+    count = lambda f: lambda s: sum((1 if x else -1) * row.count(f) for x, row in zip(s, rows))
+    stays = lambda s: sum(x == y for x, y in zip(s, s[1:]))
+    wanted = {f: w + rate * (count(f)(labels) - mean(count(f))) for f, w in field.weights.items()}
+    # Neighbour weights take a smaller step, by the number of blocks.
+    stay = field.stay + rate / len(rows) * (stays(labels) - mean(stays))
+    change = field.change + rate / len(rows) * (len(rows) - 1 - stays(labels) - mean(lambda s: len(rows) - 1 - stays(s)))
+    field.step(rows, labels, rate)
+    assert {f: pytest.approx(w, abs=1e-4) for f, w in wanted.items()} == dict(field.weights)
+    assert (field.stay, field.change) == (pytest.approx(stay), pytest.approx(change))
