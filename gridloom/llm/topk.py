@@ -62,7 +62,7 @@ def best_of(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataF
     largest = [max(abs(int(x.min(initial=0))), abs(int(x.max(initial=0)))) for x in (q, c)]
     if largest[0] * largest[1] * width >= 2**63:
         raise OverflowError("scores from 2^63 on do not fit a long")
-    top_scores, top_rows = np.full((len(q), k), np.iinfo("i8").min), np.full((len(q), k), -1)
+    top_scores, top_rows = np.full((len(q), k), 1 - 2**63), np.full((len(q), k), -1)
     wide = [x.astype("f8") for x in (q, c)]
     levels = [tuple(statistics(x, s) for x in wide) for s in RESOLUTIONS if s == 1 or s < width]
     # Bounds are rounded; this much keeps a candidate that ties.
