@@ -163,16 +163,25 @@ def frequent_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens.view("u8")[order], counts[order]
 
 
-def first_tokens(tokens: np.ndarray, count: int, frequent: tuple[np.ndarray, np.ndarray], order: int = 0) -> np.ndarray:
-    """The first tokens under an order: rare ones by its hash, then frequent ones, by count under order 0 and by hash
-    under the others."""
+def weights_of(tokens: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Counts of frequent tokens, 0 for rare ones."""
     known, counts = frequent
-    places = mixed(tokens, order)
     if not len(known):
-        return tokens[np.argpartition(places, count - 1)[:count]]
+        return np.zeros(len(tokens), "i8")
     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-    weight = np.where(known[at] == tokens, counts[at] if order == 0 else 1, 0)
-    return tokens[np.lexsort((places, weight))[:count]]
+    return np.where(known[at] == tokens, counts[at], 0)
+
+
+def first_tokens(tokens: np.ndarray, count: int, weights: np.ndarray, order: int = 0) -> np.ndarray:
+    """The first tokens under an order: rare ones by its hash, then frequent ones, by count under order 0 and by hash
+    under the others."""
+    rare = tokens[weights == 0]
+    if len(rare) > count:
+        return rare[np.argpartition(mixed(rare, order), count - 1)[:count]]
+    rest, held = tokens[weights > 0], weights[weights > 0]
+    places = mixed(rest, order)
+    behind = np.lexsort((places, held)) if order == 0 else np.argsort(places)
+    return np.concatenate([rare, rest[behind[:count - len(rare)]]])
 
 
 def new_sets(batches, rule: Rule, seed: int):
@@ -200,7 +209,7 @@ def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarr
 
     def run(batches):
         for found in new_sets(batches, rule, seed):
-            firsts = [first_tokens(x, rule.prefix(len(x)), shared.value) for x in found.values()]
+            firsts = [first_tokens(x, rule.prefix(len(x)), weights_of(x, shared.value)) for x in found.values()]
             yield pa.RecordBatch.from_pydict({"node": pa.array([*found], pa.int64()), "tokens": token_lists(firsts)})
 
     return columns.mapInArrow(typed(run, schema), schema)
@@ -214,7 +223,8 @@ def signatures(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.nda
     def run(batches):
         for found in new_sets(batches, rule, seed):
             sets = [*found.values()]
-            orders = [[first_tokens(x, rule.prefix(len(x)), shared.value, k) for x in sets] for k in range(3)]
+            weights = [weights_of(x, shared.value) for x in sets]
+            orders = [[first_tokens(x, rule.prefix(len(x)), w, k) for x, w in zip(sets, weights)] for k in range(3)]
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([*found], pa.int64()), "size": pa.array([*map(len, sets)], pa.int32()),
                 "sketch": pa.array([sketch(x, RANGES) for x in sets], pa.list_(pa.int16())),

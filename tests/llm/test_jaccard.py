@@ -102,3 +102,21 @@ def test_an_id_with_unlike_texts_is_one_vertex(spark):
     rows = [(5, p), (5, q), (3, q), (6, p), (None, p), (7, ""), (5, "")]
     assert {(i, c) for i, _, c in components(spark, rows)} == {(3, 3), (5, 3), (6, 3), (None, 3), (7, 7), (5, 5)}
     assert components(spark, rows) == brute(rows, 3, 90, 100)
+
+
+def test_prefixes_share_a_token_under_every_order():
+    """Any two sets that link do, whatever the frequencies say."""
+    import numpy as np
+
+    dice, rule = np.random.default_rng(4), jaccard.Rule(3, 4, 5)
+    for _ in range(200):
+        whole = np.unique(dice.integers(0, 400, size=60).astype("u8"))
+        a, b = (np.sort(dice.choice(whole, size=len(whole) - int(dice.integers(0, 6)), replace=False)) for _ in range(2))
+        known = np.unique(dice.integers(0, 400, size=int(dice.integers(0, 300))).astype("u8"))
+        frequent = known, dice.integers(1, 5, size=len(known))
+        both = len(np.intersect1d(a, b))
+        linked = both * rule.of >= rule.share * (len(a) + len(b) - both)
+        for order in range(3):
+            first = [jaccard.first_tokens(x, rule.prefix(len(x)), jaccard.weights_of(x, frequent), order) for x in (a, b)]
+            assert [len(x) for x in first] == [rule.prefix(len(x)) for x in (a, b)]
+            assert not linked or len(np.intersect1d(*first))
