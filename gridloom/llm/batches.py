@@ -38,27 +38,28 @@ class Recent:
         self.make, self.limit, self.group, self.longest = make, limit, group, longest
         self.now: dict = {}
         self.before: dict = {}
+        self.long: list = []
         Memo.live.append(weakref.ref(self))
 
     def clear(self) -> None:
-        self.now, self.before = {}, {}
+        self.now, self.before, self.long = {}, {}, []
 
     def of(self, keys: set) -> dict:
         """A dictionary that holds the results of ``keys``, until the next call."""
+        # Long strings are kept for one call.
+        for key in self.long:
+            del self.now[key]
         if len(self.now) > self.limit // 2:
-            # Long strings were kept for one call.
-            self.before, self.now = {k: v for k, v in self.now.items() if len(k) <= self.longest}, {}
+            self.before, self.now = self.now, {}
         new = []
-        for key in keys - self.now.keys():
+        for key in keys.difference(self.now):
             if (value := self.before.get(key)) is not None:
                 self.now[key] = value
             else:
                 new.append(key)
         self.now.update(zip(new, self.make(new)))
-        found = self.now
-        if any(len(k) > self.longest for k in new):
-            self.now = {k: v for k, v in found.items() if len(k) <= self.longest}
-        return found
+        self.long = [k for k in new if len(k) > self.longest]
+        return self.now
 
 
 def holding(group: str) -> None:

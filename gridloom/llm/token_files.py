@@ -13,6 +13,7 @@ order of documents is complete, so a repeated or doubled task leaves the same pa
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import uuid
 import zlib
@@ -21,13 +22,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridloom.llm.batches import Recent, holding, slices, typed
-from gridloom.llm.staging import mounted, staged
-from gridloom.llm.word_tokens import added_strings, pre_tokens, runs, tokenizer
-
-RUNS, WORDS = 400_000, 600_000
+from gridloom.llm.staging import mounted
+from gridloom.llm.word_tokens import PRE_TOKEN, added_strings, is_plain, runs, tokenizer
+
+RUNS, WORDS = 800_000, 1_000_000
+#: A pre-token, or the line break between runs, which is in no pre-token.
+WORD_OR_BREAK = re.compile(PRE_TOKEN.pattern + "|\n")
+#: Keys a part from which borders of parts are taken.
+SAMPLED = 100
 #: Document id that stands for a null one in the files.
 NO_ID = -(2**63)
 
@@ -41,15 +46,28 @@ class Encoder:
         self.runs = Recent(self.joined, RUNS, "ids")
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        """As the library has them, many in one call."""
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+        """As the library has them, many in one call, without the places of tokens in the texts."""
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.kind).tobytes() for x in found]
 
     def joined(self, new: list[str]) -> list[bytes]:
-        parts = [pre_tokens(x, self.added) for x in new]
-        words = self.words.of({w for x in parts if x is not None for w in x})
-        alone = iter(self.packed([x for x, own in zip(new, parts) if own is None]))
-        return [next(alone) if x is None else b"".join(map(words.__getitem__, x)) for x in parts]
+        """Ids of runs: plain ones are parted into words by one search over all of them, the library takes the others."""
+        found: dict[str, bytes] = {}
+        added = [x for x in self.added if x in "\n".join(new)]
+        plain = [x for x in new if is_plain(x) and not any(y in x for y in added)]
+        parts = WORD_OR_BREAK.findall("\n".join(plain).lower())
+        words = self.words.of({*parts} - {"\n"})
+        own: list[bytes] = []
+        runs = iter(plain)
+        for part in parts + ["\n"] * bool(plain):
+            if part == "\n":
+                found[next(runs)] = b"".join(own)
+                own = []
+            else:
+                own.append(words[part])
+        odd = [x for x in new if x not in found]
+        found.update(zip(odd, self.packed(odd)))
+        return [found[x] for x in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         listed = [runs(x) for x in texts]
@@ -66,6 +84,22 @@ def id_width(path: str) -> int:
     return 2 if tokenizer(path).get_vocab_size() <= 2**16 else 4
 
 
+def part_of(rows: DataFrame, count: int) -> Column:
+    """The part of each row (k, t), so that parts follow each other in the order of keys and are of like size.
+
+    Borders come from a sample of keys, before any text is encoded; rows with one key are parted by a hash of the text.
+    """
+    place = F.struct(F.col("k").isNotNull().alias("known"), F.coalesce("k", F.lit(0)).alias("k"), F.xxhash64("t").alias("hash"))
+    share = min(1.0, SAMPLED * count / max(1, rows.count()))
+    drawn = sorted(tuple(r[0]) for r in rows.filter(F.rand(1) < share).select(place).collect())
+    borders = sorted({drawn[len(drawn) * i // count] for i in range(1, count)}) if drawn else []
+    if not borders:
+        return F.lit(0)
+    kind = "array<struct<known:boolean,k:bigint,hash:bigint>>"
+    listed = F.array(*[F.struct(*map(F.lit, x)) for x in borders]).cast(kind)
+    return F.size(F.filter(listed, lambda x: x <= place))
+
+
 def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts: int | None = None,
                       key: str = "doc_id", text: str = "text") -> int:
     """Write every whole text's ids and ``end_id`` in ascending order of ``key``; returns the number of tokens.
@@ -78,17 +112,18 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, parts:
     spark = df.sparkSession
     count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+    placed = rows.withColumn("part", part_of(rows, count))
 
     def encode(batches):
         holding("ids")
         own = encoder(path, width)
         for part in slices(batches):
             yield pa.RecordBatch.from_pydict({
-                "k": pa.array(part["k"], pa.int64()), "ids": pa.array(own.encode([x or "" for x in part["t"]]), pa.binary())})
+                "part": part["part"], "k": pa.array(part["k"], pa.int64()),
+                "ids": pa.array(own.encode([x or "" for x in part["t"]]), pa.binary())})
 
-    # Stored, for the order is found from the keys before rows are dealt out.
-    coded = staged(rows.mapInArrow(typed(encode, "k long, ids binary"), "k long, ids binary"))
-    dealt = coded.repartitionByRange(count, "k", F.xxhash64("ids")).sortWithinPartitions("k", "ids")
+    coded = placed.mapInArrow(typed(encode, "part int, k long, ids binary"), "part int, k long, ids binary")
+    dealt = coded.repartitionById(count, "part").sortWithinPartitions("k", "ids").select("k", "ids")
 
     def run(batches):
         part = TaskContext.get().partitionId()

@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 PLAIN = "ɐ"
 #: The pattern of the tokenizer for characters below PLAIN.
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|[_\x1c-\x1f])+")
+BEYOND = re.compile(f"[{PLAIN}-\U0010ffff]")
 #: White space for Python but not for the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile(r"(?:(?![\x1c-\x1f])\s)+")
@@ -36,6 +37,11 @@ def runs(text: str) -> list[str]:
     return text.split()
 
 
+def is_plain(run: str) -> bool:
+    """Whether characters of a run and of its lower case are all below PLAIN."""
+    return run.isascii() or not (BEYOND.search(run) or BEYOND.search(run.lower()))
+
+
 def pre_tokens(run: str, added: tuple[str, ...]) -> list[str] | None:
     """What the tokenizer merges within, or None where only the library itself can tell."""
     low = run.lower()
