@@ -94,7 +94,8 @@ def test_whole_batches_are_left_out(monkeypatch):
     search.settle()
     first = len(seen)
     assert search.weakest.tolist() == [17_000, 1]
-    search.batch(np.arange(len(rows)), np.zeros(len(rows), bool), lexical.Lists.of(rows[64:]))
+    rest = rows[64:]
+    search.batch(np.arange(len(rest)), np.zeros(len(rest), bool), lexical.Lists.of(rest))
     assert len(seen) == first
     assert sorted(zip(*(x.tolist() for x in search.best[:3]))) == [(0, 17_000, 0), (0, 17_000, 1)]
 
