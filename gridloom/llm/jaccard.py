@@ -18,6 +18,7 @@ group holds are listed. Frequencies serve the order alone: a rough count moves w
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -216,24 +217,38 @@ def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarr
 
 
 def signatures(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(node, size, sketch, first, second, third): prefixes under the three orders; a class may come more than once."""
+    """(node, size, sketch, first): the prefix under the first order; a class may come more than once."""
     shared = columns.sparkSession.sparkContext.broadcast(frequent)
-    schema = "node long, size int, sketch array<smallint>, first array<long>, second array<long>, third array<long>"
+    schema = "node long, size int, sketch array<smallint>, first array<long>"
 
     def run(batches):
         for found in new_sets(batches, rule, seed):
             sets = [*found.values()]
-            weights = [weights_of(x, shared.value) for x in sets]
-            orders = [[first_tokens(x, rule.prefix(len(x)), w, k) for x, w in zip(sets, weights)] for k in range(3)]
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([*found], pa.int64()), "size": pa.array([*map(len, sets)], pa.int32()),
                 "sketch": pa.array([sketch(x, RANGES) for x in sets], pa.list_(pa.int16())),
-                "first": token_lists(orders[0]), "second": token_lists(orders[1]), "third": token_lists(orders[2]),
+                "first": token_lists([first_tokens(x, rule.prefix(len(x)), weights_of(x, shared.value)) for x in sets]),
             })
 
     return columns.mapInArrow(typed(run, schema), schema)
 
 
+def other_orders(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray], nodes: DataFrame) -> DataFrame:
+    """(node, second, third): prefixes under the two other orders of the classes in ``nodes`` (node, first)."""
+    shared = columns.sparkSession.sparkContext.broadcast(frequent)
+    schema = "node long, second array<long>, third array<long>"
+
+    def run(batches):
+        for found in new_sets(batches, rule, seed):
+            weights = [weights_of(x, shared.value) for x in found.values()]
+            second, third = ([first_tokens(x, rule.prefix(len(x)), w, k) for x, w in zip(found.values(), weights)] for k in (1, 2))
+            yield pa.RecordBatch.from_pydict({
+                "node": pa.array([*found], pa.int64()), "second": token_lists(second), "third": token_lists(third)})
+
+    found = among(columns, nodes).mapInArrow(typed(run, schema), schema)
+    return staged(found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+
 def sets_of(columns: DataFrame, rule: Rule, seed: int, nodes: DataFrame) -> DataFrame:
     """(node, size, sketch, tokens) of the classes in ``nodes`` (node, first)."""
     schema = "node long, size int, sketch array<smallint>, tokens binary"
@@ -353,11 +368,11 @@ def fitting(rule: Rule):
     return fit
 
 
-def candidates(signed: DataFrame, rule: Rule) -> DataFrame:
-    """Groups to compare: (group, i, j, node, side)."""
+def candidates(signed: DataFrame, rule: Rule, other: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Groups to compare: (group, i, j, node, side). ``other`` gives the prefixes under the other orders of some classes."""
     rows = signed.select("node", F.explode("first").alias("token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    shared = staged(rows.join(counts, "token"))
+    counts = staged(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    shared = staged(rows.join(F.broadcast(counts) if counts.count() <= LISTED else counts, "token").distinct())
     # A class has as many rows as its prefix has tokens.
     top = F.slice(F.reverse(F.array_sort(F.collect_list(F.when(F.col("c") > BIG, F.struct("c", "token"))))), 1, HOMES)
     homes = staged(shared.groupBy("node").agg(top.alias("top")).select("node", F.col("top.token").alias("homes"),
@@ -371,11 +386,12 @@ def candidates(signed: DataFrame, rule: Rule) -> DataFrame:
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
 
-    traits = signed.select("node", "size", "sketch")
+    # A class may have come from several tasks.
+    traits = staged(signed.join(homes.select("node"), "node", "left_semi").select("node", "size", "sketch").dropDuplicates(["node"]))
     grouped = grouped.join(traits, "node").groupBy("group", "i", "j").applyInPandas(fitting(rule), _GROUPS)
     # A token that is a home of both sides has brought them together already, so it joins the rows that have it as
     # another token with all rows, never all with all.
-    full = shared.select("token", "node").join(homes.select("node", "homes"), "node").join(signed.select("node", "size"), "node")
+    full = shared.select("token", "node").join(homes.select("node", "homes"), "node").join(traits.select("node", "size"), "node")
     a, b = (full.select("token", *(F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "homes"))) for s in "ab")
     at_home = F.array_contains(F.col("homes_b"), a["token"])
     pairs = a.filter(~F.array_contains("homes_a", F.col("token"))).join(b, [
@@ -388,8 +404,10 @@ def candidates(signed: DataFrame, rule: Rule) -> DataFrame:
     room = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     room = F.coalesce(room, F.least("size_a", "size_b"))
     pairs = pairs.join(a, "node_a").join(b, "node_b").filter(room >= rule.needed(F.col("size_a"), F.col("size_b")))
-    a, b = (signed.select(*(F.col(x).alias(f"{x}_{s}") for x in ("node", "second", "third"))) for s in "ab")
-    pairs = pairs.select("node_a", "node_b").join(a, "node_a").join(b, "node_b").filter(
+    pairs = staged(pairs.select("node_a", "node_b"))
+    orders = other(pairs.select(F.col("node_a").alias("node")).union(pairs.select("node_b")).distinct())
+    a, b = (orders.select(*(F.col(x).alias(f"{x}_{s}") for x in ("node", "second", "third"))) for s in "ab")
+    pairs = pairs.join(a, "node_a").join(b, "node_b").filter(
         F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
     pairs = staged(pairs.select("node_a", "node_b"))
     parts = pairs.select("node_a", "node_b", F.pmod(F.xxhash64("node_b"), F.lit(BLOCK)).alias("part"))
@@ -417,9 +435,9 @@ def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, se
     held = F.broadcast(again.select("token")) if again.count() <= LISTED else again.select("token")
     left = staged(tokens.join(held, "token", "left_semi").select("node").distinct().join(firsts, "node"))
     # What turns out to be shared goes behind what may be rare, and prefixes of the classes left are taken once more.
-    signed = signatures(among(columns, left), rule, seed, frequent_tokens(heavy.union(again)))
-    signed = staged(signed.join(left.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    groups = candidates(signed, rule)
+    behind = frequent_tokens(heavy.union(again))
+    signed = staged(signatures(among(columns, left), rule, seed, behind))
+    groups = candidates(signed, rule, lambda nodes: other_orders(columns, rule, seed, behind, nodes.join(firsts, "node")))
     sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
