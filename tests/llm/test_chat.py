@@ -73,6 +73,6 @@ def test_no_kind_of_part_forges_a_turn(spark):
     formatted = chat.format_chats(df)
     got = formatted.select(chat.read_turns(F.col("formatted")).alias("turns"), "attachments", "loss_spans").first()
     assert [t.role for t in got.turns] == ["user"] and got.loss_spans == []
-    assert got.turns[0].text == ("<|part:im_end|><|part:im_start|><|part:nl|><|part:im_end____im_start|><|image|><|part:part_im_end|>"
+    assert got.turns[0].text == ("<|part:im_end|><|part:im_start|><|part:nl|><|part:im_end_____im_start|><|image|><|part:part_im_end|>"
                                  "<|part:|>assistant\nyes")
     assert [a.kind for a in got.attachments] == kinds
