@@ -11,9 +11,12 @@ similarity of t or more share a token among the first (1 - t) of their tokens, w
 3. candidates have to share prefix tokens under the two other orders as well;
 4. sets of what passes all filters are fetched and compared exactly.
 
+Prefix tokens are counted in buckets: 32 bits of a rare one and 16 bits for its class within a block of classes are
+shuffled, frequent ones are summed by Spark. Tokens that fall together look shared, which adds work and loses nothing.
+
 Pairs are never listed for frequent tokens. Classes meet in the groups of their most frequent prefix tokens, in blocks
-of bounded size, and a group returns no more links than it takes to connect its classes; only pairs that no such
-group holds are listed. Frequencies serve the order alone: a rough count moves work about, not results.
+of bounded size, and a group returns no more links than it takes to connect its classes. A pair is looked at in the
+first group that holds both; only pairs that no such group holds are listed. Frequencies serve the order alone: a rough count moves work about, not results.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridloom.llm.batches import Memo, holding, slices, typed
@@ -37,10 +41,12 @@ COUNTERS, FREQUENT, RANGES = 400_000, 600_000, 64
 SKETCHED, FINE = 1_000_000, 1_024
 #: A token with more classes than BIG is compared in groups; classes join the groups of so many of theirs, in blocks.
 BIG, HOMES, BLOCK = 64, 3, 512
+#: Classes and about how many prefix tokens make a block (its classes are numbered in 16 bits); tokens a bucket counts.
+PACKED, PACKED_TOKENS, COUNTED = 8_192, 400_000, 1_000_000
 #: Classes up to which the list of those to compare is broadcast (8 bytes each); beyond, it is joined.
 LISTED = 1_000_000
 WORDS = 300_000
-_GROUPS = "group string, i int, j int, node long, side int"
+_GROUPS = "group string, i int, j int, node long, side int, homes array<long>"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -199,48 +205,111 @@ def new_sets(batches, rule: Rule, seed: int):
 
 
 def token_lists(rows: list[np.ndarray]) -> pa.Array:
+    """The lower 32 bits of tokens."""
     starts = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype("i4")
-    return pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate([np.empty(0, "u8"), *rows]).view("i8")))
+    low = np.concatenate([np.empty(0, "u8"), *rows]).astype("u4").view("i4")
+    return pa.ListArray.from_arrays(pa.array(starts), pa.array(low))
 
 
-def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(node, tokens): prefixes under the first order; a class may come once from each task."""
-    shared = columns.sparkSession.sparkContext.broadcast(frequent)
-    schema = "node long, tokens array<long>"
+def codes(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Tokens as they are counted: the bucket, then 32 bits."""
+    return ((tokens >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (tokens & np.uint64(2**32 - 1))
 
-    def run(batches):
-        for found in new_sets(batches, rule, seed):
-            firsts = [first_tokens(x, rule.prefix(len(x)), weights_of(x, shared.value)) for x in found.values()]
-            yield pa.RecordBatch.from_pydict({"node": pa.array([*found], pa.int64()), "tokens": token_lists(firsts)})
 
-    return columns.mapInArrow(typed(run, schema), schema)
+def code_of(token: Column, buckets: int) -> Column:
+    """``codes`` of a column of tokens."""
+    return F.shiftleft(F.shiftrightunsigned(token, 32) % buckets, 32).bitwiseOR(token.bitwiseAND(F.lit(2**32 - 1)))
+
 
+def packed(prefixes: list[np.ndarray], buckets: int):
+    """(bucket, tokens, owners): codes of a block's prefixes within their bucket and the places of their sets, as bytes."""
+    found = codes(np.concatenate([np.empty(0, "u8"), *prefixes]), buckets)
+    owners = np.repeat(np.arange(len(prefixes)), [len(x) for x in prefixes])
+    order = np.argsort(found, kind="stable")
+    found, owners = found[order], owners[order]
+    once = np.ones(len(found), bool)
+    once[1:] = (found[1:] != found[:-1]) | (owners[1:] != owners[:-1])
+    found, owners = found[once], owners[once]
+    ends = np.searchsorted(found, np.arange(1, buckets + 1, dtype="u8") << np.uint64(32))
+    starts = np.concatenate([[0], ends[:-1]])
+    low, owners = found.astype("<u4"), owners.astype("<u2")
+    for bucket in np.flatnonzero(ends > starts):
+        own = slice(starts[bucket], ends[bucket])
+        yield int(bucket), low[own].tobytes(), owners[own].tobytes()
 
-def signatures(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(node, size, sketch, first): the prefix under the first order; a class may come more than once."""
+
+def prefixes(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray], buckets: int,
+             traits: bool = False) -> DataFrame:
+    """Staged prefixes under the first order; a class may come once from each task.
+
+    Rows are of two kinds: (block, owner, node, size, sketch, held) of a class, with its frequent prefix tokens and, with
+    ``traits``, its sketch; (block, bucket, tokens, owners) of the other tokens of a block of classes.
+    """
     shared = columns.sparkSession.sparkContext.broadcast(frequent)
-    schema = "node long, size int, sketch array<smallint>, first array<long>"
+    schema = "block long, owner int, node long, size int, sketch array<smallint>, held array<long>, bucket int, tokens binary, owners binary"
+    kinds = {"block": pa.int64(), "owner": pa.int32(), "node": pa.int64(), "size": pa.int32(),
+             "sketch": pa.list_(pa.int16()), "held": pa.list_(pa.int64()), "bucket": pa.int32(),
+             "tokens": pa.binary(), "owners": pa.binary()}
+
+    def record(rows: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({k: pa.array(columns[k], t) if k in columns else pa.nulls(rows, t) for k, t in kinds.items()})
 
     def run(batches):
+        block, rare = TaskContext.get().partitionId() << 24, []
         for found in new_sets(batches, rule, seed):
-            sets = [*found.values()]
-            yield pa.RecordBatch.from_pydict({
-                "node": pa.array([*found], pa.int64()), "size": pa.array([*map(len, sets)], pa.int32()),
-                "sketch": pa.array([sketch(x, RANGES) for x in sets], pa.list_(pa.int16())),
-                "first": token_lists([first_tokens(x, rule.prefix(len(x)), weights_of(x, shared.value)) for x in sets]),
-            })
+            if len(rare) + len(found) > PACKED or sum(map(len, rare)) > PACKED_TOKENS:
+                for bucket, tokens, owners in packed(rare, buckets):
+                    yield record(1, block=[block], bucket=[bucket], tokens=[tokens], owners=[owners])
+                block, rare = block + 1, []
+            held, sets = [], [*found.values()]
+            for x in sets:
+                weights = weights_of(codes(x, buckets), shared.value)
+                count = rule.prefix(len(x))
+                first = first_tokens(x, count, weights)
+                known = min(count, int((weights == 0).sum()))
+                rare.append(first[:known])
+                held.append(-1 - codes(first[known:], buckets).astype("i8"))
+            own = range(len(rare) - len(sets), len(rare))
+            yield record(len(sets), block=[block] * len(sets), owner=own, node=[*found], size=[*map(len, sets)], held=held,
+                         sketch=[sketch(x, RANGES) if traits else None for x in sets])
+        for bucket, tokens, owners in packed(rare, buckets):
+            yield record(1, block=[block], bucket=[bucket], tokens=[tokens], owners=[owners])
 
-    return columns.mapInArrow(typed(run, schema), schema)
+    return staged(columns.mapInArrow(typed(run, schema), schema))
 
 
-def other_orders(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray], nodes: DataFrame) -> DataFrame:
-    """(node, second, third): prefixes under the two other orders of the classes in ``nodes`` (node, first)."""
+def common(rows: pd.DataFrame) -> pd.DataFrame:
+    """(block, owner, token, c) of a bucket's tokens that come more than once."""
+    tokens = [np.frombuffer(x, "<u4") for x in rows["tokens"]]
+    blocks = np.repeat(rows["block"].to_numpy(), [len(x) for x in tokens])
+    owners = np.concatenate([np.frombuffer(x, "<u2") for x in rows["owners"]])
+    found, at, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    more = counts[at] > 1
+    at = at[more]
+    return pd.DataFrame({"block": blocks[more], "owner": owners[more].astype("i4"),
+                         "token": found[at].astype("i8") | int(rows["bucket"].iloc[0]) << 32, "c": counts[at]})
+
+
+def shared_tokens(prefix: DataFrame) -> DataFrame:
+    """Staged (block, owner, token, c): prefix tokens that come more than once. Frequent ones are numbered below 0."""
+    rare = prefix.filter("bucket is not null").select("bucket", "block", "tokens", "owners")
+    rare = rare.groupBy("bucket").applyInPandas(common, "block long, owner int, token long, c long")
+    held = prefix.filter("node is not null").select("block", "owner", F.explode("held").alias("token"))
+    # There are no more of them than FREQUENT.
+    counts = held.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    return staged(rare.unionByName(held.join(F.broadcast(counts), "token")))
+
+
+def other_orders(columns: DataFrame, rule: Rule, seed: int, frequent: tuple[np.ndarray, np.ndarray], buckets: int,
+                 nodes: DataFrame) -> DataFrame:
+    """(node, second, third): prefixes under the two other orders of the classes in ``nodes`` (node, first), 32 bits a
+    token."""
     shared = columns.sparkSession.sparkContext.broadcast(frequent)
-    schema = "node long, second array<long>, third array<long>"
+    schema = "node long, second array<int>, third array<int>"
 
     def run(batches):
         for found in new_sets(batches, rule, seed):
-            weights = [weights_of(x, shared.value) for x in found.values()]
+            weights = [weights_of(codes(x, buckets), shared.value) for x in found.values()]
             second, third = ([first_tokens(x, rule.prefix(len(x)), w, k) for x, w in zip(found.values(), weights)] for k in (1, 2))
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([*found], pa.int64()), "second": token_lists(second), "third": token_lists(third)})
@@ -277,8 +346,16 @@ def among(columns: DataFrame, nodes: DataFrame) -> DataFrame:
     return columns.filter("k is not null").join(F.broadcast(ids), "k", "left_semi").unionByName(columns.filter("k is null"))
 
 
+def listed(rows: DataFrame) -> DataFrame:
+    """Stored rows, sent to every task where there are few."""
+    return F.broadcast(rows) if rows.count() <= LISTED else rows
+
+
 def may_link(rows: pd.DataFrame, rule: Rule) -> np.ndarray:
-    """Which rows of a group have a partner by size and by the room that sketches leave."""
+    """Which rows of a group have a partner by size and by the room that sketches leave.
+
+    Two classes of several common homes are partners in the group of the lowest one alone.
+    """
     side, size = rows["side"].to_numpy(), rows["size"].to_numpy().astype("i8")
     nodes, known = rows["node"].to_numpy(), rows["sketch"].notna().to_numpy()
     width = max(map(len, rows["sketch"][known]), default=1)
@@ -287,9 +364,17 @@ def may_link(rows: pd.DataFrame, rule: Rule) -> np.ndarray:
         sketches[known] = np.stack(rows["sketch"][known].to_numpy())
     right = np.flatnonzero(side != 0)
     found = np.zeros(len(rows), bool)
+    group, none = rows["group"].iloc[0], 2**63 - 1
+    home = int(group[1:]) if group[0] == "t" else -none
+    homes = np.full((len(rows), HOMES), none)
+    if group[0] == "t":
+        for r, x in enumerate(rows["homes"]):
+            homes[r, :len(x)] = x
     for r in np.flatnonzero(side != 1):
         fits = (np.minimum(size[r], size[right]) * rule.of >= np.maximum(size[r], size[right]) * rule.share) & (nodes[right] != nodes[r])
         near = right[fits]
+        for lower in homes[r][homes[r] < home]:
+            near = near[(homes[near] != lower).all(axis=1)]
         room = np.minimum(sketches[near], sketches[r]).sum(axis=1, dtype="i8")
         room[~(known[near] & known[r])] = 2**40
         near = near[room * (rule.share + rule.of) >= (size[near] + size[r]) * rule.share]
@@ -363,31 +448,31 @@ def fitting(rule: Rule):
     """Drops the rows of a group that have no partner in it, by sizes and sketches."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side"]]
+        return rows.loc[may_link(rows, rule), ["group", "i", "j", "node", "side", "homes"]]
 
     return fit
 
 
 def candidates(signed: DataFrame, rule: Rule, other: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Groups to compare: (group, i, j, node, side). ``other`` gives the prefixes under the other orders of some classes."""
-    rows = signed.select("node", F.explode("first").alias("token"))
-    counts = staged(rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    shared = staged(rows.join(F.broadcast(counts) if counts.count() <= LISTED else counts, "token").distinct())
+    """Groups to compare: (group, i, j, node, side, homes). ``other`` gives the prefixes under the other orders of some
+    classes."""
+    # A class may have come from several tasks.
+    signed_once = signed.filter("node is not null").select("block", "owner", "node", "size", "sketch").dropDuplicates(["node"])
+    shared = staged(shared_tokens(signed).join(signed_once.select("block", "owner", "node"), ["block", "owner"]).select("token", "node", "c"))
     # A class has as many rows as its prefix has tokens.
     top = F.slice(F.reverse(F.array_sort(F.collect_list(F.when(F.col("c") > BIG, F.struct("c", "token"))))), 1, HOMES)
     homes = staged(shared.groupBy("node").agg(top.alias("top")).select("node", F.col("top.token").alias("homes"),
                                                                      F.col("top.c").alias("sizes")))
-    placed = homes.select("node", F.posexplode("homes").alias("at", "token"), "sizes").select(
-        "node", "token", F.ceil(F.element_at("sizes", F.col("at") + 1) / BLOCK).cast("int").alias("blocks"))
+    placed = homes.select("node", F.posexplode("homes").alias("at", "token"), "sizes", "homes").select(
+        "node", "token", "homes", F.ceil(F.element_at("sizes", F.col("at") + 1) / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    grouped = placed.select("node", "token", block.alias("own"), partner.alias("other")).select(
+    grouped = placed.select("node", "token", "homes", block.alias("own"), partner.alias("other")).select(
         F.concat(F.lit("t"), F.col("token").cast("string")).alias("group"),
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
-        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
+        F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "homes")
 
-    # A class may have come from several tasks.
-    traits = staged(signed.join(homes.select("node"), "node", "left_semi").select("node", "size", "sketch").dropDuplicates(["node"]))
+    traits = staged(signed_once.join(homes.select("node"), "node", "left_semi").select("node", "size", "sketch"))
     grouped = grouped.join(traits, "node").groupBy("group", "i", "j").applyInPandas(fitting(rule), _GROUPS)
     # A token that is a home of both sides has brought them together already, so it joins the rows that have it as
     # another token with all rows, never all with all.
@@ -418,7 +503,7 @@ def candidates(signed: DataFrame, rule: Rule, other: Callable[[DataFrame], DataF
         F.pmod("part", F.ceil(F.col("n") / BLOCK)).cast("int").alias("i"))
     ahead = dealt.select("group", "i", F.lit(0).alias("j"), F.col("node_a").alias("node"), F.lit(0).alias("side")).distinct()
     behind = dealt.select("group", "i", F.lit(0).alias("j"), F.col("node_b").alias("node"), F.lit(1).alias("side"))
-    return staged(grouped.unionByName(ahead).unionByName(behind))
+    return staged(grouped.unionByName(ahead, True).unionByName(behind, True))
 
 
 def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, seed: int) -> DataFrame:
@@ -429,24 +514,29 @@ def links(columns: DataFrame, rows: DataFrame, firsts: DataFrame, rule: Rule, se
     copies = staged(copies.distinct().join(firsts.select(F.col("first").alias("k")), "k", "left_anti"))
     if copies.count() <= LISTED:
         columns = columns.join(F.broadcast(copies), "k", "left_anti")
-    prefix = staged(prefixes(columns, rule, seed, frequent_tokens(heavy)))
-    tokens = prefix.select("node", F.explode("tokens").alias("token"))
-    again = staged(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    held = F.broadcast(again.select("token")) if again.count() <= LISTED else again.select("token")
-    left = staged(tokens.join(held, "token", "left_semi").select("node").distinct().join(firsts, "node"))
+    # No text has more prefix tokens than this, whatever its size.
+    most = rows.agg(F.sum(F.col("size") * (rule.of - rule.share) / rule.of + 1)).first()[0] or 0
+    buckets = max(int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(most) // COUNTED + 1)
+    heavy = heavy.groupBy(code_of(F.col("token"), buckets).alias("token")).agg(F.sum("n").alias("n"))
+    prefix = prefixes(columns, rule, seed, frequent_tokens(heavy), buckets)
+    again = shared_tokens(prefix)
+    left = again.select("block", "owner").distinct().join(prefix.filter("node is not null"), ["block", "owner"])
+    left = staged(left.select("node").distinct().join(firsts, "node"))
     # What turns out to be shared goes behind what may be rare, and prefixes of the classes left are taken once more.
-    behind = frequent_tokens(heavy.union(again))
-    signed = staged(signatures(among(columns, left), rule, seed, behind))
-    groups = candidates(signed, rule, lambda nodes: other_orders(columns, rule, seed, behind, nodes.join(firsts, "node")))
+    turned = again.groupBy("token").agg(F.max("c").alias("n"))
+    turned = turned.select(F.when(F.col("token") < 0, -F.col("token") - 1).otherwise(F.col("token")).alias("token"), "n")
+    behind = frequent_tokens(heavy.union(turned))
+    signed = prefixes(among(columns, left), rule, seed, behind, buckets, traits=True)
+    groups = candidates(signed, rule, lambda nodes: other_orders(columns, rule, seed, behind, buckets, nodes.join(firsts, "node")))
     sets = sets_of(columns, rule, seed, groups.select("node").distinct().join(firsts, "node"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(compare(rows, rule), columns=["a", "b"], dtype="i8")
 
     # The finer sketch is a fraction of a large set, and few pairs of unlike sets pass it.
-    finer = groups.join(sets.select("node", "size", "sketch"), "node")
+    finer = sets.select("node", "size", "sketch").join(listed(groups), "node")
     close = staged(finer.groupBy("group", "i", "j").applyInPandas(fitting(rule), _GROUPS))
-    full = close.join(sets.select("node", "tokens"), "node")
+    full = sets.select("node", "tokens").join(listed(close.drop("homes")), "node")
     return full.groupBy("group", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 

@@ -1,7 +1,10 @@
 """The n-gram join against brute force over all pairs."""
 
 import random
+from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from gridloom.llm import jaccard
@@ -120,3 +123,31 @@ def test_prefixes_share_a_token_under_every_order():
             first = [jaccard.first_tokens(x, rule.prefix(len(x)), jaccard.weights_of(x, frequent), order) for x in (a, b)]
             assert [len(x) for x in first] == [rule.prefix(len(x)) for x in (a, b)]
             assert not linked or len(np.intersect1d(*first))
+
+
+def test_prefix_tokens_are_counted_in_few_bytes():
+    dice = np.random.default_rng(7)
+    common = dice.integers(0, 2**63, 40, "u8")
+    sets = [np.unique(np.concatenate([dice.integers(0, 2**63, 60, "u8"), dice.choice(common, 2)])) for _ in range(300)]
+    rows = [(b, 5, t, o) for b, t, o in jaccard.packed(sets, 7)]
+    assert sum(len(t) + len(o) for _, _, t, o in rows) == 6 * sum(map(len, sets))
+    got = set()
+    for bucket in range(7):
+        own = pd.DataFrame([x for x in rows if x[0] == bucket], columns=["bucket", "block", "tokens", "owners"])
+        got |= {tuple(map(int, x)) for x in jaccard.common(own).itertuples(index=False)}
+    count = Counter(int(x) for s in sets for x in s)
+    code = {x: int(jaccard.codes(np.array([x], "u8"), 7)[0]) for x in count}
+    assert got == {(5, i, code[int(x)], count[int(x)]) for i, s in enumerate(sets) for x in s if count[int(x)] > 1}
+
+
+def test_a_pair_is_looked_at_in_one_home():
+    sketch = np.full(64, 3, "i2")
+
+    def found(group, homes):
+        rows = pd.DataFrame({"group": group, "node": [1, 2], "side": 2, "size": 192, "sketch": [sketch] * 2, "homes": homes})
+        return jaccard.may_link(rows, jaccard.Rule(5, 4, 5)).tolist()
+
+    both = [[-5, 7, 9], [9, 7, -5]]
+    assert [found(f"t{x}", both) for x in (-5, 7, 9)] == [[True] * 2, [False] * 2, [False] * 2]
+    assert found("t7", [[3, 7, 9], [4, 7]]) == [True] * 2
+    assert found("n7", [None, None]) == [True] * 2
