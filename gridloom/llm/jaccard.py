@@ -43,6 +43,8 @@ SKETCHED, FINE = 1_000_000, 1_024
 BIG, HOMES, BLOCK = 64, 3, 512
 #: Classes and about how many prefix tokens make a block (its classes are numbered in 16 bits); tokens a bucket counts.
 PACKED, PACKED_TOKENS, COUNTED = 8_192, 400_000, 1_000_000
+#: Numbers in the table of a matrix product.
+PRODUCT = 2_000_000
 #: Classes up to which the list of those to compare is broadcast (8 bytes each); beyond, it is joined.
 LISTED = 1_000_000
 WORDS = 300_000
@@ -402,7 +404,7 @@ def compare(rows: pd.DataFrame, rule: Rule) -> list[tuple[int, int]]:
     def products(chosen: np.ndarray) -> np.ndarray:
         """Numbers of chosen tokens that rows share."""
         total = np.zeros((len(left), len(right)), "f4")
-        step = max(1, 8_000_000 // max(1, len(sets)))
+        step = max(1, PRODUCT // max(1, len(sets)))
         own, at = owner[chosen], column[chosen]
         order = np.argsort(at, kind="stable")
         own, at = own[order], at[order]

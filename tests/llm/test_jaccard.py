@@ -1,6 +1,7 @@
 """The n-gram join against brute force over all pairs."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -151,3 +152,15 @@ def test_a_pair_is_looked_at_in_one_home():
     assert [found(f"t{x}", both) for x in (-5, 7, 9)] == [[True] * 2, [False] * 2, [False] * 2]
     assert found("t7", [[3, 7, 9], [4, 7]]) == [True] * 2
     assert found("n7", [None, None]) == [True] * 2
+
+
+def test_comparing_a_block_takes_little_memory():
+    dice = np.random.default_rng(3)
+    pairs = [dice.integers(0, 2**63, 200, "u8") for _ in range(512)]
+    sets = [np.unique(np.concatenate([pairs[i // 2], dice.integers(0, 2**63, 4, "u8")])) for i in range(1024)]
+    rows = pd.DataFrame({"node": range(1024), "side": [0, 1] * 512, "tokens": [x.tobytes() for x in sets]})
+    tracemalloc.start()
+    assert len(jaccard.compare(rows, jaccard.Rule(3, 90, 100))) == 512
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000, peak
