@@ -214,13 +214,16 @@ def token_lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def codes(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """Tokens as they are counted: the bucket, then 32 bits."""
-    return ((tokens >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (tokens & np.uint64(2**32 - 1))
+    """Tokens as they are counted: the bucket, then 32 bits. Their order is that of tokens, so sorted ones are looked up
+    beside each other."""
+    high, low, count = tokens >> np.uint64(32), tokens & np.uint64(2**32 - 1), np.uint64(buckets)
+    return high * count + (low * count >> np.uint64(32))
 
 
 def code_of(token: Column, buckets: int) -> Column:
     """``codes`` of a column of tokens."""
-    return F.shiftleft(F.shiftrightunsigned(token, 32) % buckets, 32).bitwiseOR(token.bitwiseAND(F.lit(2**32 - 1)))
+    low = token.bitwiseAND(F.lit(2**32 - 1))
+    return F.shiftrightunsigned(token, 32) * buckets + F.shiftright(low * buckets, 32)
 
 
 def packed(prefixes: list[np.ndarray], buckets: int):

@@ -141,6 +141,14 @@ def test_prefix_tokens_are_counted_in_few_bytes():
     assert got == {(5, i, code[int(x)], count[int(x)]) for i, s in enumerate(sets) for x in s if count[int(x)] > 1}
 
 
+def test_codes_keep_the_order_of_tokens(spark):
+    tokens = np.unique(np.random.default_rng(5).integers(0, 2**64 - 1, 2000, "u8", endpoint=True))
+    found = jaccard.codes(tokens, 51)
+    assert (found[1:] >= found[:-1]).all() and found[-1] < 51 << 32
+    rows = spark.createDataFrame([(int(x),) for x in tokens.view("i8")], "token long")
+    assert [r[0] for r in rows.select(jaccard.code_of(rows.token, 51)).collect()] == found.tolist()
+
+
 def test_a_pair_is_looked_at_in_one_home():
     sketch = np.full(64, 3, "i2")
 
