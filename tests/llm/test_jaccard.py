@@ -128,8 +128,8 @@ def test_prefixes_share_a_token_under_every_order():
 
 def test_prefix_tokens_are_counted_in_few_bytes():
     dice = np.random.default_rng(7)
-    common = dice.integers(0, 2**63, 40, "u8")
-    sets = [np.unique(np.concatenate([dice.integers(0, 2**63, 60, "u8"), dice.choice(common, 2)])) for _ in range(300)]
+    common = dice.integers(0, 2**64 - 1, 40, "u8")
+    sets = [np.unique(np.concatenate([dice.integers(0, 2**64 - 1, 60, "u8"), dice.choice(common, 2)])) for _ in range(300)]
     rows = [(b, 5, t, o) for b, t, o in jaccard.packed(sets, 7)]
     assert sum(len(t) + len(o) for _, _, t, o in rows) == 6 * sum(map(len, sets))
     got = set()
